@@ -11,7 +11,7 @@ MISSING_MARKER = "NA"
 
 def nan_to_null(value: Column) -> Column:
     """NaN counts as missing: otherwise it wins every ``max`` and every ``>``."""
-    return F.when(~F.isnan(value), value)
+    return F.nullif(value, F.lit(float("nan")))
 
 
 def parse_number(text: Column, marker: str = MISSING_MARKER, strict: bool = False) -> Column:

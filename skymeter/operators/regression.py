@@ -153,6 +153,11 @@ def rmse(label: str, prediction: str) -> Column:
     return F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), F.lit(2.0))))
 
 
+def score_models(predicted: DataFrame, names: Sequence[str], label: str = LABEL) -> DataFrame:
+    """``model, rmse`` of prediction columns, in one pass over the rows."""
+    return predicted.agg(*[rmse(label, n).alias(n) for n in names]).unpivot([], list(names), "model", "rmse")
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -161,11 +166,9 @@ def compare_models(
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> DataFrame:
-    """``model, rmse`` on the test rows, all models evaluated in one pass over them."""
+    """Fits the named models on the training rows and scores them on the test rows."""
     prefix = fit_features(train, numeric, categorical)
-    predicted = predict(test, prefix, fit_models(train, prefix, names, label))
-    scores = predicted.agg(*[rmse(label, n).alias(n) for n in names])
-    return scores.unpivot([], list(names), "model", "rmse")
+    return score_models(predict(test, prefix, fit_models(train, prefix, names, label)), names, label)
 
 
 def linear_coefficients(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skymeter.operators.cleaning import clean_readings
 from skymeter.operators.features import temporal_features
+from skymeter.session import materialize
 from skymeter.sources import load_table
 
 RAW_COLUMNS = (
@@ -99,6 +100,11 @@ def event_features(spark: SparkSession, folder: str) -> DataFrame:
     return temporal_features(clean_events(spark, folder), {"pm25_clean": "pm25", "pm10_raw": "pm10"})
 
 
+def stored_event_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, cleaned once and stored: for queries that pass over the features repeatedly."""
+    return materialize(event_features(spark, folder), "event-features")
+
+
 EVENT_FEATURES = f"{CLEAN_EVENTS},{_features_sql('event_id, station, site, pm10_raw AS pm10')}"
 
 
@@ -129,6 +135,10 @@ def order_features(spark: SparkSession, folder: str) -> DataFrame:
     return temporal_features(clean_readings(raw_orders(spark, folder)))
 
 
+def stored_order_features(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(order_features(spark, folder), "order-features")
+
+
 ORDER_FEATURES = f"{RAW_ORDERS},{_clean_sql('raw_orders', 'o_orderkey, station')},{_features_sql('o_orderkey, station')}"
 
 

@@ -19,6 +19,7 @@ from skymeter.plans.adapters import (
     LINE_READINGS,
     event_features,
     line_readings,
+    stored_event_features,
 )
 
 EVENT_MEASURES = ("pm25", "pm10")
@@ -28,7 +29,7 @@ LINE_COLUMNS = [*LINE_KEYS, "pollution_index"]
 
 
 def _scored_events(spark, folder):
-    return composite_index(event_features(spark, folder), EVENT_MEASURES)
+    return composite_index(stored_event_features(spark, folder), EVENT_MEASURES)
 
 
 def _scored_lines(spark, folder):
@@ -46,7 +47,7 @@ def _index_only(df, columns):
 QUERIES = {
     "column_ranges": lambda s, d: column_ranges(event_features(s, d), EVENT_MEASURES),
     "min_max_normalize": lambda s, d: _rounded(
-        min_max_normalize(event_features(s, d), EVENT_MEASURES).select("event_id", "pm25_norm", "pm10_norm"),
+        min_max_normalize(stored_event_features(s, d), EVENT_MEASURES).select("event_id", "pm25_norm", "pm10_norm"),
         ["pm25_norm", "pm10_norm"],
     ),
     "pollution_index": lambda s, d: _index_only(_scored_events(s, d), ["event_id", "pollution_index"]),

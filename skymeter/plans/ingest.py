@@ -29,7 +29,7 @@ PREVIEW = ["datetime", "season", "is_weekend", "hour_category", "pm25", "station
 def csv_scan(spark, folder):
     path = work_path(spark, "readings-csv")
     raw_events(spark, folder).withColumnRenamed("pm25_raw", "PM2.5").write.option("header", True).csv(path)
-    return read_readings(spark, path).withColumnRenamed("pm25", "pm25_raw").select(*RAW_COLUMNS)
+    return read_readings(spark, path).select(*RAW_COLUMNS)
 
 
 def ingest_parts(spark, folder):

@@ -19,7 +19,13 @@ from skymeter.operators.regression import (
     training_rows,
 )
 from skymeter.operators.composite import top_rows
-from skymeter.plans.adapters import EVENT_FEATURES, ORDER_FEATURES, event_features, order_features
+from skymeter.plans.adapters import (
+    EVENT_FEATURES,
+    ORDER_FEATURES,
+    event_features,
+    stored_event_features,
+    stored_order_features,
+)
 
 KEY = "event_id"
 TWO_FEATURES = ("hour", "day")
@@ -28,11 +34,11 @@ VECTOR = ["year", "month", "day", "hour", "is_weekend", "station_index", "season
 
 
 def _data(spark, folder):
-    return training_rows(event_features(spark, folder), carry=("datetime", KEY))
+    return training_rows(stored_event_features(spark, folder), carry=("datetime", KEY))
 
 
 def _year_data(spark, folder):
-    return training_rows(order_features(spark, folder), carry=("datetime", "o_orderkey"))
+    return training_rows(stored_order_features(spark, folder), carry=("datetime", "o_orderkey"))
 
 
 def _split(spark, folder):
@@ -45,11 +51,9 @@ def _two_feature_model(train):
 
 
 def split_sides(spark, folder):
-    train, test = _split(spark, folder)
-    sides = {"train": train, "test": test}
-    return train.select(KEY, F.lit("train").alias("side")).union(
-        sides["test"].select(KEY, F.lit("test").alias("side"))
-    )
+    sides = zip(("train", "test"), _split(spark, folder))
+    train, test = (rows.select(KEY, F.lit(name).alias("side")) for name, rows in sides)
+    return train.union(test)
 
 
 def string_index(spark, folder):
@@ -100,7 +104,7 @@ def model_comparison(spark, folder):
 
 
 QUERIES = {
-    "ml_input": lambda s, d: _data(s, d),
+    "ml_input": lambda s, d: training_rows(event_features(s, d), carry=("datetime", KEY)),
     "string_index": string_index,
     "feature_vector": feature_vector,
     "train_test_split": split_sides,

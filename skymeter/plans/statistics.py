@@ -9,9 +9,9 @@ from skymeter.plans.adapters import EVENT_FEATURES, ORDER_FEATURES, event_featur
 
 
 # Digits compared with SQL; fewer for the large order prices, whose means carry
-# the rounding of the summation order into the eighth digit.
+# the rounding of the summation order into the later digits.
 EVENT_DIGITS = 8
-ORDER_DIGITS = 6
+ORDER_DIGITS = 4
 
 
 def _rounded(df, digits=EVENT_DIGITS):

@@ -17,9 +17,13 @@ READING_SCHEMA = T.StructType(
 CONNECTION_SCHEMA = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
 
 
+# Fixed value: the file's name of the main measure. The clean one is called pm25.
+RENAMES = {"PM2.5": "pm25_raw"}
+
+
 def column_name(name: str) -> str:
-    """Lower case without dots: ``PM2.5`` becomes ``pm25`` and needs no quoting."""
-    return name.strip().lower().replace(".", "")
+    """Lower case without dots, so that no column needs quoting."""
+    return RENAMES.get(name.strip(), name.strip().lower().replace(".", ""))
 
 
 def read_readings(

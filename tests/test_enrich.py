@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from skymeter.operators.enrich import (
+    attach_stats,
+    enrich,
+    fanout_summary,
+    line_stats,
+    parse_pollution,
+    reading_pairs,
+    station_stats,
+)
+
+NAN = float("nan")
+ROWS = [
+    (1, "A", "L1", "12,5"),
+    (2, "A", "L2", "1.5"),
+    (3, "A", "L1", None),
+    (4, "B", "L1", "NaN"),
+    (5, "B", None, "4"),
+    (6, None, "L2", "9"),
+    (7, "C", "L2", "1,2,3"),
+]
+
+
+@pytest.fixture
+def lines(spark):
+    df = spark.createDataFrame(ROWS, "i int, station string, line string, pollution_raw string")
+    return parse_pollution(df)
+
+
+def test_pairs_count_null_as_zero_and_drop_nan(lines, collected):
+    assert collected(reading_pairs(lines)) == [
+        (None, 9.0), ("A", 0.0), ("A", 1.5), ("A", 12.5), ("B", 4.0), ("C", 0.0)
+    ]
+    assert collected(reading_pairs(lines, drop_null=True)) == [(None, 9.0), ("A", 1.5), ("A", 12.5), ("B", 4.0)]
+
+
+def test_null_key_gets_null_statistics(lines, collected):
+    joined = attach_stats(lines, station_stats(lines), "station")
+    got = collected(joined, "i", "pollution_mean_station", "pollution_max_station", "pollution_min_station")
+    a = (7.0, 12.5, 1.5)
+    b = (4.0, 4.0, 4.0)
+    none = (None, None, None)
+    assert got == [(1, *a), (2, *a), (3, *a), (4, *b), (5, *b), (6, *none), (7, *none)]
+    assert joined.columns[0] == "station"
+
+
+def test_line_statistics(lines, collected):
+    got = {r[0]: r[1:] for r in collected(line_stats(lines))}
+    assert got == {None: (4.0, 4.0, 4.0), "L1": (12.5, 12.5, 12.5), "L2": (5.25, 9.0, 1.5)}
+
+
+@pytest.mark.parametrize("drop_null", [False, True])
+def test_fanout_summary_equals_the_join_of_all_pairs(lines, collected, drop_null):
+    pairs = [tuple(r) for r in reading_pairs(lines, drop_null=drop_null).collect()]
+    expected = []
+    for i, station, *_ in ROWS:
+        partners = [v for s, v in pairs if station is not None and s == station]
+        size = len(partners)
+        expected.append(
+            (i, size, sum(partners), sum(partners) / size, max(partners), min(partners))
+            if size
+            else (i, 0, None, None, None, None)
+        )
+    got = collected(
+        fanout_summary(lines, drop_null=drop_null),
+        "i", "partner_count", "partner_sum", "partner_mean", "partner_max", "partner_min",
+    )
+    assert got == expected
+
+
+def test_hot_station_forms_no_pairs(spark):
+    """Most rows in one station: the output has one row per input row."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 < 2, "hot").otherwise(F.col("id").cast("string")).alias("station"),
+        F.lit(1.0).alias("pollution"),
+    )
+    got = fanout_summary(df).agg(F.count(F.lit(1)).alias("rows"), F.sum("partner_count").alias("pairs")).first()
+    hot = df.filter("station = 'hot'").count()
+    assert got.rows == 20_000 and got.pairs == hot * hot + (20_000 - hot)
+
+
+def test_statistics_are_broadcast_by_their_real_size(lines, spark):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(attach_stats(lines, station_stats(lines), "station"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        joined = attach_stats(lines, station_stats(lines), "station")
+        assert "SortMergeJoin" in plan(joined)
+        assert joined.count() == len(ROWS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_enrich_keeps_every_row(spark, lines):
+    raw = lines.select("i", "station", "line", "pollution_raw")
+    got = enrich(raw).orderBy("i").collect()
+    assert [r.i for r in got] == [r[0] for r in ROWS]
+    assert got[0].pollution_mean_line == 12.5 and got[0].partner_count == 3
+    assert math.isnan(got[3].pollution) and got[0].timestamp is not None
