@@ -6,7 +6,7 @@ A graph is two DataFrames. Vertices have a key ``station`` and an attribute, edg
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
@@ -23,6 +23,7 @@ UNKNOWN_VALUE = 0.0
 
 ROUNDS_PER_WRITE = 8
 ROWS_PER_PARTITION = 1_000_000
+MIN_ROWS_PER_PARTITION = 50_000
 HOT_DEGREE = 1_000_000
 
 
@@ -153,38 +154,28 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
     return links.unionByName(own)
 
 
-def _round(state: DataFrame, links: DataFrame, by: list[str], columns: dict) -> DataFrame:
-    """One PageRank round: a join with the links and one aggregation by receiver."""
-    if "block" in by:
-        state = state.select(*columns["spread"])
-    moved = state.join(links, by).filter(columns["moving"]).select(*columns["moved"])
-    return moved.groupBy("node").agg(*columns["summed"]).select(*columns["state"])
-
-
-def _round_columns(keep: float, tolerance: float) -> dict:
-    """The expressions of a round, built once for all rounds.
+def _rounds_sql(rounds: int, keep: float, tolerance: float, split: bool) -> str:
+    """SQL of several PageRank rounds from the view ``state`` and the view ``links``.
 
     A link to itself (no weight) passes the rank on; other links pass the change on
-    if it exceeds the tolerance.
+    if it exceeds the tolerance. Each round is one join and one aggregation by
+    receiver.
     """
-    rank, delta, node, blocks = F.col("rank"), F.col("delta"), F.col("node"), F.col("blocks")
-    own = F.col("weight").isNull()
-    return {
-        "spread": [node, rank, delta, F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("block")],
-        "moving": own | (delta > F.lit(tolerance)),
-        "moved": [
-            F.col("dst").alias("node"),
-            F.when(own, rank).otherwise(0.0).alias("rank"),
-            F.when(own, 0.0).otherwise(delta * F.col("weight")).alias("message"),
-            blocks,
-        ],
-        "summed": [
-            F.sum("rank").alias("rank"),
-            (F.lit(keep) * F.sum("message")).alias("delta"),
-            F.max(blocks).alias("spread"),
-        ],
-        "state": [node, (rank + delta).alias("rank"), delta, F.col("spread")],
-    }
+    source = "(SELECT *, explode(sequence(0, spread - 1)) AS block FROM {0})" if split else "{0}"
+    keys = "node, block" if split else "node"
+    steps = []
+    for i in range(rounds):
+        previous = source.format(f"round{i - 1}" if i else "state")
+        steps.append(f"""
+            round{i} AS (
+              SELECT node, rank + delta AS rank, delta, spread
+              FROM (SELECT dst AS node, sum(if(weight IS NULL, rank, 0D)) AS rank,
+                           {keep!r}D * sum(if(weight IS NULL, 0D, delta * weight)) AS delta,
+                           max(blocks) AS spread
+                    FROM {previous} JOIN links USING ({keys})
+                    WHERE weight IS NULL OR delta > {tolerance!r}D
+                    GROUP BY dst))""")
+    return f"WITH {','.join(steps)} SELECT * FROM round{rounds - 1}"
 
 
 def pagerank(
@@ -221,7 +212,7 @@ def pagerank(
     split = links_seen.get["blocks"] > 1
     size = links_seen.get["rows"]
     partitions = max(
-        -(-size // ROWS_PER_PARTITION), min(spark.sparkContext.defaultParallelism, -(-size // 10_000)), 1
+        -(-size // ROWS_PER_PARTITION), min(spark.sparkContext.defaultParallelism, -(-size // MIN_ROWS_PER_PARTITION)), 1
     )
 
     # The loop has a session of its own, where one partition count holds for every
@@ -236,7 +227,8 @@ def pagerank(
     by = ["node", "block"] if split else ["node"]
     stored = load(loop, links_path, links.schema)
     placed = stored.repartition(partitions, *by).sortWithinPartitions(*by).persist()
-    columns = _round_columns(1.0 - reset, tolerance)
+    placed.createOrReplaceTempView("links")
+    rounds = _rounds_sql(rounds_per_write, 1.0 - reset, tolerance, split)
     start = F.lit(reset)
     state = placed.filter(F.col("weight").isNull()).select(
         "node", start.alias("rank"), start.alias("delta"), F.col("blocks").alias("spread")
@@ -245,8 +237,8 @@ def pagerank(
     try:
         active = True
         while active:
-            for _ in range(rounds_per_write):
-                state = _round(state, placed, by, columns)
+            state.createOrReplaceTempView("state")
+            state = loop.sql(rounds)
             seen = Observation()
             path = store(state, "ranks", seen, senders)
             state = load(loop, path, state.schema)

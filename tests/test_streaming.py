@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from fixtures import STREAM_ALERTS, STREAM_READINGS
+from skymeter.sources import readings_table
+from skymeter.sources.readings import READING_SCHEMA
+from skymeter.streaming import alert_readings, flag_readings, read_reading_stream, write_stream
+
+NOON = dt.datetime(2025, 1, 1, 12)
+
+
+@pytest.fixture
+def readings(spark):
+    return readings_table(spark, [(NOON, station, value) for station, value in STREAM_READINGS.items()])
+
+
+def test_golden_alerts(readings):
+    flagged = flag_readings(readings)
+    assert flagged.count() == 12
+    assert [r.station for r in alert_readings(flagged).orderBy("station").collect()] == STREAM_ALERTS
+
+
+def test_limit_value_null_and_nan(spark, collected):
+    rows = [(NOON, "limit", 150.0), (NOON, "null", None), (NOON, "nan", float("nan")), (NOON, "over", 150.01)]
+    flagged = flag_readings(readings_table(spark, rows))
+    assert collected(flagged, "station", "is_anomaly") == [("limit", False), ("null", None), ("over", True)]
+    assert [r.station for r in alert_readings(flagged).collect()] == ["over"]
+
+
+def run(spark, source, out, state, **options):
+    stream = read_reading_stream(spark, source, READING_SCHEMA, **options)
+    query = write_stream(flag_readings(stream), out, state)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_equals_batch_and_resumes_without_copies(spark, readings, tmp_path, collected):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    readings.repartition(3).write.parquet(source)
+    run(spark, source, out, state, max_files_per_trigger=1)
+    expected = collected(flag_readings(readings), "station", "pm25", "is_anomaly")
+    assert collected(spark.read.parquet(out), "station", "pm25", "is_anomaly") == expected
+
+    late = readings_table(spark, [(NOON, "Late", 151.0)])
+    late.write.mode("append").parquet(source)
+    run(spark, source, out, state)
+    run(spark, source, out, state)
+    got = spark.read.parquet(out)
+    assert got.count() == 13
+    assert collected(got, "station", "pm25", "is_anomaly") == sorted([*expected, ("Late", 151.0, True)])
+
+
+def test_csv_stream(spark, readings, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    readings.write.option("header", True).csv(source)
+    run(spark, source, out, state, source_format="csv", header="true")
+    alerts = alert_readings(spark.read.parquet(out))
+    assert [r.station for r in alerts.orderBy("station").collect()] == STREAM_ALERTS
