@@ -67,18 +67,39 @@ def clean_readings(
     return parsed.filter(_usable(time_parts, F.col(output)))
 
 
-def quality_report(
+def assess_readings(
     df: DataFrame,
     measure: str = "pm25_raw",
+    output: str = "pm25_clean",
     time_parts: Sequence[str] = TIME_PARTS,
     strict: bool = False,
 ) -> DataFrame:
-    """One row: raw, distinct and clean row counts, from a single pass."""
+    """Distinct rows, usable or not, with the parsed measure, ``copies`` and ``usable``.
+
+    The usable ones are the clean readings. Both they and the quality report come out
+    of one shuffle of the raw rows when this table is stored.
+    """
+    require_columns(df, [measure])
     typed = type_time_parts(df, time_parts)
-    counted = typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    usable = _usable(time_parts, parse_number(F.col(measure), strict=strict))
-    return counted.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw_rows"),
+    distinct = typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("copies"))
+    parsed = distinct.withColumn(output, parse_number(F.col(measure), strict=strict))
+    return parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+
+
+def quality_of(assessed: DataFrame) -> DataFrame:
+    """One row: raw, distinct and clean row counts of assessed readings."""
+    return assessed.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
-        F.count_if(usable).alias("clean_rows"),
+        F.count_if("usable").alias("clean_rows"),
     )
+
+
+def quality_report(
+    df: DataFrame,
+    measure: str = "pm25_raw",
+    time_parts: Sequence[str] = TIME_PARTS,
+    strict: bool = False,
+) -> DataFrame:
+    """Row counts of raw readings, from a single pass over them."""
+    return quality_of(assess_readings(df, measure, time_parts=time_parts, strict=strict))

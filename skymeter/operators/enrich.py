@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skymeter.functions import parse_decimal_comma
-from skymeter.operators.stats import group_stats
+from skymeter.functions import nan_to_null, parse_decimal_comma
+from skymeter.operators.features import ingest_time_parts
+from skymeter.operators.stats import group_stats, stat_columns
 from skymeter.session import materialize
 
 STATS = ("mean", "max", "min")
@@ -26,8 +25,7 @@ def reading_pairs(
 
     A NULL reading counts as 0.0; ``drop_null`` leaves it out.
     """
-    reading = F.col(value) if drop_null else F.coalesce(F.col(value), F.lit(0.0))
-    pairs = df.select(F.col(station).alias("station_rdd"), reading.alias("pollution_rdd"))
+    pairs = df.select(F.col(station).alias("station_rdd"), _reading(value, drop_null).alias("pollution_rdd"))
     return pairs.filter(F.col("pollution_rdd").isNotNull() & ~F.isnan("pollution_rdd"))
 
 
@@ -49,6 +47,26 @@ def attach_stats(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
     return df.join(materialize(stats, f"stats-{key}"), [key], "left")
 
 
+def _reading(value: str, drop_null: bool) -> Column:
+    return F.col(value) if drop_null else F.coalesce(F.col(value), F.lit(0.0))
+
+
+def partner_columns(value: str = "pollution", drop_null: bool = False) -> list[Column]:
+    """Aggregates over the readings that :func:`reading_pairs` lists for a station."""
+    partner = nan_to_null(_reading(value, drop_null))
+    return [
+        F.count(partner).alias("partner_count"),
+        F.sum(partner).alias("partner_sum"),
+        F.avg(partner).alias("partner_mean"),
+        F.max(partner).alias("partner_max"),
+        F.min(partner).alias("partner_min"),
+    ]
+
+
+def _no_partner(df: DataFrame) -> DataFrame:
+    return df.withColumn("partner_count", F.coalesce("partner_count", F.lit(0).cast("bigint")))
+
+
 def fanout_summary(
     df: DataFrame,
     station: str = "station",
@@ -62,17 +80,8 @@ def fanout_summary(
     readings has n*n pairs; none is formed here, because the summary depends on the
     station only and is computed once per station.
     """
-    pairs = reading_pairs(df, station, value, drop_null)
-    partner = F.col("pollution_rdd")
-    summary = pairs.groupBy(F.col("station_rdd").alias(station)).agg(
-        F.count(partner).alias("partner_count"),
-        F.sum(partner).alias("partner_sum"),
-        F.avg(partner).alias("partner_mean"),
-        F.max(partner).alias("partner_max"),
-        F.min(partner).alias("partner_min"),
-    )
-    joined = attach_stats(df, summary, station)
-    return joined.withColumn("partner_count", F.coalesce("partner_count", F.lit(0).cast("bigint")))
+    summary = df.groupBy(station).agg(*partner_columns(value, drop_null))
+    return _no_partner(attach_stats(df, summary, station))
 
 
 def enrich(
@@ -80,12 +89,13 @@ def enrich(
     measure: str = "pollution_raw",
     station: str = "station",
     line: str = "line",
-    keep: Sequence[str] | None = None,
+    value: str = "pollution",
 ) -> DataFrame:
-    """The whole enrichment: parsed measure, ingest time, station and line statistics, partners."""
-    from skymeter.operators.features import ingest_time_parts
+    """The whole enrichment: parsed measure, ingest time, station and line statistics, partners.
 
-    parsed = ingest_time_parts(parse_pollution(df.select(*keep) if keep else df, measure))
-    with_station = attach_stats(parsed, station_stats(parsed, station=station), station)
-    with_line = attach_stats(with_station, line_stats(parsed, line=line), line)
-    return fanout_summary(with_line, station)
+    Two aggregations over the rows, one per key, and two joins.
+    """
+    parsed = ingest_time_parts(parse_pollution(df, measure, value))
+    by_station = parsed.groupBy(station).agg(*stat_columns(value, STATS, "_station"), *partner_columns(value))
+    with_station = _no_partner(attach_stats(parsed, by_station, station))
+    return attach_stats(with_station, line_stats(parsed, value, line), line)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
-from skymeter.session import load, materialize, store
+from skymeter.session import discard, load, materialize, store
 
 # Share passed on to neighbours, PageRank's reset probability and
 # tolerance, edge weight, attributes of a vertex nobody described.
@@ -206,8 +206,7 @@ def pagerank(
         links,
         "links",
         links_seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.max("blocks"), F.lit(1)).alias("blocks"),
+        [F.count(F.lit(1)).alias("rows"), F.coalesce(F.max("blocks"), F.lit(1)).alias("blocks")],
     )
     split = links_seen.get["blocks"] > 1
     size = links_seen.get["rows"]
@@ -233,6 +232,7 @@ def pagerank(
     state = placed.filter(F.col("weight").isNull()).select(
         "node", start.alias("rank"), start.alias("delta"), F.col("blocks").alias("spread")
     )
+    path = None
     senders = F.count_if(F.col("delta") > F.lit(tolerance)).alias("senders")
     try:
         active = True
@@ -240,11 +240,14 @@ def pagerank(
             state.createOrReplaceTempView("state")
             state = loop.sql(rounds)
             seen = Observation()
-            path = store(state, "ranks", seen, senders)
+            previous, path = path, store(state, "ranks", seen, [senders])
             state = load(loop, path, state.schema)
             active = seen.get["senders"] > 0
+            if previous:
+                discard(spark, previous)
     finally:
         placed.unpersist()
+    discard(spark, links_path)
 
     ranks = load(spark, path, state.schema)
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skymeter.operators.cleaning import clean_readings, quality_report
+from skymeter.operators.cleaning import assess_readings, quality_of
 from skymeter.operators.composite import (
     INDEX_MEASURES,
     anomalies,
@@ -29,44 +29,71 @@ from skymeter.operators.regression import (
     train_test_split,
     training_rows,
 )
-from skymeter.operators.stats import mean_by, ranked_by_mean
+from skymeter.operators.stats import by_key, highest_first, in_key_order, stats_by_each
 from skymeter.session import materialize
 
 ORDER = ["station", "datetime"]
 ROW_COLUMNS = ["datetime", "station", "pm25", "pm10", "no2", "o3", "pollution_index"]
 
 
+def stored_features(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of the clean readings, and the quality report of the raw ones.
+
+    Both read one stored table, written from a single shuffle of the raw rows. It is
+    partitioned by usability, so features never read an unusable row and the report
+    reads only the numbers of copies.
+    """
+    assessed = materialize(temporal_features(assess_readings(raw)), "readings", partition_by=["usable"])
+    return assessed.filter("usable").drop("copies", "usable"), quality_of(assessed)
+
+
 def readings_report(
     raw: DataFrame, connections: DataFrame, measures: Sequence[str] = INDEX_MEASURES
 ) -> dict[str, DataFrame]:
     """All results for raw readings and station connections, by name.
 
     The features are cleaned and stored once, as a columnar table from which each
-    result reads only its columns. Ranges, threshold and graph are small and stored
-    as well, so no result computes them again.
+    result reads only its columns. Ranges, threshold, grouped statistics and graph are
+    small and stored as well, so no result computes them again.
     """
-    features = materialize(temporal_features(clean_readings(raw)), "features")
+    features, quality = stored_features(raw)
     ranges = materialize(column_ranges(features, measures), "ranges")
     scored = composite_index(features, measures, ranges=ranges)
     threshold = materialize(anomaly_threshold(scored), "threshold")
     unusual = anomalies(scored, threshold=threshold)
     row_columns = [c for c in ROW_COLUMNS if c in scored.columns]
     tables = {
-        "quality_report": quality_report(raw),
+        "quality_report": quality,
         "preview_features": preview(features, [*PREVIEW_COLUMNS, "pm25", "station"], ORDER),
-        "mean_by_station": ranked_by_mean(features, "station", "pm25", 20),
-        "mean_by_hour": mean_by(features, "hour", "pm25", 24),
-        "mean_by_month": mean_by(features, "month", "pm25", 12),
-        "mean_by_year": mean_by(features, "year", "pm25", 20),
-        "stations_most_exposed": ranked_by_mean(features, "station", "pm25", 20, ("mean", "max")),
-        "peak_hours": ranked_by_mean(features, "hour", "pm25", 24, ("mean", "max")),
-        "critical_seasons": ranked_by_mean(features, "season", "pm25", 20),
         "top_index": top_rows(scored, "pollution_index", ORDER, 20).select(*row_columns),
         "anomaly_threshold": threshold,
         "anomaly_count": anomaly_count(scored, threshold=threshold),
         "top_anomalies": top_rows(unusual, "pollution_index", ORDER, 50).select(*row_columns),
     }
-    return {**tables, **_graph_tables(features, connections), **_model_tables(features)}
+    return {
+        **tables,
+        **_grouped_tables(features),
+        **_graph_tables(features, connections),
+        **_model_tables(features),
+    }
+
+
+def _grouped_tables(features: DataFrame) -> dict[str, DataFrame]:
+    """Seven tables from one scan of the features."""
+    keys = ["station", "hour", "month", "year", "season"]
+    stats = materialize(stats_by_each(features, keys, "pm25"), "grouped")
+    both = ("mean", "max")
+    return {
+        "mean_by_station": highest_first(by_key(stats, "station", "pm25"), "station", "pm25", 20),
+        "mean_by_hour": in_key_order(by_key(stats, "hour", "pm25"), "hour", 24),
+        "mean_by_month": in_key_order(by_key(stats, "month", "pm25"), "month", 12),
+        "mean_by_year": in_key_order(by_key(stats, "year", "pm25"), "year", 20),
+        "stations_most_exposed": highest_first(
+            by_key(stats, "station", "pm25", both), "station", "pm25", 20
+        ),
+        "peak_hours": highest_first(by_key(stats, "hour", "pm25", both), "hour", "pm25", 24),
+        "critical_seasons": highest_first(by_key(stats, "season", "pm25"), "season", "pm25", 20),
+    }
 
 
 def _graph_tables(features: DataFrame, connections: DataFrame) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skymeter.operators.stats import mean_by, ranked_by_mean
+from skymeter.operators.stats import mean_by, ranked_by_mean, stats_by_each
 from skymeter.plans.adapters import EVENT_FEATURES, ORDER_FEATURES, event_features, order_features
 
 
@@ -33,6 +33,9 @@ QUERIES = {
     "peak_hours": lambda s, d: _rounded(
         ranked_by_mean(event_features(s, d), "hour", "pm25", 24, ("mean", "max"))
     ),
+    "stats_by_each": lambda s, d: _rounded(
+        stats_by_each(event_features(s, d), ["station", "hour", "day"], "pm25")
+    ),
     "critical_seasons": lambda s, d: _order_means(ranked_by_mean(order_features(s, d), "season", "pm25", 20)),
 }
 
@@ -54,5 +57,10 @@ ORACLE = {
     "mean_by_year": _sql(ORDER_FEATURES, "year", "year", 20),
     "stations_most_exposed": _sql(EVENT_FEATURES, "site", "mean DESC, site", 20, _MAX),
     "peak_hours": _sql(EVENT_FEATURES, "hour", "mean DESC, hour", 24, _MAX),
+    "stats_by_each": f"""WITH {EVENT_FEATURES}
+        SELECT CASE WHEN grouping(station) = 0 THEN 'station' WHEN grouping(hour) = 0 THEN 'hour' ELSE 'day' END
+               AS grouped_by, station, hour, day, round(avg(pm25), {EVENT_DIGITS}) AS pm25_mean,
+               max(pm25) AS pm25_max
+        FROM features GROUP BY GROUPING SETS ((station), (hour), (day))""",
     "critical_seasons": _sql(ORDER_FEATURES, "season", "mean DESC, season", 20),
 }

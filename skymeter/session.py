@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
@@ -11,11 +12,28 @@ from pyspark.sql.types import StructType
 _local_folders: dict[str, str] = {}
 
 
-def build_session(app_name: str = "skymeter", master: str | None = None, **conf: str) -> SparkSession:
+# Uncompressed input per shuffle partition. About a third of it is written, which
+# sorts and hashes in an executor's memory and keeps 100 TB below 100,000 partitions.
+SHUFFLE_PARTITION_BYTES = 1024**3
+
+
+def shuffle_partitions(input_bytes: int, minimum: int = 1) -> int:
+    """Partitions for a shuffle of whole rows: deduplication moves all of its input.
+
+    AQE joins partitions that turn out small but never adds any, so the number has to
+    follow the largest shuffle.
+    """
+    return max(minimum, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "skymeter", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the operators are written for.
 
-    The master and the number of shuffle partitions belong to the cluster; pass
-    them (or ``spark-submit`` options) instead of fixing them in code.
+    The master belongs to the cluster; pass it (or a ``spark-submit`` option) instead
+    of fixing it in code. ``input_bytes``, the uncompressed size of the raw readings,
+    sets the number of shuffle partitions.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -28,6 +46,8 @@ def build_session(app_name: str = "skymeter", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         **conf,
     }
+    if input_bytes is not None:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -56,14 +76,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/skymeter/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str, observation: Observation | None = None, *metrics: Column) -> str:
+def store(
+    df: DataFrame,
+    name: str,
+    observation: Observation | None = None,
+    metrics: Sequence[Column] = (),
+    partition_by: Sequence[str] = (),
+) -> str:
     """Write ``df`` to a new path of the shared folder and return the path.
 
     ``metrics`` are collected into ``observation`` by the same job.
     """
     path = work_path(df.sparkSession, name)
     out = df if observation is None else df.observe(observation, *metrics)
-    out.write.parquet(path)
+    out.write.partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -72,7 +98,15 @@ def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table written by :func:`store` that nothing reads any more."""
+    if not path.startswith(f"{work_root(spark)}/skymeter/"):
+        raise ValueError(f"not a stored table: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Store ``df`` in the shared folder and return the stored table.
 
     Cuts the lineage in a way that survives lost executors, and gives Catalyst the
@@ -80,4 +114,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffled (with AQE's skew handling)
     when they are not.
     """
-    return load(df.sparkSession, store(df, name), df.schema)
+    return load(df.sparkSession, store(df, name, partition_by=partition_by), df.schema)

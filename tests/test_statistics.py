@@ -18,7 +18,7 @@ from skymeter.operators.composite import (
     min_max_normalize,
     top_rows,
 )
-from skymeter.operators.stats import group_stats, mean_by, ranked_by_mean
+from skymeter.operators.stats import by_key, group_stats, mean_by, ranked_by_mean, stats_by_each
 
 NAN = float("nan")
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -112,3 +112,15 @@ def test_index_needs_no_join_and_scans_three_times(spark, tmp_path):
     assert "Join" not in plan and "Cartesian" not in plan
     assert "unused" not in plan
     assert plan.count("ReusedSubquery") > 0 and len(final) > 1
+
+
+def test_stats_by_each_equals_separate_groupings_in_one_scan(spark, collected, tmp_path):
+    rows = [("a", 1, 1.0), ("a", 2, 3.0), (None, 1, 5.0), ("b", None, NAN), ("b", 1, None)]
+    path = str(tmp_path / "x")
+    spark.createDataFrame(rows, "station string, hour int, pm25 double").write.parquet(path)
+    df = spark.read.parquet(path)
+    stats = stats_by_each(df, ["station", "hour"], "pm25")
+    for key in ("station", "hour"):
+        expected = collected(group_stats(df, key, "pm25", ("mean", "max")))
+        assert collected(by_key(stats, key, "pm25", ("mean", "max"))) == expected
+    assert stats._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
