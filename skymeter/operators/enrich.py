@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skymeter.functions import nan_to_null, parse_decimal_comma
 from skymeter.operators.features import ingest_time_parts
 from skymeter.operators.stats import group_stats, stat_columns
-from skymeter.session import materialize
+from skymeter.session import BROADCAST_ROWS, stored_for_join
 
 STATS = ("mean", "max", "min")
 
@@ -37,14 +37,15 @@ def line_stats(df: DataFrame, value: str = "pollution", line: str = "line") -> D
     return group_stats(df, line, value, STATS, suffix="_line")
 
 
-def attach_stats(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
+def attach_stats(
+    df: DataFrame, stats: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Left join of group statistics to the rows they come from; a NULL key gets NULLs.
 
-    The statistics are stored first. Their true size then decides the join: small,
-    they are broadcast and the rows are not shuffled at all; otherwise it is a
-    shuffle join whose hot keys AQE splits.
+    The statistics are stored and counted first. Few, they are broadcast and the rows
+    are not shuffled at all; otherwise it is a shuffle join whose hot keys AQE splits.
     """
-    return df.join(materialize(stats, f"stats-{key}"), [key], "left")
+    return df.join(stored_for_join(stats, f"stats-{key}", broadcast_rows), [key], "left")
 
 
 def _reading(value: str, drop_null: bool) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
-from skymeter.session import discard, load, materialize, store
+from skymeter.session import discard, load, materialize, store, stored_for_join
 
 # Share passed on to neighbours, PageRank's reset probability and
 # tolerance, edge weight, attributes of a vertex nobody described.
@@ -130,7 +130,7 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
         F.sum("_copies").alias("_degree"),
         F.ceil(F.count(F.lit(1)) / F.lit(hot_degree)).cast("int").alias("blocks"),
     )
-    degrees = materialize(degrees, "degrees")
+    degrees = stored_for_join(degrees, "degrees")
     nodes = (
         vertices.select(F.col(key).alias("node"))
         .union(edges.select("src"))
@@ -159,7 +159,8 @@ def _rounds_sql(rounds: int, keep: float, tolerance: float, split: bool) -> str:
 
     A link to itself (no weight) passes the rank on; other links pass the change on
     if it exceeds the tolerance. Each round is one join and one aggregation by
-    receiver.
+    receiver. The join hashes the state, one row per vertex: partitions are sized by
+    rows, so a part of it fits in memory and neither side needs sorting.
     """
     source = "(SELECT *, explode(sequence(0, spread - 1)) AS block FROM {0})" if split else "{0}"
     keys = "node, block" if split else "node"
@@ -169,10 +170,10 @@ def _rounds_sql(rounds: int, keep: float, tolerance: float, split: bool) -> str:
         steps.append(f"""
             round{i} AS (
               SELECT node, rank + delta AS rank, delta, spread
-              FROM (SELECT dst AS node, sum(if(weight IS NULL, rank, 0D)) AS rank,
+              FROM (SELECT /*+ SHUFFLE_HASH(previous) */ dst AS node, sum(if(weight IS NULL, rank, 0D)) AS rank,
                            {keep!r}D * sum(if(weight IS NULL, 0D, delta * weight)) AS delta,
                            max(blocks) AS spread
-                    FROM {previous} JOIN links USING ({keys})
+                    FROM {previous} AS previous JOIN links USING ({keys})
                     WHERE weight IS NULL OR delta > {tolerance!r}D
                     GROUP BY dst))""")
     return f"WITH {','.join(steps)} SELECT * FROM round{rounds - 1}"
@@ -200,6 +201,8 @@ def pagerank(
     after the end change nothing, so stopping only between writes is exact.
     """
     spark = edges.sparkSession
+    edges = edges.select("src", "dst").dropna()
+    vertices = vertices.select(key).dropna()
     links_seen = Observation()
     links = _weighted_links(vertices, edges, key, hot_degree)
     links_path = store(
@@ -210,9 +213,8 @@ def pagerank(
     )
     split = links_seen.get["blocks"] > 1
     size = links_seen.get["rows"]
-    partitions = max(
-        -(-size // ROWS_PER_PARTITION), min(spark.sparkContext.defaultParallelism, -(-size // MIN_ROWS_PER_PARTITION)), 1
-    )
+    spread_out = min(spark.sparkContext.defaultParallelism, -(-size // MIN_ROWS_PER_PARTITION))
+    partitions = max(-(-size // ROWS_PER_PARTITION), spread_out, 1)
 
     # The loop has a session of its own, where one partition count holds for every
     # shuffle: what lets the cached links be joined in place. The caller's settings
@@ -225,7 +227,7 @@ def pagerank(
 
     by = ["node", "block"] if split else ["node"]
     stored = load(loop, links_path, links.schema)
-    placed = stored.repartition(partitions, *by).sortWithinPartitions(*by).persist()
+    placed = stored.repartition(partitions, *by).persist()
     placed.createOrReplaceTempView("links")
     rounds = _rounds_sql(rounds_per_write, 1.0 - reset, tolerance, split)
     start = F.lit(reset)

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _local_folders: dict[str, str] = {}
@@ -16,6 +17,9 @@ _local_folders: dict[str, str] = {}
 # sorts and hashes in an executor's memory and keeps 100 TB below 100,000 partitions.
 SHUFFLE_PARTITION_BYTES = 1024**3
 
+# Rows of a table of a key and a few numbers that may be broadcast: below 100 MB in memory.
+BROADCAST_ROWS = 500_000
+
 
 def shuffle_partitions(input_bytes: int, minimum: int = 1) -> int:
     """Partitions for a shuffle of whole rows: deduplication moves all of its input.
@@ -109,9 +113,19 @@ def discard(spark: SparkSession, path: str) -> None:
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Store ``df`` in the shared folder and return the stored table.
 
-    Cuts the lineage in a way that survives lost executors, and gives Catalyst the
-    real size of the table: a join with it is broadcast when its files are below
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled (with AQE's skew handling)
-    when they are not.
+    Cuts the lineage in a way that survives lost executors.
     """
     return load(df.sparkSession, store(df, name, partition_by=partition_by), df.schema)
+
+
+def stored_for_join(df: DataFrame, name: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Store a table of few columns and mark how to join it by its counted rows.
+
+    Up to ``broadcast_rows`` it is broadcast, so the other side is not shuffled. Beyond,
+    it is a shuffle join, where AQE splits the hot keys of the other side. The count is
+    a metric of the writing job; a task that runs twice can only raise it.
+    """
+    seen = Observation()
+    path = store(df, name, seen, [F.count(F.lit(1)).alias("rows")])
+    stored = load(df.sparkSession, path, df.schema)
+    return F.broadcast(stored) if seen.get["rows"] <= broadcast_rows else stored.hint("merge")

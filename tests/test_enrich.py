@@ -85,19 +85,16 @@ def test_hot_station_forms_no_pairs(spark):
     assert got.rows == 20_000 and got.pairs == hot * hot + (20_000 - hot)
 
 
-def test_statistics_are_broadcast_by_their_real_size(lines, spark):
+def test_statistics_are_broadcast_up_to_a_number_of_rows(lines, collected):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
-    assert "BroadcastHashJoin" in plan(attach_stats(lines, station_stats(lines), "station"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        joined = attach_stats(lines, station_stats(lines), "station")
-        assert "SortMergeJoin" in plan(joined)
-        assert joined.count() == len(ROWS)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    stats = station_stats(lines)
+    few = attach_stats(lines, stats, "station", broadcast_rows=stats.count())
+    many = attach_stats(lines, stats, "station", broadcast_rows=stats.count() - 1)
+    assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" in plan(many)
+    columns = ["i", "pollution_mean_station"]
+    assert collected(few, *columns) == collected(many, *columns)
 
 
 def test_enrich_keeps_every_row(spark, lines):

@@ -111,7 +111,8 @@ def test_pagerank_with_cycles_sink_and_source(spark, options):
 
 def test_pagerank_counts_parallel_edges_and_isolated_vertices(spark):
     edges = [(1, 2), (1, 2), (1, 3), (3, 3), (2, 1)]
-    assert ranks(spark, edges, [1, 9]) == pytest.approx(plain_pagerank(edges, [9]), abs=1e-9)
+    edges_with_gaps = [*edges, (1, None), (None, 2)]
+    assert ranks(spark, edges_with_gaps, [1, 9, None]) == pytest.approx(plain_pagerank(edges, [9]), abs=1e-9)
 
 
 def test_pagerank_without_edges_is_one_everywhere(spark):
