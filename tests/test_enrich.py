@@ -103,3 +103,28 @@ def test_enrich_keeps_every_row(spark, lines):
     assert [r.i for r in got] == [r[0] for r in ROWS]
     assert got[0].pollution_mean_line == 12.5 and got[0].partner_count == 3
     assert math.isnan(got[3].pollution) and got[0].timestamp is not None
+
+
+def test_hot_station_is_split_when_statistics_are_too_many_to_broadcast(spark):
+    """The station with a third of the readings is read by several tasks of the join."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 300_000, 1, 4).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("station"),
+            F.rand(1).alias("pollution"),
+        )
+        stats = df.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+        joined = attach_stats(df, stats, "station", broadcast_rows=0).agg(F.count("n").alias("n"))
+        assert joined.collect()[0].n == 300_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
