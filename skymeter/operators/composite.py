@@ -73,7 +73,8 @@ def anomaly_threshold(scored: DataFrame, index: str = "pollution_index", sigmas:
     """One row: mean, sample standard deviation and ``mean + sigmas * sd`` of the index."""
     mean = F.coalesce(F.avg(index), F.lit(0.0))
     sd = F.coalesce(F.stddev_samp(index), F.lit(0.0))
-    return scored.agg(mean.alias("mean_idx"), sd.alias("std_idx"), (mean + F.lit(sigmas) * sd).alias("threshold"))
+    threshold = mean + F.lit(sigmas) * sd
+    return scored.agg(mean.alias("mean_idx"), sd.alias("std_idx"), threshold.alias("threshold"))
 
 
 def _above(index: str, threshold: DataFrame) -> Column:

@@ -139,7 +139,8 @@ def stored_order_features(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(order_features(spark, folder), "order-features")
 
 
-ORDER_FEATURES = f"{RAW_ORDERS},{_clean_sql('raw_orders', 'o_orderkey, station')},{_features_sql('o_orderkey, station')}"
+_CLEAN_ORDERS = f"{RAW_ORDERS},{_clean_sql('raw_orders', 'o_orderkey, station')}"
+ORDER_FEATURES = f"{_CLEAN_ORDERS},{_features_sql('o_orderkey, station')}"
 
 
 LINE_MEASURES = ("quantity", "price", "discount", "tax")

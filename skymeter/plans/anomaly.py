@@ -47,7 +47,9 @@ def _index_only(df, columns):
 QUERIES = {
     "column_ranges": lambda s, d: column_ranges(event_features(s, d), EVENT_MEASURES),
     "min_max_normalize": lambda s, d: _rounded(
-        min_max_normalize(stored_event_features(s, d), EVENT_MEASURES).select("event_id", "pm25_norm", "pm10_norm"),
+        min_max_normalize(stored_event_features(s, d), EVENT_MEASURES).select(
+            "event_id", "pm25_norm", "pm10_norm"
+        ),
         ["pm25_norm", "pm10_norm"],
     ),
     "pollution_index": lambda s, d: _index_only(_scored_events(s, d), ["event_id", "pollution_index"]),

@@ -37,11 +37,8 @@ def _rounded(df, *columns, digits=6):
 
 def _rich_customers(spark, folder):
     """Vertices that do not cover all ends of the customer graph."""
-    return (
-        load_table(spark, folder, "customer")
-        .filter(F.col("c_acctbal") > 5000)
-        .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("station"), F.col("c_acctbal").alias("avg_pm25"))
-    )
+    rich = load_table(spark, folder, "customer").filter("c_acctbal > 5000")
+    return rich.selectExpr("c_custkey AS id", "c_name AS station", "c_acctbal AS avg_pm25")
 
 
 def graph_assembly(spark, folder):
@@ -84,10 +81,12 @@ QUERIES = {
 }
 
 _RICH = """rich AS (
-        SELECT c_custkey AS id, c_name AS station, c_acctbal AS avg_pm25 FROM customer WHERE c_acctbal > 5000)"""
+        SELECT c_custkey AS id, c_name AS station, c_acctbal AS avg_pm25 FROM customer
+        WHERE c_acctbal > 5000)"""
 
 ORACLE = {
-    "graph_vertices": f"WITH {NATION_READINGS} SELECT id, station, round(avg_pm25, 6) AS avg_pm25 FROM vertices",
+    "graph_vertices": f"""WITH {NATION_READINGS}
+        SELECT id, station, round(avg_pm25, 6) AS avg_pm25 FROM vertices""",
     "graph_edges": f"""WITH {NATION_READINGS}, {NATION_CONNECTIONS}
         SELECT s.id AS src_id, d.id AS dst_id, src, dst, CAST(1.0 AS DOUBLE) AS weight
         FROM connections JOIN vertices s ON src = s.station JOIN vertices d ON dst = d.station""",
@@ -97,7 +96,8 @@ ORACLE = {
         FROM (SELECT src AS end_id FROM edges UNION SELECT dst FROM edges)
         WHERE end_id NOT IN (SELECT id FROM rich)""",
     "edge_labels": f"""WITH {CUSTOMER_EDGES}, {_RICH}
-        SELECT dst AS id, src, coalesce(station, 'Unknown') AS station FROM edges LEFT JOIN rich ON dst = rich.id""",
+        SELECT dst AS id, src, coalesce(station, 'Unknown') AS station
+        FROM edges LEFT JOIN rich ON dst = rich.id""",
     "propagate": f"""WITH {NATION_READINGS}, {NATION_CONNECTIONS}
         SELECT dst AS station, round(sum(avg_pm25 * 0.1), 6) AS received
         FROM connections JOIN vertices ON src = station GROUP BY dst""",

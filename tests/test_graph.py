@@ -62,7 +62,8 @@ def test_labels_have_a_default(spark, vertices, collected):
 
 
 def test_propagation_sums_over_incoming_edges(spark, vertices, collected):
-    edges = connections_table(spark, [("Dongsi", "Tiantan"), ("Guanyuan", "Tiantan"), ("Guanyuan", "Tiantan"), ("Tiantan", "Dongsi")])
+    pairs = [("Dongsi", "Tiantan"), ("Guanyuan", "Tiantan"), ("Guanyuan", "Tiantan"), ("Tiantan", "Dongsi")]
+    edges = connections_table(spark, pairs)
     got = collected(propagate(vertices, edges))
     assert got == [("Dongsi", pytest.approx(4.0)), ("Tiantan", pytest.approx(1.0 + 2.0 + 2.0))]
     assert collected(propagate(vertices, edges, share=0.0)) == [("Dongsi", 0.0), ("Tiantan", 0.0)]

@@ -16,7 +16,10 @@ from skymeter.operators.regression import (
     training_rows,
 )
 
-COLUMNS = "pm25 double, year int, month int, day int, hour int, is_weekend int, station string, season string, datetime timestamp_ntz"
+COLUMNS = (
+    "pm25 double, year int, month int, day int, hour int, is_weekend int, station string, season string, "
+    "datetime timestamp_ntz"
+)
 GOOD = (5.0, 2013, 3, 1, 4, 0, "a", "spring", dt.datetime(2013, 3, 1, 4))
 
 
@@ -29,7 +32,9 @@ def test_rows_with_any_missing_value_are_dropped(spark):
 @pytest.fixture
 def data(spark):
     """Label with an additive part, a station effect and a step in the hour."""
-    return spark.range(3000).select(
+    step = F.when(F.col("hour").between(8, 15), 30.0).otherwise(0.0)
+    label = F.col("month") * 2.0 + step + (F.xxhash64("id") % 100) / 50.0
+    rows = spark.range(3000).select(
         "id",
         F.lit(2013).alias("year"),
         (F.col("id") % 12 + 1).cast("int").alias("month"),
@@ -38,10 +43,8 @@ def data(spark):
         (F.col("id") % 2).cast("int").alias("is_weekend"),
         F.concat(F.lit("s"), (F.col("id") * F.col("id") % 40).cast("string")).alias("station"),
         F.when(F.col("id") % 12 < 6, "winter").otherwise("summer").alias("season"),
-    ).withColumn(
-        "pm25",
-        F.col("month") * 2.0 + F.when(F.col("hour").between(8, 15), 30.0).otherwise(0.0) + (F.xxhash64("id") % 100) / 50.0,
     )
+    return rows.withColumn("pm25", label)
 
 
 def test_split_is_a_partition_that_survives_repartitioning(data):

@@ -32,7 +32,9 @@ def readings(spark):
 
 def test_group_stats_skip_null_and_nan(readings, collected):
     got = collected(group_stats(readings, "station", "pm25", ("mean", "max", "min", "count")))
-    assert got == [("a", 2.0, 3.0, 1.0, 2), ("b", 2.0, 2.0, 2.0, 1), ("c", 5.0, 5.0, 5.0, 1), ("d", None, None, None, 0)]
+    assert got == [
+        ("a", 2.0, 3.0, 1.0, 2), ("b", 2.0, 2.0, 2.0, 1), ("c", 5.0, 5.0, 5.0, 1), ("d", None, None, None, 0)
+    ]
 
 
 def test_ranking_breaks_ties_by_key_and_puts_unknown_means_last(readings):
@@ -57,7 +59,8 @@ def test_missing_becomes_zero_and_malformed_becomes_null(spark, collected):
 def test_constant_and_empty_measures(spark, collected):
     df = spark.createDataFrame([(4.0, None), (4.0, None)], "x double, y double")
     assert tuple(column_ranges(df, ["x", "y"]).first()) == (4.0, 4.0, 0.0, 0.0)
-    assert collected(composite_index(df, ["x", "y"]), "x_norm", "y_norm", "pollution_index") == [(0.0, 0.0, 0.0)] * 2
+    scored = composite_index(df, ["x", "y"])
+    assert collected(scored, "x_norm", "y_norm", "pollution_index") == [(0.0, 0.0, 0.0)] * 2
 
 
 def test_index_divides_by_the_number_of_measures(spark):
