@@ -22,8 +22,11 @@ UNKNOWN_STATION = "Unknown"
 UNKNOWN_VALUE = 0.0
 
 ROUNDS_PER_WRITE = 8
-ROWS_PER_PARTITION = 1_000_000
+# Links of a partition. A hash table of the state that goes with them stays below
+# 300 MB, and 10^11 links make 25,000 tasks a round.
+ROWS_PER_PARTITION = 4_000_000
 MIN_ROWS_PER_PARTITION = 50_000
+# Links of one vertex that are kept together.
 HOT_DEGREE = 1_000_000
 
 
