@@ -4,19 +4,29 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skymeter.llm.packing import packed_documents
+from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(load_table(spark, folder, "documents"))
+    written = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", written.alias("fingerprint"), "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens, one row per piece."""
     return packed_documents(load_table(spark, folder, "documents"), WORD_TOKENIZER)
 
 
 QUERIES = {
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
 }
 
