@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymeter.llm import languages
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -25,9 +26,17 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(load_table(spark, folder, "documents"), WORD_TOKENIZER)
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, by a model of those that are not held out."""
+    documents = load_table(spark, folder, "documents")
+    found = languages.predict(documents, languages.fit(documents))
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages", "rejected")
+
+
 QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {}
