@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages
+from skymeter.llm import languages, secrets
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -14,6 +14,24 @@ from skymeter.sources import load_table
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document, by rules and by a network trained on their findings."""
+    documents = load_table(spark, folder, "documents")
+    found = secrets.findings(documents, secrets.train(documents))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    by_rule = F.filter("findings", lambda s: s["kind"] != "model")
+    return found.select(
+        "doc_id",
+        *map(count, secrets.KINDS[:3]),
+        F.sha2(secrets.written(by_rule), 256).alias("base_sha256"),
+        secrets.written(F.col("findings")).alias("spans"),
+        count("model"),
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(load_table(spark, folder, "documents"))
@@ -34,6 +52,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
