@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, secrets
+from skymeter.llm import languages, secrets, spots
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -32,6 +32,11 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Spot fingerprints of every document and its edited text, and their likeness."""
+    return spots.fingerprints(load_table(spark, folder, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(load_table(spark, folder, "documents"))
@@ -53,6 +58,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
