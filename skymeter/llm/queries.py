@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, secrets, spots
+from skymeter.llm import languages, secrets, spots, warc
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -56,12 +56,35 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages", "rejected")
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    return warc.archived_pages(spark, warc.archive_pages(load_table(spark, folder, "pages")))
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS largest FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(h, CAST((i // 4) * 5 + 1 AS INT), 5))::BIGINT >> CAST(15 - (i % 4) * 5 AS INT)) & 31), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to, url AS target_uri
+FROM k
+"""
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op10_warc": OP10_SQL,
+}
