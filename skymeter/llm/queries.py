@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, secrets, spots, warc
+from skymeter.llm import languages, lines, secrets, spots, warc
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -49,6 +49,47 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(load_table(spark, folder, "documents"), WORD_TOKENIZER)
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without later copies of line runs of at least 50 words."""
+    cut = lines.remove_repeated_lines(load_table(spark, folder, "documents"))
+    return cut.select("doc_id", F.array_join("removed_lines", ",").alias("removed_lines"), "text")
+
+
+# Every shortest run of at least 50 words, from each line and up to each line.
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n
+  FROM documents WHERE text IS NOT NULL),
+w AS (
+  SELECT *, len(regexp_extract_all(line, '[^\s\x0b]+')) AS words FROM l),
+o AS (
+  SELECT *, row_number() OVER d AS seq, sum(words) OVER d AS after
+  FROM w WHERE words > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
+fwd AS (
+  SELECT a.doc_id, a.seq AS s, min(b.seq) AS e
+  FROM o a JOIN o b ON b.doc_id = a.doc_id AND b.seq >= a.seq AND b.after - a.after + a.words >= 50 GROUP BY ALL),
+bwd AS (
+  SELECT b.doc_id, max(a.seq) AS s, b.seq AS e
+  FROM o a JOIN o b ON b.doc_id = a.doc_id AND b.seq >= a.seq AND b.after - a.after + a.words >= 50
+  GROUP BY b.doc_id, b.seq),
+runs AS (
+  SELECT r.doc_id, s, min(o.n) AS lo, max(o.n) AS hi, string_agg(line, chr(10) ORDER BY o.n) AS body
+  FROM (SELECT * FROM fwd UNION SELECT * FROM bwd) r JOIN o ON o.doc_id = r.doc_id AND o.seq BETWEEN s AND e
+  GROUP BY r.doc_id, s, e),
+later AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS k FROM runs),
+gone AS (
+  SELECT DISTINCT w.doc_id, w.n FROM w JOIN later r ON r.doc_id = w.doc_id AND k > 1 AND w.n BETWEEN lo AND hi),
+kept AS (
+  SELECT w.doc_id, string_agg(w.line, chr(10) ORDER BY w.n) FILTER (g.n IS NULL) AS text,
+         string_agg(w.n::VARCHAR, ',' ORDER BY w.n) FILTER (g.n IS NOT NULL) AS removed
+  FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.n = w.n GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(removed, '') AS removed_lines,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, by a model of those that are not held out."""
     documents = load_table(spark, folder, "documents")
@@ -81,10 +122,12 @@ QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_line_dedup": op7_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }
 
 ORACLE = {
+    "op7_line_dedup": OP7_SQL,
     "op10_warc": OP10_SQL,
 }
