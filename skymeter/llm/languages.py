@@ -21,9 +21,11 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 BUCKET_BITS = 15
 SAMPLE_PER_LANGUAGE = 5_000
@@ -178,3 +180,15 @@ def predict(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: st
     found = chosen.mapInArrow(identify, schema)
     rejected = (F.col("lang_pred") == UNDETERMINED) | (F.col("background") > MOST_BACKGROUND)
     return found.withColumn("rejected", rejected)
+
+
+def keep_identified(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents that ``predict`` does not reject, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(BooleanType())
+    def identified(texts: pd.Series) -> pd.Series:
+        found = [shared.value.predict(t) for t in texts]
+        return pd.Series([lang != UNDETERMINED and background <= MOST_BACKGROUND for lang, _, _, background in found])
+
+    return documents.filter(identified(F.col(text)))
