@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, lines, secrets, spots, warc
+from skymeter.llm import languages, lines, nearest, secrets, spots, warc
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -49,6 +49,25 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(load_table(spark, folder, "documents"), WORD_TOKENIZER)
 
 
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector with all others."""
+    return nearest.top_k(load_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without later copies of line runs of at least 50 words."""
     cut = lines.remove_repeated_lines(load_table(spark, folder, "documents"))
@@ -122,12 +141,14 @@ QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_line_dedup": op7_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }
 
 ORACLE = {
+    "op6_exact_top_k": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_warc": OP10_SQL,
 }
