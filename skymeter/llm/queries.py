@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, lines, nearest, secrets, spots, warc
+from skymeter.llm import languages, lines, nearest, secrets, sentencepieces, spots, token_counts, warc
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return spots.fingerprints(load_table(spark, folder, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded, compared with the library and decoded again."""
+    return sentencepieces.verified(load_table(spark, folder, "documents"), PIECE_MODEL)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(load_table(spark, folder, "documents"))
@@ -109,6 +115,11 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts and unigram tokens of every document."""
+    return token_counts.token_counts(load_table(spark, folder, "documents"), PIECE_MODEL)
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, by a model of those that are not held out."""
     documents = load_table(spark, folder, "documents")
@@ -139,10 +150,12 @@ FROM k
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_dedup": op7_line_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }
