@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skymeter.functions import parse_number
@@ -19,9 +19,14 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def type_time_parts(df: DataFrame, time_parts: Sequence[str] = TIME_PARTS) -> DataFrame:
-    """Time parts as integers, NULL where the text is not one."""
+    """Time parts as integers, NULL where the text is not one; ``2013.0`` is."""
     require_columns(df, time_parts)
-    return df.withColumns({c: F.col(c).try_cast("int") for c in time_parts})
+    return df.withColumns({c: _integer(F.col(c)) for c in time_parts})
+
+
+def _integer(text: Column) -> Column:
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number).try_cast("int"))
 
 
 def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -37,8 +42,9 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     rest = [c for c in df.columns if c not in subset]
     if not rest:
         return df.dropDuplicates()
-    kept = df.groupBy(*subset).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*subset, "_row.*").select(*df.columns)
+    # The first row of each group is picked before the shuffle as well as after it.
+    place = F.row_number().over(Window.partitionBy(*subset).orderBy(*rest))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def _usable(time_parts: Sequence[str], value: Column) -> Column:
@@ -58,13 +64,18 @@ def clean_readings(
 ) -> DataFrame:
     """Distinct rows that have a full time and a usable measure, parsed into ``output``.
 
+    With ``dedupe_on``, one usable row of each group that agrees in these columns: the
+    smallest. Unusable rows go first, so a group with a reading keeps one.
+
     Select the columns you need first: nothing can be pruned below a comparison of
     whole rows. The filters do move below it, into the scan stage.
     """
     require_columns(df, [measure])
-    distinct = dedupe(type_time_parts(df, time_parts), dedupe_on)
+    typed = type_time_parts(df, time_parts)
+    distinct = typed if dedupe_on is not None else dedupe(typed)
     parsed = distinct.withColumn(output, parse_number(F.col(measure), strict=strict))
-    return parsed.filter(_usable(time_parts, F.col(output)))
+    usable = parsed.filter(_usable(time_parts, F.col(output)))
+    return usable if dedupe_on is None else dedupe(usable, dedupe_on)
 
 
 def assess_readings(
@@ -73,17 +84,28 @@ def assess_readings(
     output: str = "pm25_clean",
     time_parts: Sequence[str] = TIME_PARTS,
     strict: bool = False,
+    dedupe_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Distinct rows, usable or not, with the parsed measure, ``copies`` and ``usable``.
 
-    The usable ones are the clean readings. Both they and the quality report come out
+    With ``dedupe_on``, one row of each group that agrees in these columns: the smallest
+    usable one, or the smallest if none is usable. The usable ones are the clean readings. Both they and the quality report come out
     of one shuffle of the raw rows when this table is stored.
     """
     require_columns(df, [measure])
     typed = type_time_parts(df, time_parts)
-    distinct = typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("copies"))
-    parsed = distinct.withColumn(output, parse_number(F.col(measure), strict=strict))
-    return parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+    if dedupe_on is None:
+        distinct = typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("copies"))
+        parsed = distinct.withColumn(output, parse_number(F.col(measure), strict=strict))
+        return parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+    require_columns(df, dedupe_on)
+    parsed = typed.withColumn(output, parse_number(F.col(measure), strict=strict))
+    assessed = parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+    rest = [c for c in typed.columns if c not in dedupe_on]
+    order = F.struct((~F.col("usable")).alias("unusable"), *rest, output, "usable")
+    grouped = assessed.groupBy(*dedupe_on).agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("_row"))
+    kept = grouped.select(*dedupe_on, "_row.*", "copies")
+    return kept.select(*typed.columns, "copies", output, "usable")
 
 
 def quality_of(assessed: DataFrame) -> DataFrame:
@@ -100,6 +122,7 @@ def quality_report(
     measure: str = "pm25_raw",
     time_parts: Sequence[str] = TIME_PARTS,
     strict: bool = False,
+    dedupe_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Row counts of raw readings, from a single pass over them."""
-    return quality_of(assess_readings(df, measure, time_parts=time_parts, strict=strict))
+    return quality_of(assess_readings(df, measure, time_parts=time_parts, strict=strict, dedupe_on=dedupe_on))

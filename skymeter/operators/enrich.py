@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skymeter.functions import nan_to_null, parse_decimal_comma
 from skymeter.operators.features import ingest_time_parts
 from skymeter.operators.stats import group_stats, stat_columns
-from skymeter.session import BROADCAST_ROWS, stored_for_join
+from skymeter.session import BROADCAST_BYTES, stored_for_join
 
 STATS = ("mean", "max", "min")
 
@@ -38,14 +38,14 @@ def line_stats(df: DataFrame, value: str = "pollution", line: str = "line") -> D
 
 
 def attach_stats(
-    df: DataFrame, stats: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, stats: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join of group statistics to the rows they come from; a NULL key gets NULLs.
 
     The statistics are stored and counted first. Few, they are broadcast and the rows
     are not shuffled at all; otherwise it is a shuffle join whose hot keys AQE splits.
     """
-    return df.join(stored_for_join(stats, f"stats-{key}", broadcast_rows), [key], "left")
+    return df.join(stored_for_join(stats, f"stats-{key}", broadcast_bytes), [key], "left")
 
 
 def _reading(value: str, drop_null: bool) -> Column:
@@ -91,12 +91,13 @@ def enrich(
     station: str = "station",
     line: str = "line",
     value: str = "pollution",
+    at: Column | None = None,
 ) -> DataFrame:
     """The whole enrichment: parsed measure, ingest time, station and line statistics, partners.
 
-    Two aggregations over the rows, one per key, and two joins.
+    ``at`` is the ingest time, by default the query's start. Two aggregations over the rows, one per key, and two joins.
     """
-    parsed = ingest_time_parts(parse_pollution(df, measure, value))
+    parsed = ingest_time_parts(parse_pollution(df, measure, value), at=at)
     by_station = parsed.groupBy(station).agg(*stat_columns(value, STATS, "_station"), *partner_columns(value))
     with_station = _no_partner(attach_stats(parsed, by_station, station))
     return attach_stats(with_station, line_stats(parsed, value, line), line)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymeter.functions import hour_category, is_weekend, reading_time, season
@@ -32,9 +32,9 @@ def time_parts(df: DataFrame, time: str) -> DataFrame:
     return df.withColumns({"hour": F.hour(t), "day": F.dayofmonth(t), "month": F.month(t)})
 
 
-def ingest_time_parts(df: DataFrame, output: str = "timestamp") -> DataFrame:
-    """Stamps rows with the query's start time and its ``hour, day, month``."""
-    return time_parts(df.withColumn(output, F.current_timestamp()), output)
+def ingest_time_parts(df: DataFrame, output: str = "timestamp", at: Column | None = None) -> DataFrame:
+    """Stamps rows with a time, by default the query's start, and its ``hour, day, month``."""
+    return time_parts(df.withColumn(output, F.current_timestamp() if at is None else at), output)
 
 
 def preview(df: DataFrame, columns: list[str], order_by: list[str], n: int = 10) -> DataFrame:

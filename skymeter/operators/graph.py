@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
-from skymeter.session import discard, load, materialize, store, stored_for_join
+from skymeter.session import discard, load, materialize, scratch, store, stored_for_join
 
 # Share passed on to neighbours, PageRank's reset probability and
 # tolerance, edge weight, attributes of a vertex nobody described.
@@ -128,7 +128,8 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
     carries its state from round to round. The links of a node with more than
     ``hot_degree`` of them are spread over several blocks.
     """
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_copies"))
+    # Read four times from here on.
+    pairs = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_copies")), "pairs")
     degrees = pairs.groupBy("src").agg(
         F.sum("_copies").alias("_degree"),
         F.ceil(F.count(F.lit(1)) / F.lit(hot_degree)).cast("int").alias("blocks"),
@@ -136,8 +137,8 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
     degrees = stored_for_join(degrees, "degrees")
     nodes = (
         vertices.select(F.col(key).alias("node"))
-        .union(edges.select("src"))
-        .union(edges.select("dst"))
+        .union(pairs.select("src"))
+        .union(pairs.select("dst"))
         .distinct()
     )
     links = pairs.join(degrees, "src").select(
@@ -199,10 +200,19 @@ def pagerank(
 
     Links stay partitioned by source for the whole loop, and the sums of a round come
     out partitioned the same way, so a round shuffles messages (already combined per
-    task) and nothing else. After some rounds the state is written to the shared
+    task) and nothing else. If a vertex has more than ``hot_degree`` links, the state is
+    dealt to the blocks of links by one more shuffle a round. After some rounds the state is written to the shared
     folder, which cuts the lineage; the same job counts who would send next. Rounds
     after the end change nothing, so stopping only between writes is exact.
     """
+    with scratch(edges.sparkSession) as area:
+        ranks = _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_write, area)
+    scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
+    return ranks.select(F.col("node").alias(key), (F.col("rank") * scale).alias("rank"))
+
+
+def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_write, area) -> DataFrame:
+    """Unscaled ranks in a stored table; all others are left to the scope."""
     spark = edges.sparkSession
     edges = edges.select("src", "dst").dropna()
     vertices = vertices.select(key).dropna()
@@ -252,8 +262,5 @@ def pagerank(
                 discard(spark, previous)
     finally:
         placed.unpersist()
-    discard(spark, links_path)
-
-    ranks = load(spark, path, state.schema)
-    scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).scalar()
-    return ranks.select(F.col("node").alias(key), (F.col("rank") * scale).alias("rank"))
+    area.keep(path)
+    return load(spark, path, state.schema)

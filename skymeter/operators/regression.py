@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymeter.functions import hash_bucket
+from skymeter.session import stored_for_join
 
 # Label, features, share of training rows, seed, model parameters.
 LABEL = "pm25"
@@ -24,6 +25,10 @@ DEFAULT_MAX_BINS = 32
 
 SPLIT_BUCKETS = 10_000
 
+# Categories of a feature up to which trees take it as one. Trees keep statistics for each
+# category and the driver all names; beyond, use means_by_category for the feature.
+MOST_CATEGORIES = 1_000
+
 
 def training_rows(
     df: DataFrame,
@@ -74,14 +79,33 @@ def feature_stages(
     return stages
 
 
+def means_by_category(train: DataFrame, df: DataFrame, category: str, label: str = LABEL) -> DataFrame:
+    """``df`` with ``<category>_mean``: the training rows' mean label of the row's category.
+
+    A numeric stand-in for a category with very many values, for which trees need no bin
+    per value. Values not seen in training get the mean of all training rows.
+    """
+    name = f"{category}_mean"
+    means = stored_for_join(train.groupBy(category).agg(F.avg(label).alias(name)), "category-means")
+    overall = train.agg(F.avg(label)).scalar()
+    return df.join(means, category, "left").withColumn(name, F.coalesce(name, overall))
+
+
 def max_bins(prefix: PipelineModel) -> int:
-    """Bins that hold every category of the fitted indexers."""
+    """Bins that hold every category of the fitted indexers.
+
+    An error above ``MOST_CATEGORIES``: nothing is cut off in silence.
+    """
     sizes = [
         len(labels)
         for stage in prefix.stages
         if isinstance(stage, StringIndexerModel)
         for labels in stage.labelsArray
     ]
+    if max(sizes, default=0) > MOST_CATEGORIES:
+        raise ValueError(
+            f"a feature has {max(sizes)} categories, more than {MOST_CATEGORIES}: use means_by_category for it"
+        )
     return max([DEFAULT_MAX_BINS, *sizes])
 
 
@@ -134,7 +158,7 @@ def fit_models(
     """Fits the named models on the same stored vectors; model ``m`` predicts into ``m``."""
     vectors = prefix.transform(train).select(label, "features").persist()
     try:
-        bins = max_bins(prefix)
+        bins = max_bins(prefix) if set(names) - {"linear_regression"} else DEFAULT_MAX_BINS
         return {n: ESTIMATORS[n](label, n, bins).fit(vectors) for n in names}
     finally:
         vectors.unpersist()

@@ -55,22 +55,25 @@ def by_key(stats: DataFrame, key: str, value: str, names: Sequence[str] = ("mean
     return stats.filter(F.col("grouped_by") == key).select(key, *[f"{value}_{n}" for n in names])
 
 
-def in_key_order(stats: DataFrame, key: str, limit: int) -> DataFrame:
-    return stats.orderBy(key).limit(limit)
+def in_key_order(stats: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """All groups in the order of the key; with a ``limit`` the first of them."""
+    ordered = stats.orderBy(key)
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def highest_first(stats: DataFrame, key: str, value: str, limit: int) -> DataFrame:
+def highest_first(stats: DataFrame, key: str, value: str, limit: int | None = None) -> DataFrame:
     """Groups with the highest mean first; equal means in the order of the key."""
-    return stats.orderBy(F.desc(f"{value}_mean"), F.asc(key)).limit(limit)
+    ordered = stats.orderBy(F.desc(f"{value}_mean"), F.asc(key))
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def mean_by(df: DataFrame, key: str, value: str, limit: int) -> DataFrame:
+def mean_by(df: DataFrame, key: str, value: str, limit: int | None = None) -> DataFrame:
     """Mean per group in the order of the key (hours, months, years)."""
     return in_key_order(group_stats(df, key, value), key, limit)
 
 
 def ranked_by_mean(
-    df: DataFrame, key: str, value: str, limit: int, stats: Sequence[str] = ("mean",)
+    df: DataFrame, key: str, value: str, limit: int | None = None, stats: Sequence[str] = ("mean",)
 ) -> DataFrame:
-    """Statistics of the groups with the highest means."""
+    """Statistics of the groups, those with the highest means first."""
     return highest_first(group_stats(df, key, value, stats), key, value, limit)

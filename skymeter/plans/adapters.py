@@ -208,11 +208,12 @@ vertices AS (
 
 
 def nation_connections(spark: SparkSession, folder: str) -> DataFrame:
-    """``src`` nation supplied a large returned line to a customer in ``dst`` nation.
+    """``src`` nation supplied a line to a customer in ``dst`` nation.
 
-    Names are joined last, on at most one row per pair of nations.
+    Pairs of nations combine before they move; names are joined last, on at most one row
+    per pair.
     """
-    line = load_table(spark, folder, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 49")
+    line = load_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
     orders = load_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customer = load_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     supplier = load_table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
@@ -234,8 +235,7 @@ connections AS (
   SELECT DISTINCT s.n_name AS src, d.n_name AS dst
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN supplier ON l_suppkey = s_suppkey JOIN nation s ON s_nationkey = s.n_nationkey
-       JOIN nation d ON c_nationkey = d.n_nationkey
-  WHERE l_returnflag = 'R' AND l_quantity >= 49)"""
+       JOIN nation d ON c_nationkey = d.n_nationkey)"""
 
 
 def customer_vertices(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,6 +256,19 @@ edges AS (
   FROM orders)"""
 
 
+def edges_beyond(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer edges, every seventh end shifted past the last customer."""
+    last = load_table(spark, folder, "customer").agg(F.max("c_custkey")).scalar()
+    shifted = F.when(F.col("dst") % 7 == 0, F.col("dst") + last + 1).otherwise(F.col("dst"))
+    return customer_edges(spark, folder).select("src", shifted.alias("dst"))
+
+
+EDGES_BEYOND = f"""{CUSTOMER_EDGES},
+beyond AS (
+  SELECT src, CASE WHEN dst % 7 = 0 THEN dst + (SELECT max(c_custkey) FROM customer) + 1 ELSE dst END AS dst
+  FROM edges)"""
+
+
 def customer_chain(spark: SparkSession, folder: str) -> DataFrame:
     """An edge from each customer to the one with the next number."""
     key = F.col("station")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skymeter.session import load, work_path
+from skymeter.session import discard, load, work_path
 from skymeter.streaming import alert_readings, flag_readings, read_reading_stream, write_stream
 
 EVENT_SCHEMA = T.StructType(
@@ -32,8 +32,9 @@ def _flagged_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def _run(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
-    path = work_path(spark, name)
-    write_stream(df, path, work_path(spark, f"{name}-state")).awaitTermination()
+    path, state = work_path(spark, name), work_path(spark, f"{name}-state")
+    write_stream(df, path, state).awaitTermination()
+    discard(spark, state)
     return load(spark, path, df.schema)
 
 

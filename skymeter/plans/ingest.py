@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from skymeter.operators.cleaning import dedupe, quality_report
-from skymeter.operators.features import ingest_time_parts, preview, time_parts
+from pyspark.sql import functions as F
+
+from skymeter.operators.cleaning import clean_readings, dedupe, quality_of, quality_report
+from skymeter.operators.features import PREVIEW_COLUMNS, ingest_time_parts, preview, time_parts
 from skymeter.plans.adapters import (
     CLEAN_EVENTS,
     EVENT_FEATURES,
@@ -15,6 +17,7 @@ from skymeter.plans.adapters import (
     order_features,
     raw_events,
 )
+from skymeter.plans.report import stored_features
 from skymeter.session import work_path
 from skymeter.sources import load_table, read_readings
 
@@ -23,32 +26,71 @@ FEATURE_COLUMNS = [
     "event_id", "station", "year", "month", "day", "hour", "pm25", "datetime", "season",
     "is_weekend", "hour_category",
 ]
-PREVIEW = ["datetime", "season", "is_weekend", "hour_category", "pm25", "station"]
+# The columns of the two previews.
+PREVIEW = [*PREVIEW_COLUMNS, "pm25", "station"]
+CLEAN_PREVIEW = ["year", "month", "day", "hour", "pm25_clean", "station"]
 
+# What identifies a reading where copies differ in a row number.
+READING_KEY = ["station", "site", "day", "hour"]
+# The time of arrival in the registered query, as text both sides read.
+INGEST_TIME = "2025-03-09 17:45:30"
+CSV_SCHEMA = "event_id long, station string, site string, year int, month int, day int, hour int, pm25_raw string, pm10_raw string"
 
-def csv_scan(spark, folder):
+
+def _csv(spark, folder):
+    """The raw events as CSV files with the header of the raw files."""
     path = work_path(spark, "readings-csv")
     raw_events(spark, folder).withColumnRenamed("pm25_raw", "PM2.5").write.option("header", True).csv(path)
-    return read_readings(spark, path).select(*RAW_COLUMNS)
+    return path
+
+
+def csv_scan(spark, folder):
+    return read_readings(spark, _csv(spark, folder)).select(*RAW_COLUMNS)
+
+
+def csv_scan_inferred(spark, folder):
+    """Columns typed by their values: integers, except for the two dirty measures."""
+    return read_readings(spark, _csv(spark, folder), infer_schema=True).select(*RAW_COLUMNS)
+
+
+def csv_scan_schema(spark, folder):
+    """Columns of a given schema, whose names are those of the header."""
+    given = spark.createDataFrame([], CSV_SCHEMA).withColumnRenamed("pm25_raw", "PM2.5").schema
+    return read_readings(spark, _csv(spark, folder), schema=given).select(*RAW_COLUMNS)
 
 
 def ingest_parts(spark, folder):
-    stamped = ingest_time_parts(load_table(spark, folder, "events").select("event_id"))
+    at = F.lit(INGEST_TIME).cast("timestamp_ntz")
+    stamped = ingest_time_parts(load_table(spark, folder, "events").select("event_id"), at=at)
     return stamped.select("event_id", "timestamp", "hour", "day", "month")
 
 
+def clean_subset(spark, folder):
+    return clean_readings(raw_events(spark, folder), dedupe_on=READING_KEY).select(*CLEAN_COLUMNS)
+
+
+def report_quality(spark, folder):
+    """The counts that come out of the report's stored features."""
+    return stored_features(raw_events(spark, folder))[1]
+
+
 def stored_parts(spark, folder):
     return time_parts(load_table(spark, folder, "events").select("event_id", "ts"), "ts")
 
 
 QUERIES = {
     "csv_scan": csv_scan,
+    "csv_scan_inferred": csv_scan_inferred,
+    "csv_scan_schema": csv_scan_schema,
     "dedupe": lambda s, d: dedupe(raw_events(s, d)),
     "dedupe_subset": lambda s, d: dedupe(
         raw_events(s, d).select("station", "day", "hour", "event_id", "pm25_raw"), ["station", "day", "hour"]
     ),
     "clean_readings": lambda s, d: clean_events(s, d).select(*CLEAN_COLUMNS),
+    "clean_readings_subset": clean_subset,
     "quality_report": lambda s, d: quality_report(raw_events(s, d)),
+    "quality_report_subset": lambda s, d: quality_report(raw_events(s, d), dedupe_on=READING_KEY),
+    "report_quality": report_quality,
     "temporal_features": lambda s, d: event_features(s, d).select(*FEATURE_COLUMNS),
     "temporal_features_years": lambda s, d: order_features(s, d).select(
         "o_orderkey", "datetime", "season", "is_weekend", "hour_category"
@@ -56,12 +98,32 @@ QUERIES = {
     "time_parts": stored_parts,
     "ingest_time_parts": ingest_parts,
     "preview_clean": lambda s, d: preview(
-        clean_events(s, d), ["year", "month", "day", "hour", "pm25_clean", "station"], ["event_id"]
+        clean_events(s, d), CLEAN_PREVIEW, ["event_id"]
     ),
     "preview_features": lambda s, d: preview(event_features(s, d), PREVIEW, ["event_id"]),
 }
 
+_QUALITY = f"""WITH {CLEAN_EVENTS}
+        SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM typed) AS distinct_rows,
+               (SELECT count(*) FROM clean) AS clean_rows"""
+_TYPED_CSV = f"""WITH {RAW_EVENTS}
+        SELECT event_id, station, site, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month,
+               CAST(day AS INTEGER) AS day, CAST(hour AS INTEGER) AS hour,
+               nullif(pm25_raw, '') AS pm25_raw, pm10_raw FROM raw"""
+
 ORACLE = {
+    "csv_scan_inferred": _TYPED_CSV.replace("SELECT event_id,", "SELECT CAST(event_id AS INTEGER) AS event_id,"),
+    "csv_scan_schema": _TYPED_CSV,
+    "clean_readings_subset": f"""WITH {CLEAN_EVENTS},
+        placed AS (SELECT *, row_number() OVER (PARTITION BY {", ".join(READING_KEY)}
+                   ORDER BY event_id, year, month, pm25_raw, pm10_raw NULLS FIRST) AS n FROM clean)
+        SELECT {', '.join(CLEAN_COLUMNS)} FROM placed WHERE n = 1""",
+    "quality_report_subset": f"""WITH {CLEAN_EVENTS}, keys AS (SELECT DISTINCT {", ".join(READING_KEY)} FROM typed)
+        SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM keys) AS distinct_rows,
+               (SELECT count(*) FROM (SELECT DISTINCT {", ".join(READING_KEY)} FROM clean)) AS clean_rows""",
+    "report_quality": _QUALITY,
+    "ingest_time_parts": f"""SELECT event_id, TIMESTAMP '{INGEST_TIME}' AS timestamp, 17 AS hour, 9 AS day, 3 AS month
+        FROM events""",
     # Every column of a CSV file is text, and an empty field is a missing one.
     "csv_scan": f"""WITH {RAW_EVENTS}
         SELECT CAST(event_id AS VARCHAR) AS event_id, station, site, year, month, day, hour,
@@ -73,16 +135,14 @@ ORACLE = {
                    FROM raw)
         SELECT station, day, hour, event_id, pm25_raw FROM ranked WHERE n = 1""",
     "clean_readings": f"WITH {CLEAN_EVENTS} SELECT {', '.join(CLEAN_COLUMNS)} FROM clean",
-    "quality_report": f"""WITH {CLEAN_EVENTS}
-        SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM typed) AS distinct_rows,
-               (SELECT count(*) FROM clean) AS clean_rows""",
+    "quality_report": _QUALITY,
     "temporal_features": f"WITH {EVENT_FEATURES} SELECT {', '.join(FEATURE_COLUMNS)} FROM features",
     "temporal_features_years": f"""WITH {ORDER_FEATURES}
         SELECT o_orderkey, datetime, season, is_weekend, hour_category FROM features""",
     "time_parts": """SELECT event_id, ts, CAST(hour(ts) AS INTEGER) AS hour, CAST(day(ts) AS INTEGER) AS day,
         CAST(month(ts) AS INTEGER) AS month FROM events""",
     "preview_clean": f"""WITH {CLEAN_EVENTS}
-        SELECT year, month, day, hour, pm25_clean, station FROM clean ORDER BY event_id LIMIT 10""",
+        SELECT {", ".join(CLEAN_PREVIEW)} FROM clean ORDER BY event_id LIMIT 10""",
     "preview_features": f"""WITH {EVENT_FEATURES}
         SELECT {", ".join(PREVIEW)} FROM features ORDER BY event_id LIMIT 10""",
 }

@@ -16,11 +16,13 @@ from skymeter.operators.graph import (
 )
 from skymeter.plans.adapters import (
     CUSTOMER_EDGES,
+    EDGES_BEYOND,
     NATION_CONNECTIONS,
     NATION_READINGS,
     customer_chain,
     customer_edges,
     customer_vertices,
+    edges_beyond,
     nation_connections,
     nation_readings,
 )
@@ -35,22 +37,22 @@ def _rounded(df, *columns, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _rich_customers(spark, folder):
-    """Vertices that do not cover all ends of the customer graph."""
-    rich = load_table(spark, folder, "customer").filter("c_acctbal > 5000")
-    return rich.selectExpr("c_custkey AS id", "c_name AS station", "c_acctbal AS avg_pm25")
+def _customers(spark, folder):
+    """Vertices that do not cover all ends of the edges."""
+    customers = load_table(spark, folder, "customer")
+    return customers.selectExpr("c_custkey AS id", "c_name AS station", "c_acctbal AS avg_pm25")
 
 
 def graph_assembly(spark, folder):
     defaults = {"station": UNKNOWN_STATION, "avg_pm25": UNKNOWN_VALUE}
     return assemble_vertices(
-        _rich_customers(spark, folder), customer_edges(spark, folder), key="id", defaults=defaults
+        _customers(spark, folder), edges_beyond(spark, folder), key="id", defaults=defaults
     )
 
 
 def edge_labels(spark, folder):
-    vertices = _rich_customers(spark, folder)
-    edges = customer_edges(spark, folder).select(F.col("dst").alias("id"), "src")
+    vertices = _customers(spark, folder)
+    edges = edges_beyond(spark, folder).select(F.col("dst").alias("id"), "src")
     return label_by_key(edges, vertices)
 
 
@@ -80,9 +82,7 @@ QUERIES = {
     "pagerank_chain": chain_ranks,
 }
 
-_RICH = """rich AS (
-        SELECT c_custkey AS id, c_name AS station, c_acctbal AS avg_pm25 FROM customer
-        WHERE c_acctbal > 5000)"""
+_CUSTOMERS = "known AS (SELECT c_custkey AS id, c_name AS station, c_acctbal AS avg_pm25 FROM customer)"
 
 ORACLE = {
     "graph_vertices": f"""WITH {NATION_READINGS}
@@ -90,14 +90,14 @@ ORACLE = {
     "graph_edges": f"""WITH {NATION_READINGS}, {NATION_CONNECTIONS}
         SELECT s.id AS src_id, d.id AS dst_id, src, dst, CAST(1.0 AS DOUBLE) AS weight
         FROM connections JOIN vertices s ON src = s.station JOIN vertices d ON dst = d.station""",
-    "graph_assembly": f"""WITH {CUSTOMER_EDGES}, {_RICH}
-        SELECT * FROM rich UNION ALL
+    "graph_assembly": f"""WITH {EDGES_BEYOND}, {_CUSTOMERS}
+        SELECT * FROM known UNION ALL
         SELECT end_id AS id, 'Unknown' AS station, 0.0 AS avg_pm25
-        FROM (SELECT src AS end_id FROM edges UNION SELECT dst FROM edges)
-        WHERE end_id NOT IN (SELECT id FROM rich)""",
-    "edge_labels": f"""WITH {CUSTOMER_EDGES}, {_RICH}
+        FROM (SELECT src AS end_id FROM beyond UNION SELECT dst FROM beyond)
+        WHERE end_id NOT IN (SELECT id FROM known)""",
+    "edge_labels": f"""WITH {EDGES_BEYOND}, {_CUSTOMERS}
         SELECT dst AS id, src, coalesce(station, 'Unknown') AS station
-        FROM edges LEFT JOIN rich ON dst = rich.id""",
+        FROM beyond LEFT JOIN known ON dst = known.id""",
     "propagate": f"""WITH {NATION_READINGS}, {NATION_CONNECTIONS}
         SELECT dst AS station, round(sum(avg_pm25 * 0.1), 6) AS received
         FROM connections JOIN vertices ON src = station GROUP BY dst""",

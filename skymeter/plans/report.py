@@ -36,27 +36,31 @@ ORDER = ["station", "datetime"]
 ROW_COLUMNS = ["datetime", "station", "pm25", "pm10", "no2", "o3", "pollution_index"]
 
 
-def stored_features(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stored_features(raw: DataFrame, dedupe_on: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Features of the clean readings, and the quality report of the raw ones.
 
     Both read one stored table, written from a single shuffle of the raw rows. It is
     partitioned by usability, so features never read an unusable row and the report
     reads only the numbers of copies.
     """
-    assessed = materialize(temporal_features(assess_readings(raw)), "readings", partition_by=["usable"])
+    assessed = materialize(temporal_features(assess_readings(raw, dedupe_on=dedupe_on)), "readings", partition_by=["usable"])
     return assessed.filter("usable").drop("copies", "usable"), quality_of(assessed)
 
 
 def readings_report(
-    raw: DataFrame, connections: DataFrame, measures: Sequence[str] = INDEX_MEASURES
+    raw: DataFrame,
+    connections: DataFrame,
+    measures: Sequence[str] = INDEX_MEASURES,
+    dedupe_on: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """All results for raw readings and station connections, by name.
 
     The features are cleaned and stored once, as a columnar table from which each
     result reads only its columns. Ranges, threshold, grouped statistics and graph are
-    small and stored as well, so no result computes them again.
+    small and stored as well, so no result computes them again. ``dedupe_on`` names the
+    columns that identify a reading, for files whose rows carry a number.
     """
-    features, quality = stored_features(raw)
+    features, quality = stored_features(raw, dedupe_on)
     ranges = materialize(column_ranges(features, measures), "ranges")
     scored = composite_index(features, measures, ranges=ranges)
     threshold = materialize(anomaly_threshold(scored), "threshold")
@@ -72,27 +76,28 @@ def readings_report(
     }
     return {
         **tables,
-        **_grouped_tables(features),
+        **grouped_tables(features),
         **_graph_tables(features, connections),
         **_model_tables(features),
     }
 
 
-def _grouped_tables(features: DataFrame) -> dict[str, DataFrame]:
-    """Seven tables from one scan of the features."""
+def grouped_tables(features: DataFrame) -> dict[str, DataFrame]:
+    """All groups of every key from one scan of the features, and seven tables of them."""
     keys = ["station", "hour", "month", "year", "season"]
     stats = materialize(stats_by_each(features, keys, "pm25"), "grouped")
     both = ("mean", "max")
     return {
+        "grouped": stats,
         "mean_by_station": highest_first(by_key(stats, "station", "pm25"), "station", "pm25", 20),
-        "mean_by_hour": in_key_order(by_key(stats, "hour", "pm25"), "hour", 24),
-        "mean_by_month": in_key_order(by_key(stats, "month", "pm25"), "month", 12),
-        "mean_by_year": in_key_order(by_key(stats, "year", "pm25"), "year", 20),
+        "mean_by_hour": in_key_order(by_key(stats, "hour", "pm25"), "hour"),
+        "mean_by_month": in_key_order(by_key(stats, "month", "pm25"), "month"),
+        "mean_by_year": in_key_order(by_key(stats, "year", "pm25"), "year"),
         "stations_most_exposed": highest_first(
             by_key(stats, "station", "pm25", both), "station", "pm25", 20
         ),
-        "peak_hours": highest_first(by_key(stats, "hour", "pm25", both), "hour", "pm25", 24),
-        "critical_seasons": highest_first(by_key(stats, "season", "pm25"), "season", "pm25", 20),
+        "peak_hours": highest_first(by_key(stats, "hour", "pm25", both), "hour", "pm25"),
+        "critical_seasons": highest_first(by_key(stats, "season", "pm25"), "season", "pm25"),
     }
 
 

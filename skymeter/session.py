@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-_local_folders: dict[str, str] = {}
-
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 # Uncompressed input per shuffle partition. About a third of it is written, which
 # sorts and hashes in an executor's memory and keeps 100 TB below 100,000 partitions.
 SHUFFLE_PARTITION_BYTES = 1024**3
 
-# Rows of a table of a key and a few numbers that may be broadcast: below 100 MB in memory.
-BROADCAST_ROWS = 500_000
+# Counted bytes of a table that may be broadcast; its hash table takes two or three times that.
+BROADCAST_BYTES = 32 * 1024**2
+# A row's own cost in such a table, and a value of fixed width.
+ROW_BYTES, VALUE_BYTES = 16, 8
 
 
 def shuffle_partitions(input_bytes: int, minimum: int = 1) -> int:
@@ -60,19 +60,54 @@ def build_session(
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    It is the one named in ``spark.checkpoint.dir`` (or set on the context). Only
-    a local master without either gets a temporary folder: on a cluster, executors
-    cannot read each other's local disks.
+    It is the one named in ``spark.checkpoint.dir`` (or set on the context). Without
+    either there is none: executors cannot read each other's local disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="skymeter-")
-    return _local_folders[app]
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+class Scratch:
+    """Tables stored within a :func:`scratch` scope."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.results: list[str] = []
+
+    def keep(self, path: str) -> None:
+        """Leave this table when the scope ends."""
+        self.paths.remove(path)
+        self.results.append(path)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """A stored table that outlives the scope."""
+        path = store(df, name)
+        self.keep(path)
+        return load(df.sparkSession, path, df.schema)
+
+
+_scratch: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope that deletes what is stored within it, however it ends, except its results."""
+    outer, area = _scratch.get(), Scratch()
+    token = _scratch.set(area)
+    try:
+        yield area
+    except BaseException:
+        area.paths += area.results
+        area.results = []
+        raise
+    finally:
+        _scratch.reset(token)
+        for path in area.paths:
+            discard(spark, path)
+        if outer is not None:
+            outer.paths += area.results
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -92,6 +127,9 @@ def store(
     ``metrics`` are collected into ``observation`` by the same job.
     """
     path = work_path(df.sparkSession, name)
+    area = _scratch.get()
+    if area is not None:
+        area.paths.append(path)
     out = df if observation is None else df.observe(observation, *metrics)
     out.write.partitionBy(*partition_by).parquet(path)
     return path
@@ -118,14 +156,21 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return load(df.sparkSession, store(df, name, partition_by=partition_by), df.schema)
 
 
-def stored_for_join(df: DataFrame, name: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store a table of few columns and mark how to join it by its counted rows.
+def row_bytes(schema: StructType) -> Column:
+    """About the memory a row takes in a broadcast table."""
+    fixed = ROW_BYTES + VALUE_BYTES * len(schema.fields)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType | BinaryType)]
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(fixed).cast("long"))
+
+
+def stored_for_join(df: DataFrame, name: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Store a table of few columns and mark how to join it by its counted bytes.
 
-    Up to ``broadcast_rows`` it is broadcast, so the other side is not shuffled. Beyond,
+    Up to ``broadcast_bytes`` it is broadcast, so the other side is not shuffled. Beyond,
     it is a shuffle join, where AQE splits the hot keys of the other side. The count is
     a metric of the writing job; a task that runs twice can only raise it.
     """
     seen = Observation()
-    path = store(df, name, seen, [F.count(F.lit(1)).alias("rows")])
+    path = store(df, name, seen, [F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")])
     stored = load(df.sparkSession, path, df.schema)
-    return F.broadcast(stored) if seen.get["rows"] <= broadcast_rows else stored.hint("merge")
+    return F.broadcast(stored) if seen.get["bytes"] <= broadcast_bytes else stored.hint("merge")

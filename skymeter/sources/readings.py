@@ -17,13 +17,24 @@ READING_SCHEMA = T.StructType(
 CONNECTION_SCHEMA = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
 
 
-# Fixed value: the file's name of the main measure. The clean one is called pm25.
-RENAMES = {"PM2.5": "pm25_raw"}
+# Fixed value: the file's name of the main measure, whatever its case. The clean one is called pm25.
+RENAMES = {"pm2.5": "pm25_raw"}
 
 
 def column_name(name: str) -> str:
     """Lower case without dots, so that no column needs quoting."""
-    return RENAMES.get(name.strip(), name.strip().lower().replace(".", ""))
+    lower = name.strip().lower()
+    return RENAMES.get(lower, lower.replace(".", ""))
+
+
+def column_names(names: Sequence[str]) -> list[str]:
+    """Names for all columns of a header; an error if two become the same."""
+    found: dict[str, str] = {}
+    for name in names:
+        other = found.setdefault(column_name(name), name)
+        if other is not name:
+            raise ValueError(f"columns {other!r} and {name!r} would both be called {column_name(name)!r}")
+    return list(found)
 
 
 def read_readings(
@@ -45,7 +56,7 @@ def read_readings(
     else:
         reader = reader.option("inferSchema", infer_schema)
     df = reader.csv([paths] if isinstance(paths, str) else list(paths))
-    return df.toDF(*[column_name(c) for c in df.columns])
+    return df.toDF(*column_names(df.columns))
 
 
 def connections_table(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:

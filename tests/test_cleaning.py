@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from skymeter.operators.cleaning import clean_readings, dedupe, quality_report
+from skymeter.operators.cleaning import assess_readings, clean_readings, dedupe, quality_report
 from skymeter.operators.features import ingest_time_parts, preview, temporal_features, time_parts
 from skymeter.sources import connections_table, read_readings
+from skymeter.sources.readings import column_names
 
 SCHEMA = "year string, month string, day string, hour string, pm25_raw string, station string"
 ROWS = [
@@ -131,3 +132,30 @@ def test_csv_file_with_other_columns_is_an_error(spark, tmp_path):
 
 def test_connections_table(spark, collected):
     assert collected(connections_table(spark, [("a", "b"), ("b", "c")])) == [("a", "b"), ("b", "c")]
+
+
+def test_subset_keeps_the_reading_of_a_group_with_missing_ones(spark, collected):
+    rows = [("2013", "3", "1", "0", None, "a", 1), ("2013", "3", "1", "0", "7.5", "a", 2)]
+    df = spark.createDataFrame(rows, f"{SCHEMA}, no int")
+    key = ["year", "month", "day", "hour", "station"]
+    assert collected(clean_readings(df, dedupe_on=key), "pm25_clean", "no") == [(7.5, 2)]
+    assert collected(assess_readings(df, dedupe_on=key), "pm25_clean", "copies", "usable") == [(7.5, 2, True)]
+    assert tuple(quality_report(df, dedupe_on=key).first()) == (2, 1, 1)
+    assert tuple(quality_report(df).first()) == (2, 2, 1)
+
+
+def test_subset_counts_equal_the_cleaned_rows(raw):
+    key = ["year", "month", "day", "station"]
+    assert quality_report(raw, dedupe_on=key).first().clean_rows == clean_readings(raw, dedupe_on=key).count()
+
+
+def test_integral_time_parts_written_as_decimals_are_kept(spark, collected):
+    rows = [("2013.0", "3", "1", "0", "5", "a"), ("2013.5", "3", "1", "0", "5", "a"), ("x", "3", "1", "0", "5", "a")]
+    assert collected(clean_readings(spark.createDataFrame(rows, SCHEMA)), "year") == [(2013,)]
+
+
+def test_header_names_ignore_case_and_must_stay_distinct():
+    assert column_names(["No", "pm2.5", "PM10", " Station "]) == ["no", "pm25_raw", "pm10", "station"]
+    assert column_names(["PM2.5", "O3"]) == ["pm25_raw", "o3"]
+    with pytest.raises(ValueError, match="PM10.*PM1.0"):
+        column_names(["PM10", "PM1.0"])

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from skymeter.session import row_bytes
 from skymeter.operators.enrich import (
     attach_stats,
     enrich,
@@ -85,13 +86,14 @@ def test_hot_station_forms_no_pairs(spark):
     assert got.rows == 20_000 and got.pairs == hot * hot + (20_000 - hot)
 
 
-def test_statistics_are_broadcast_up_to_a_number_of_rows(lines, collected):
+def test_statistics_are_broadcast_up_to_a_number_of_bytes(lines, collected):
     def plan(df):
         return df._jdf.queryExecution().executedPlan().toString()
 
     stats = station_stats(lines)
-    few = attach_stats(lines, stats, "station", broadcast_rows=stats.count())
-    many = attach_stats(lines, stats, "station", broadcast_rows=stats.count() - 1)
+    total = stats.agg(F.sum(row_bytes(stats.schema))).first()[0]
+    few = attach_stats(lines, stats, "station", broadcast_bytes=total)
+    many = attach_stats(lines, stats, "station", broadcast_bytes=total - 1)
     assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" in plan(many)
     columns = ["i", "pollution_mean_station"]
     assert collected(few, *columns) == collected(many, *columns)
@@ -122,7 +124,7 @@ def test_hot_station_is_split_when_statistics_are_too_many_to_broadcast(spark):
             F.rand(1).alias("pollution"),
         )
         stats = df.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
-        joined = attach_stats(df, stats, "station", broadcast_rows=0).agg(F.count("n").alias("n"))
+        joined = attach_stats(df, stats, "station", broadcast_bytes=0).agg(F.count("n").alias("n"))
         assert joined.collect()[0].n == 300_000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:

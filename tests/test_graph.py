@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import CHAIN_RANKS, CONNECTIONS, CYCLIC_EDGES, CYCLIC_RANKS, STATIONS
+from skymeter.operators import graph as graph_operators
 from skymeter.operators.graph import (
     assemble_vertices,
     dense_ids,
@@ -15,6 +17,7 @@ from skymeter.operators.graph import (
     station_edges,
     station_vertices,
 )
+from skymeter.session import work_root
 from skymeter.sources import connections_table
 
 
@@ -137,3 +140,23 @@ def test_pagerank_leaves_the_session_as_it_was(spark):
     assert [spark.conf.get(k) for k in keys] == before
     assert spark.getActiveSession().conf.get(keys[0]) == before[0]
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def stored_tables(spark):
+    folder = Path(work_root(spark).removeprefix("file://")) / "skymeter"
+    return {p.name for p in folder.iterdir()} if folder.is_dir() else set()
+
+
+def test_pagerank_leaves_only_the_ranks_it_returns(spark, monkeypatch):
+    before = stored_tables(spark)
+    ranks(spark, CYCLIC_EDGES)
+    left = stored_tables(spark) - before
+    assert {name.split("-")[0] for name in left} == {"ranks"} and len(left) == 1
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(graph_operators, "_rounds_sql", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        ranks(spark, CYCLIC_EDGES)
+    assert stored_tables(spark) - before == left

@@ -5,12 +5,14 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from skymeter.operators import regression
 from skymeter.operators.regression import (
     ESTIMATORS,
     compare_models,
     fit_features,
     fit_models,
     max_bins,
+    means_by_category,
     predict,
     train_test_split,
     training_rows,
@@ -102,3 +104,24 @@ def test_seeded_models_are_reproducible(data):
     train, test = train_test_split(data, ["id"])
     first = compare_models(train, test, ["random_forest"]).collect()
     assert compare_models(train, test, ["random_forest"]).collect() == first
+
+
+def test_trees_refuse_more_categories_than_they_can_hold(spark, data, monkeypatch):
+    monkeypatch.setattr(regression, "MOST_CATEGORIES", 5)
+    train, test = train_test_split(data, ["id"])
+    with pytest.raises(ValueError, match="means_by_category"):
+        compare_models(train, test, ["decision_tree"])
+    assert compare_models(train, test, ["linear_regression"]).count() == 1
+    numeric = [*regression.NUMERIC_FEATURES, "station_mean"]
+    sides = [means_by_category(train, side, "station") for side in (train, test)]
+    assert sides[1].count() == test.count()
+    scored = compare_models(*sides, ["decision_tree"], numeric=numeric, categorical=("season",))
+    spread = test.agg(F.stddev_pop("pm25")).first()[0]
+    assert scored.first().rmse < spread
+
+
+def test_unseen_categories_get_the_overall_mean(spark, collected):
+    train = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 8.0)], "station string, pm25 double")
+    rows = spark.createDataFrame([("a", 0.0), ("z", 0.0), (None, 0.0)], "station string, pm25 double")
+    got = collected(means_by_category(train, rows, "station"), "station", "station_mean")
+    assert got == [(None, 4.0), ("a", 2.0), ("z", 4.0)]

@@ -6,7 +6,17 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from skymeter.session import discard, load, materialize, shuffle_partitions, store, work_path, work_root
+from skymeter.session import (
+    discard,
+    load,
+    materialize,
+    scratch,
+    shuffle_partitions,
+    store,
+    stored_for_join,
+    work_path,
+    work_root,
+)
 
 
 def test_the_folder_the_cluster_names_is_used(spark):
@@ -17,9 +27,9 @@ def test_the_folder_the_cluster_names_is_used(spark):
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
+def test_a_session_without_a_shared_folder_is_an_error():
     class Context:
-        master = "yarn"
+        master = "local[4]"
         applicationId = "app"
 
         def getCheckpointDir(self):
@@ -66,3 +76,29 @@ def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions(1) == 1
     assert shuffle_partitions(1, minimum=8) == 8
     assert shuffle_partitions(100 * 10**12) == 93_133
+
+
+def test_a_scratch_scope_leaves_only_its_results(spark):
+    def exists(path):
+        return os.path.exists(path.removeprefix("file:").replace("//", "/"))
+
+    with scratch(spark) as outer:
+        with scratch(spark) as area:
+            gone = store(spark.range(3), "gone")
+            kept = area.result(spark.range(4), "kept")
+            path = area.results[0]
+        assert not exists(gone) and exists(path) and kept.count() == 4
+        outer.keep(path)
+    assert exists(path)
+    with pytest.raises(RuntimeError), scratch(spark) as area:
+        area.result(spark.range(4), "kept")
+        path = area.results[0]
+        raise RuntimeError
+    assert not exists(path)
+
+
+def test_few_rows_with_long_keys_are_not_broadcast(spark):
+    rows = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("key"), F.col("id").alias("n"))
+    assert "broadcast" in stored_for_join(rows, "short", 20_000)._jdf.queryExecution().logical().toString()
+    long = stored_for_join(rows, "long", 9_000)._jdf.queryExecution().logical().toString()
+    assert "merge" in long and "broadcast" not in long

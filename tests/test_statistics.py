@@ -127,3 +127,11 @@ def test_stats_by_each_equals_separate_groupings_in_one_scan(spark, collected, t
         expected = collected(group_stats(df, key, "pm25", ("mean", "max")))
         assert collected(by_key(stats, key, "pm25", ("mean", "max"))) == expected
     assert stats._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_listings_keep_every_group(spark):
+    years = spark.range(30).select((F.col("id") + 1990).alias("year"), F.lit(1.0).alias("pm25"))
+    assert [r.year for r in mean_by(years, "year", "pm25").collect()] == list(range(1990, 2020))
+    hours = spark.range(26).select((F.col("id") - 1).alias("hour"), F.col("id").cast("double").alias("pm25"))
+    assert [r.hour for r in mean_by(hours, "hour", "pm25").collect()] == list(range(-1, 25))
+    assert ranked_by_mean(hours, "hour", "pm25").count() == 26
