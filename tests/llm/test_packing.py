@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from corpus import edge_documents, edge_table, empty_table, sf_documents
+from tokenizers import Tokenizer
+
+from skymeter.llm.packing import OpenBins, WordEncoder, packed_documents, sequences
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "", " ", "Ünï 's can't I'LL  \x1c\x85\xa0x²½", "ΣΑΣ", "<|endoftext|>a", "İx", "don't''s '' 's!!", "日本 x",
+    "_a_ 12", "ﬁ ſ", "''s's", "á é", "x\ty\nz\x0b\x0c", "½¼²³¹ 7",
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_words_give_the_ids_of_whole_texts(spark, tokenizer):
+    texts = ODD + [r.text for r in sf_documents(spark).collect()]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for cached in (10**6, 50):  # also when words are forgotten again
+        encoder = WordEncoder(PATH, cached)
+        got = [list(ids) for begin in range(0, len(texts), 7) for ids in encoder.encode(texts[begin : begin + 7])]
+        assert got == expected
+
+
+def plain_best_fit(lengths, capacity):
+    """Best fit with all bins open, by looking at every one."""
+    free = []
+    for n in lengths:
+        fitting = [f for f in free if f >= n]
+        if fitting:
+            free[free.index(min(fitting))] -= n
+        else:
+            free.append(capacity - n)
+    return len(free)
+
+
+def test_bins_are_best_fit_and_the_fullest_closes():
+    rng = random.Random(1)
+    lengths = [rng.randint(1, 100) for _ in range(500)]
+    bins = OpenBins(100, 10**6)
+    used = defaultdict(int)
+    for n in lengths:
+        number, offset = bins.place(n)
+        assert offset == used[number]
+        used[number] += n
+    assert max(used.values()) <= 100 and len(used) == plain_best_fit(lengths, 100)
+    few = OpenBins(10, 2)
+    assert [few.place(n)[0] for n in (6, 7, 8, 4, 2, 3)] == [0, 1, 2, 0, 2, 3]
+
+
+def checked(rows, documents, tokenizer, capacity=2048):
+    """Pieces are right, and sequences are filled without gaps; returns their number."""
+    given, pieces, placed = defaultdict(int), defaultdict(int), defaultdict(list)
+    for doc_id, text in documents:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            given[doc_id, piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    for r in rows:
+        pieces[r.doc_id, r.piece, r.start, r.length, r.ids_crc32] += 1
+        placed[r.sequence_id].append((r.offset, r.length))
+    assert pieces == given
+    for parts in placed.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(placed)
+
+
+def test_packing_of_the_given_documents(spark, tokenizer):
+    documents = sf_documents(spark)
+    rows = packed_documents(documents, PATH).collect()
+    used = checked(rows, [(r.doc_id, r.text) for r in documents.collect()], tokenizer)
+    assert used <= 1.02 * -(-sum(r.length for r in rows) // 2048) + 1
+
+
+@pytest.mark.parametrize("options", [{}, {"open_bins": 2}, {"pieces_per_task": 4}, {"sequence_tokens": 64}])
+def test_edge_cases(spark, tokenizer, options):
+    rows = packed_documents(edge_table(spark), PATH, **options).collect()
+    capacity = options.get("sequence_tokens", 2048)
+    checked(rows, [(d[0], d[1]) for d in edge_documents()], tokenizer, capacity)
+    assert [(r.length, r.start) for r in rows if r.doc_id == 3] == [(1, 0)]
+
+
+def test_empty_table(spark):
+    assert packed_documents(empty_table(spark), PATH).collect() == []
+
+
+def test_sequences_hold_the_ids(spark, tokenizer):
+    documents = sf_documents(spark).limit(20)
+    found = sequences(packed_documents(documents, PATH, with_ids=True)).collect()
+    assert all(len(r.ids) == r.length <= 2048 for r in found)
+    whole = sorted(i for r in documents.collect() for i in tokenizer.encode(r.text, add_special_tokens=False).ids + [0])
+    assert sorted(i for r in found for i in r.ids) == whole

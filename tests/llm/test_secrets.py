@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from corpus import SCHEMA, edge_documents, edge_table, empty_table, prose, sf_documents
+
+from skymeter.llm import queries, secrets
+from skymeter.llm.secrets import REDACTED, Network, all_findings, candidates, findings, generated_findings, redact, train
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
+)
+
+
+def plain_rules(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found)]
+
+
+PLANTED = [
+    "x password=abc12 y PASSWD : 'abcdefg' é",
+    "token = token = abcdef secret:abcde secret:\"abcdef\"",
+    "aPi_kEy='K" + "k" * 9 + "' ſecret=abcdefgh toKen=abcdefgh",
+    "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + " AKIAAKIA" + "C" * 14,
+    "f" * 23 + " " + "0" * 24 + "g" + "a" * 30,
+    "token=" + "deadbeef" * 5 + " and token=AKIA" + "Z9" * 9,
+    "secret=",
+    "",
+]
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    return train(sf_documents(spark))
+
+
+def written(texts, network):
+    return [[f"{k}:{a}:{b}" for k, a, b, _ in spans] for spans in all_findings(texts, network)]
+
+
+def test_rules_equal_plain_ones_and_stay(network):
+    for text, spans in zip(PLANTED, written(PLANTED, network), strict=True):
+        assert [s for s in spans if not s.startswith("model")] == plain_rules(text)
+
+
+def test_query_equals_plain_rules(spark):
+    found = {r.doc_id: r for r in queries.op1_secret_scans(spark, "/root/testdata/sf0.001").collect()}
+    rows = sf_documents(spark).collect()
+    assert len(found) == len(rows)
+    for row in rows:
+        rules = plain_rules(row.text)
+        got = found[row.doc_id]
+        assert got.base_sha256 == hashlib.sha256(",".join(rules).encode()).hexdigest()
+        assert [got.n_assign, got.n_access, got.n_hex] == [
+            sum(r.startswith(k) for r in rules) for k in ("assign", "access", "hex")
+        ]
+        assert [s for s in got.spans.split(",") if s and not s.startswith("model")] == rules
+
+
+def test_candidates_equal_plain_runs():
+    rng = random.Random(1)
+    alphabet = "ab1 2.=é/-\n~+_"
+    for _ in range(300):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120)))
+        plain = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=~-]+", text) if re.search("[0-9]", m[0]) and len(m[0]) >= 12]
+        assert candidates(text) == plain
+
+
+def test_gradients_equal_differences():
+    windows, labels = generated_findings(6)
+    network = Network()
+    characters, mark = secrets.encode(windows)
+
+    def loss():
+        logit = network.logits(characters, mark)
+        return float(np.mean(np.log1p(np.exp(-logit * np.where(labels == 1, 1, -1)))))
+
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    gradients = network._gradients(characters, mark, labels)
+    for name, place in (("filters", (7, 3)), ("out", (5,)), ("bias", (0,)), ("shift", (2,)), ("characters", (ord("e"), 1))):
+        step = 1e-5
+        network.weights[name][place] += step
+        above = loss()
+        network.weights[name][place] -= 2 * step
+        below = loss()
+        network.weights[name][place] += step
+        assert gradients[name][place] == pytest.approx((above - below) / (2 * step), rel=2e-2, abs=1e-5)
+
+
+def test_network_finds_other_formats_and_leaves_lookalikes(network):
+    """On made-up findings it has not been trained on."""
+    windows, labels = generated_findings(400, seed=99)
+    groups = np.array([secrets.group(w) for w in windows])
+    hit = network.scores(windows) >= np.array(network.thresholds)[groups]
+    assert hit[labels == 1].mean() >= 0.95 and hit[labels == 0].mean() <= 0.03
+
+
+def test_model_adds_a_span_that_rules_miss(network):
+    value = "ghp_" + "aB3dE5gH7jK9" * 3
+    rng = random.Random(2)
+    text = f"{prose(rng, 20)} bearer: {value} {prose(rng, 20)}"
+    start = text.index(value)
+    assert written([text], network) == [[f"model:{start}:{start + len(value)}"]]
+    clean = [prose(rng, 300) + " on 2024-03-01T10:22 see www.house12.example.com/walk, mail8.example.com 10.0.0.123"]
+    assert written(clean, network) == [[]]
+
+
+def test_thresholds_reach_the_recall():
+    scores = np.linspace(0.6, 1, 101)
+    assert (scores >= Network._threshold(scores)).mean() >= secrets.RECALL
+    assert Network._threshold(np.zeros(0)) == 0.5
+
+
+def test_edge_cases(spark, network):
+    found = findings(edge_table(spark), network).collect()
+    assert len(found) == len(edge_documents()) and all(r.findings is not None for r in found)
+    assert findings(empty_table(spark), network).count() == 0
+    assert isinstance(train(empty_table(spark)), Network)
+
+
+def test_redaction_covers_every_finding_and_nothing_else(spark, network):
+    texts = [*PLANTED, None, "clean text"]
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.text for r in redact(rows, network).collect()}
+    for i, text in enumerate(texts):
+        if text is None:
+            assert got[i] is None
+            continue
+        covered = [False] * len(text)
+        for _, start, end, _ in all_findings([text], network)[0]:
+            covered[start:end] = [True] * (end - start)
+        kept = "".join(c for c, gone in zip(text, covered, strict=True) if not gone)
+        assert got[i].replace(REDACTED, "") == kept and (REDACTED in got[i]) == any(covered)
+    assert redact(edge_table(spark), network).columns == edge_table(spark).columns

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from corpus import SCHEMA, edge_documents, edge_table, empty_table, prose, sf_documents
+
+from skymeter.llm import queries, spots
+from skymeter.llm.spots import ANCHORS, CHAIN_WORDS, DISTANCE, FAR, fingerprints, jaccard, length_partition, read
+
+
+def plain_chains(text):
+    """Spots as tuples of words."""
+    words = spots.WORDS.findall(text.lower())
+    found = set()
+    for i, word in enumerate(words):
+        near = words[max(0, i - FAR) : i + FAR + 1]
+        if word in ANCHORS or not any(w in ANCHORS for w in near):
+            after = [w for w in words[i + 1 :] if w not in ANCHORS]
+            chain = after[DISTANCE - 1 : CHAIN_WORDS * DISTANCE : DISTANCE]
+            if len(chain) == CHAIN_WORDS:
+                found.add((word, *chain))
+    return found or {text}
+
+
+def plain_likeness(a, b):
+    a, b = plain_chains(a), plain_chains(b)
+    return len(a & b) / len(a | b)
+
+
+def plain_rows(documents):
+    """Text, edited text and next text of each document, in descending order of ids."""
+    ordered = sorted(documents, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
+    texts = [t or "" for _, t in ordered]
+    for i, (doc_id, _) in enumerate(ordered):
+        text, following = texts[i], texts[(i + 1) % len(texts)]
+        cut = len(text) // 3
+        yield doc_id, text, text[: len(text) - cut] + following[:cut], following
+
+
+def check(rows, documents):
+    got = sorted(
+        ((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in rows), key=str
+    )
+    expected = sorted(
+        (
+            (i, len(t), hashlib.sha256(e.encode()).hexdigest(), plain_likeness(t, e), plain_likeness(t, n))
+            for i, t, e, n in plain_rows(documents)
+        ),
+        key=str,
+    )
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    for g, e in zip(got, expected, strict=True):
+        assert g[3:] == pytest.approx(e[3:], abs=1e-3)
+
+
+def test_query_equals_plain_sets(spark):
+    rows = queries.op2_document_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    check(rows, [(r.doc_id, r.text) for r in sf_documents(spark).collect()])
+    for r in rows:
+        a, b = set(read(r.fingerprint).tolist()), set(read(r.edited_fingerprint).tolist())
+        assert r.near_edited == pytest.approx(len(a & b) / len(a | b))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_neighbours_across_any_number_of_ranges(spark, partitions):
+    rng = random.Random(partitions)
+    rows = [(i * 3 - 20, prose(rng, rng.randint(0, 30)), "en", "s", 1) for i in range(60)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = fingerprints(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    check(got, [r[:2] for r in rows])
+
+
+def test_edge_cases(spark):
+    short = [d for d in edge_documents() if len(d[1] or "") < 10_000]
+    table = edge_table(spark).filter("text IS NULL OR length(text) < 10000")
+    check(fingerprints(table).collect(), [d[:2] for d in short])
+    assert fingerprints(edge_table(spark)).count() == len(edge_documents())
+    assert fingerprints(empty_table(spark)).count() == 0
+    single = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    assert fingerprints(single).first().near_next == 1.0
+
+
+def test_equal_texts_have_equal_fingerprints_and_are_likeness_one(spark):
+    rows = fingerprints(edge_table(spark)).collect()
+    by_text = {}
+    for r in rows:
+        by_text.setdefault(r.n_chars, set()).add(r.fingerprint)
+    assert len(by_text[len(edge_documents()[0][1])]) == 1
+
+
+def test_pruning_never_changes_a_likeness_above_the_bound():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint32) for _ in range(2))
+        whole = len(set(a.tolist()) & set(b.tolist())) / len(set(a.tolist()) | set(b.tolist()))
+        assert jaccard(a, b) == pytest.approx(whole)
+        for least in (0.2, 0.5, 0.8):
+            assert jaccard(a, b, least) == (pytest.approx(whole) if whole >= least else 0.0)
+            if whole >= least:
+                assert abs(length_partition(len(a), least) - length_partition(len(b), least)) <= 1
