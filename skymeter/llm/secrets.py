@@ -45,14 +45,14 @@ FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_=.~-]*")
 
 SAMPLE_DOCUMENTS = 20_000
 LABELLED_OF_EACH = 1_200
-GENERATED_OF_EACH = 1_200
+GENERATED_OF_EACH = 2_400
 RECALL = 0.98
 SEED = 7
 
 LEFT, INSIDE, RIGHT = 32, 56, 16
 WINDOW = LEFT + INSIDE + RIGHT
 EMBEDDED, WIDTH, FILTERS = 8, 5, 24
-EPOCHS, BATCH, RATE = 8, 64, 0.004
+EPOCHS, BATCH, RATE = 12, 64, 0.004
 OTHER_CHARACTER = 1
 
 REDACTED = "[SECRET]"
