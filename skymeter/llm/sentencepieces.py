@@ -29,6 +29,8 @@ from skymeter.llm.pieces import BPE, BYTE, NORMAL, PARTS, SPACE, USER_DEFINED, P
 # Distinct parts a Python worker remembers, and parts of one call.
 CACHED_PARTS = 800_000
 PARTS_PER_CALL = 200
+# A code point that Unicode will never assign.
+NO_TEXT = "\ufdd0"
 
 
 def merges(model: PieceModel) -> list[tuple[str, str]]:
@@ -45,7 +47,11 @@ def merges(model: PieceModel) -> list[tuple[str, str]]:
 
 
 def build(model: PieceModel) -> Tokenizer:
-    """The tokeniser of a model, for whole texts."""
+    """The tokeniser of a model, for whole texts.
+
+    For unigram models the library keeps bytes under names such as ``<0x0A>``, so texts
+    that spell such a name out get the byte; ``differing_parts`` counts them.
+    """
     unknown = model.pieces[model.unknown]
     if model.model_type == BPE:
         vocabulary = {p: i for i, p in enumerate(model.pieces)}
@@ -53,7 +59,10 @@ def build(model: PieceModel) -> Tokenizer:
             vocabulary, merges(model), unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback
         )
     else:
-        scored = list(zip(model.pieces, model.scores, strict=True))
+        # Other pieces are never made from text, not even from their names.
+        text_kinds = (NORMAL, USER_DEFINED, BYTE)
+        names = [p if k in text_kinds else f"{NO_TEXT}{p}" for p, k in zip(model.pieces, model.kinds, strict=True)]
+        scored = list(zip(names, model.scores, strict=True))
         backend = models.Unigram(scored, model.unknown, model.byte_fallback)
     tokenizer = Tokenizer(backend)
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
