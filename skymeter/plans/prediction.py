@@ -147,7 +147,42 @@ _OLS = f"""{_SIDES},
                     (vh * cdy - chd * chy) / (vh * vd - chd * chd) AS bd FROM moments),
         model AS (SELECT bh, bd, my - bh * mh - bd * md AS b0 FROM slopes)"""
 
+_TRAIN_INDEXES = _INDEXES.replace("FROM data", "FROM sides WHERE side = 'train'")
+
+
+def _least_squares_sql(features: list[str]) -> str:
+    """Steps that leave the residual of the label in ``y``.
+
+    Every feature in turn, centred on the training rows, is taken out of those after it and
+    of the label, by its share on the training rows; constant ones have none.
+    """
+    names = [f"x{i}" for i in range(len(features))]
+    means = ", ".join(f"avg({f}) AS m{i}" for i, f in enumerate(features))
+    centred = ", ".join(f"{f} - m{i} AS x{i}" for i, f in enumerate(features))
+    steps = [
+        f"""means AS (SELECT {means}, avg({LABEL}) AS mean_y FROM indexed WHERE side = 'train'),
+        step0 AS (SELECT side, {centred}, {LABEL} - mean_y AS y FROM indexed, means)"""
+    ]
+    for i, name in enumerate(names):
+        left = [*names[i + 1 :], "y"]
+        shares = ", ".join(
+            f"CASE WHEN sum({name} * {name}) > 1e-9 THEN sum({name} * {c}) / sum({name} * {name}) ELSE 0 END AS share_{c}"
+            for c in left
+        )
+        rest = ", ".join(f"{c} - share_{c} * {name} AS {c}" for c in left)
+        steps.append(
+            f"""shares{i} AS (SELECT {shares} FROM step{i} WHERE side = 'train'),
+        step{i + 1} AS (SELECT side, {rest} FROM step{i}, shares{i})"""
+        )
+    return ",\n        ".join(steps)
+
+
 ORACLE = {
+    "lr_full_rmse": f"""WITH {_SIDES}, {_TRAIN_INDEXES},
+        indexed AS (SELECT * FROM sides JOIN stations USING (station) JOIN seasons USING (season)),
+        {_least_squares_sql(VECTOR)}
+        SELECT 'linear_regression' AS model, round(sqrt(avg(y * y)), 4) AS rmse
+        FROM step{len(VECTOR)} WHERE side = 'test'""",
     "ml_input": f"WITH {_INPUT} SELECT * FROM data",
     "string_index": f"""WITH {_YEAR_INPUT}, {_INDEXES}
         SELECT station, station_index, season, season_index, count(*) AS n
