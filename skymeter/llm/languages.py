@@ -21,12 +21,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from skymeter.llm.batches import give_back, in_text_batches, map_texts
+
 BUCKET_BITS = 15
 SAMPLE_PER_LANGUAGE = 5_000
 MOST_LANGUAGES = 1_000
@@ -147,7 +148,7 @@ def fit(
         columns = [pa.array(row), pa.array(bucket), pa.array(counts[row, bucket])]
         yield pa.RecordBatch.from_arrays(columns, ["row", "bucket", "n"])
 
-    counted = sampled.select("text", "lang").mapInArrow(count, "row long, bucket long, n long")
+    counted = map_texts(sampled.select("text", "lang"), count, "row long, bucket long, n long")
     summed = counted.groupBy("row", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), 1 << BUCKET_BITS))
     counts[summed["row"], summed["bucket"]] = summed["n"]
@@ -177,7 +178,7 @@ def predict(documents: DataFrame, model: Model, doc_id: str = "doc_id", text: st
     names = ["doc_id", "lang_pred", "score", "languages", "background"]
     schema = "doc_id long, lang_pred string, score double, languages array<string>, background double"
     chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = chosen.mapInArrow(identify, schema)
+    found = map_texts(chosen, identify, schema)
     rejected = (F.col("lang_pred") == UNDETERMINED) | (F.col("background") > MOST_BACKGROUND)
     return found.withColumn("rejected", rejected)
 
@@ -186,9 +187,11 @@ def keep_identified(documents: DataFrame, model: Model, text: str = "text") -> D
     """The documents that ``predict`` does not reject, with all their columns."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(BooleanType())
-    def identified(texts: pd.Series) -> pd.Series:
-        found = [shared.value.predict(t) for t in texts]
-        return pd.Series([lang != UNDETERMINED and background <= MOST_BACKGROUND for lang, _, _, background in found])
+    @F.arrow_udf(BooleanType())
+    def identified(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(t.as_py()) for t in texts]
+        kept = [lang != UNDETERMINED and background <= MOST_BACKGROUND for lang, _, _, background in found]
+        give_back()
+        return pa.array(kept, pa.bool_())
 
-    return documents.filter(identified(F.col(text)))
+    return in_text_batches(documents).filter(identified(F.col(text)))

@@ -28,13 +28,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
 from skymeter.operators.graph import dense_ids
 from skymeter.session import load, materialize, store
@@ -90,7 +90,7 @@ def document_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
             )
 
     chosen = documents.filter(F.col(text).isNotNull()).select(*_identity(doc_id, text), F.col(text).alias("text"))
-    return chosen.mapInArrow(split, LINES)
+    return map_texts(chosen, split, LINES)
 
 
 def _ranked(rows: DataFrame, first: str, second: str) -> DataFrame:
@@ -209,7 +209,7 @@ def shortest_runs(ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
                 yield lines[begin]["seq"], lines[begin]["line"], lines[end - 1]["line"], end - begin, first, second
 
     places = ranks.groupBy("doc", "body").agg(F.collect_list(F.struct(*fields)).alias("places"))
-    return places.mapInArrow(runs, WINDOWS)
+    return map_texts(places, runs, WINDOWS)
 
 
 def later_copies(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
@@ -224,33 +224,34 @@ def later_copies(documents: DataFrame, doc_id: str, text: str, least_words: int)
     return copies.groupBy("doc", "body").agg(F.collect_list(span).alias("runs"))
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def _covered(runs: pd.Series) -> pd.Series:
-    """The numbers of all lines in any of the runs, in order."""
-
-    def lines(spans) -> np.ndarray:
-        if spans is None:
-            return np.zeros(0, np.int32)
-        bounds = np.array([(s["from"], s["to"] + 1) for s in spans])
-        edges = np.zeros(bounds.max() + 1, np.int32)
-        np.add.at(edges, bounds[:, 0], 1)
-        np.add.at(edges, bounds[:, 1], -1)
-        return np.flatnonzero(np.cumsum(edges) > 0).astype(np.int32)
-
-    return pd.Series([lines(s) for s in runs])
+CUT = StructType([StructField("text", StringType()), StructField("removed", ArrayType(IntegerType()))])
 
 
-@F.pandas_udf(StringType())
-def _without(texts: pd.Series, removed: pd.Series) -> pd.Series:
-    """The texts without the numbered lines."""
-
-    def rest(text: str | None, numbers) -> str | None:
-        if text is None or not len(numbers):
-            return text
-        gone = set(numbers)
-        return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
-
-    return pd.Series([rest(t, n) for t, n in zip(texts, removed, strict=True)], dtype=object)
+def covered_lines(spans: list[dict] | None) -> list[int]:
+    """The numbers of all lines in any of the runs, in order."""
+    if not spans:
+        return []
+    bounds = np.array([(s["from"], s["to"] + 1) for s in spans])
+    edges = np.zeros(bounds.max() + 1, np.int32)
+    np.add.at(edges, bounds[:, 0], 1)
+    np.add.at(edges, bounds[:, 1], -1)
+    return np.flatnonzero(np.cumsum(edges) > 0).tolist()
+
+
+@F.arrow_udf(CUT)
+def _cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    """The texts without the lines of their runs, and the numbers of these lines."""
+    rest, numbers = [], []
+    for text, spans in zip(texts, runs, strict=True):
+        text, removed = text.as_py(), covered_lines(spans.as_py())
+        if text is not None and removed:
+            gone = set(removed)
+            text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+        rest.append(text)
+        numbers.append(removed)
+    columns = [pa.array(rest, pa.string()), pa.array(numbers, pa.list_(pa.int32()))]
+    give_back()
+    return pa.StructArray.from_arrays(columns, ["text", "removed"])
 
 
 def remove_repeated_lines(
@@ -264,10 +265,11 @@ def remove_repeated_lines(
 
     All columns of the input stay; ``removed`` is added, an array of line numbers from 0.
     """
-    doc, body, runs = (unused(documents, f"_{c}") for c in ("doc", "body", "runs"))
+    doc, body, runs, cut = (unused(documents, f"_{c}") for c in ("doc", "body", "runs", "cut"))
     found = later_copies(documents, doc_id, text, least_words)
     found = found.select(F.col("doc").alias(doc), F.col("body").alias(body), F.col("runs").alias(runs))
     place, content = _identity(doc_id, text)
-    keyed = documents.withColumns({doc: place, body: content}).join(found, [doc, body], "left")
-    cut = keyed.withColumn(removed, _covered(F.col(runs)))
-    return cut.withColumn(text, _without(F.col(text), F.col(removed))).select(*documents.columns, removed)
+    keyed = in_text_batches(documents).withColumns({doc: place, body: content}).join(found, [doc, body], "left")
+    found = keyed.withColumn(cut, _cut(F.col(text), F.col(runs)))
+    columns = [F.col(f"{cut}.text").alias(c) if c == text else F.col(c) for c in documents.columns]
+    return found.select(*columns, F.col(f"{cut}.removed").alias(removed))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from skymeter.llm.batches import map_texts
 from skymeter.session import load, store
 
 SEQUENCE_TOKENS = 2048
@@ -33,8 +34,8 @@ OPEN_BINS = 1024
 # Pieces packed by one task: some MB, and some thousand sequences, of which the last
 # open bins stay partly empty.
 PIECES_PER_TASK = 50_000
-# Distinct words a Python worker remembers: below 200 MB.
-CACHED_WORDS = 1_000_000
+# Distinct words a task remembers: below 50 MB.
+CACHED_WORDS = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -70,9 +71,10 @@ class WordEncoder:
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.is_end[number] = token.endswith("</w>")
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        """Starts without known words."""
         new: list[str] = []
 
         class Numbers(dict):
@@ -90,8 +92,11 @@ class WordEncoder:
         if not self.new:
             return
         joined = [" ".join(self.new[i : i + 500]) for i in range(0, len(self.new), 500)]
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.concatenate([np.array(e, np.uint32) for e in encoded])
+        parts = []
+        for i in range(0, len(joined), 8):  # encodings are large: tokens, places, masks
+            encoded = self.tokenizer.encode_batch_fast(joined[i : i + 8], add_special_tokens=False)
+            parts += [np.array(e.ids, np.uint32) for e in encoded]
+        ids = np.concatenate(parts)
         units = np.fromiter((len(_UNITS.findall(w)) for w in self.new), np.int64, len(self.new))
         unit_ends = np.flatnonzero(self.is_end[ids]) + 1
         if units.sum() != len(unit_ends):
@@ -106,7 +111,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.numbers) > self.cached_words:
-            self._clear()
+            self.forget()
         plain = [_is_plain(t) for t in texts]
         number = self.numbers.__getitem__
         found = []
@@ -132,6 +137,7 @@ class WordEncoder:
         return out
 
 
+# The library does not free a tokeniser, so a worker keeps one for all its tasks.
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -141,7 +147,7 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def slices(column: list, most_chars: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def slices(column: list, most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive rows with at most so many characters, one row at least."""
     begin, chars = 0, 0
     for i, text in enumerate(column):
@@ -189,11 +195,12 @@ def token_pieces(
                 if with_ids:
                     columns.append(pa.array([p.astype("int32") for p in parts], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        encoder.forget()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     schema = PIECES + ", ids array<int>" * with_ids
     chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(cut, schema)
+    return map_texts(chosen, cut, schema)
 
 
 class OpenBins:

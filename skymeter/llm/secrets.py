@@ -21,11 +21,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
 from skymeter.session import materialize
 
@@ -316,7 +316,7 @@ def labelled_findings(
             yield pa.RecordBatch.from_arrays(columns, ["window", "label"])
 
     chosen = documents.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < part).select(F.col(text).alias("text"))
-    labelled = materialize(chosen.mapInArrow(label, "window string, label long").distinct(), "labelled")
+    labelled = materialize(map_texts(chosen, label, "window string, label long").distinct(), "labelled")
     order = F.xxhash64("window")
     found = [labelled.filter(F.col("label") == v).orderBy(order, "window").limit(most).collect() for v in (0, 1)]
     rows = [r for part in found for r in part]
@@ -350,13 +350,16 @@ def findings(documents: DataFrame, network: Network, doc_id: str = "doc_id", tex
     """``doc_id, findings``: the secrets of every document."""
     shared = documents.sparkSession.sparkContext.broadcast(network)
 
-    @F.pandas_udf(FINDINGS)
-    def find(texts: pd.Series) -> pd.Series:
-        found = all_findings(["" if t is None else t for t in texts], shared.value)
-        keys = ("kind", "start", "end", "score")
-        return pd.Series([[dict(zip(keys, f, strict=True)) for f in spans] for spans in found])
+    fields = {"kind": pa.string(), "start": pa.int32(), "end": pa.int32(), "score": pa.float64()}
 
-    return documents.select(F.col(doc_id).alias("doc_id"), find(F.col(text)).alias("findings"))
+    @F.arrow_udf(FINDINGS)
+    def find(texts: pa.Array) -> pa.Array:
+        found = all_findings([t or "" for t in texts.to_pylist()], shared.value)
+        rows = [[dict(zip(fields, f, strict=True)) for f in spans] for spans in found]
+        give_back()
+        return pa.array(rows, pa.list_(pa.struct(list(fields.items()))))
+
+    return in_text_batches(documents).select(F.col(doc_id).alias("doc_id"), find(F.col(text)).alias("findings"))
 
 
 def written(spans: Column) -> Column:
@@ -368,19 +371,20 @@ def redact(documents: DataFrame, network: Network, text: str = "text") -> DataFr
     """The documents with a mark in place of every secret; NULL texts stay NULL."""
     shared = documents.sparkSession.sparkContext.broadcast(network)
 
-    @F.pandas_udf("string")
-    def cover(texts: pd.Series) -> pd.Series:
-        known = ["" if t is None else t for t in texts]
+    @F.arrow_udf("string")
+    def cover(texts: pa.Array) -> pa.Array:
+        known = [t or "" for t in texts.to_pylist()]
         out: list[str | None] = []
-        for given, content, spans in zip(texts, known, all_findings(known, shared.value), strict=True):
+        for given, content, spans in zip(texts.is_valid(), known, all_findings(known, shared.value), strict=True):
             parts, last = [], 0
             for _, start, end, _ in spans:
                 if start >= last:
                     parts += [content[last:start], REDACTED]
                 last = max(last, end)
-            out.append(None if given is None else "".join([*parts, content[last:]]))
-        return pd.Series(out, dtype=object)
+            out.append("".join([*parts, content[last:]]) if given.as_py() else None)
+        give_back()
+        return pa.array(out, pa.string())
 
     covered = unused(documents, "_covered")
-    changed = documents.withColumn(covered, cover(F.col(text)))
+    changed = in_text_batches(documents).withColumn(covered, cover(F.col(text)))
     return changed.withColumn(text, F.col(covered)).drop(covered)

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skymeter.llm.batches import map_texts
 from skymeter.llm.columns import unused
 from skymeter.llm.components import components
 from skymeter.session import materialize
@@ -79,7 +80,7 @@ def fingerprints(
     keys = [] if row_key is None else [row_key.alias("row_key")]
     chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *keys)
     names = ["doc_id", "fingerprint"] + ["row_key"] * len(keys)
-    return chosen.mapInArrow(hashed, "doc_id long, fingerprint long" + ", row_key string" * len(keys))
+    return map_texts(chosen, hashed, "doc_id long, fingerprint long" + ", row_key string" * len(keys))
 
 
 def _remainder(vectors: np.ndarray) -> np.ndarray:
