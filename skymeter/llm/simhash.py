@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from skymeter.llm.batches import map_texts
 from skymeter.llm.columns import unused
 from skymeter.llm.components import components
-from skymeter.session import materialize
+from skymeter.session import materialize, scratch
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -148,6 +148,8 @@ def near_links(distinct: DataFrame, paired: int = PAIRED_FINGERPRINTS) -> DataFr
     """
     keys = fuzzy_keys(distinct)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    # Stored, so that the fingerprints of a full key are split in the join.
+    shared = materialize(shared, "simhash-shared")
     met = materialize(keys.join(shared, "key"), "simhash-keys")
 
     few = met.filter(F.col("members") <= paired)
@@ -181,16 +183,21 @@ def near_duplicates(
     only distinct fingerprints are linked; the documents come back by one join at the
     end, in which a fingerprint with very many documents is split.
     """
-    hashed = fingerprints(documents, doc_id, text, shingle_words, row_key)
-    hashed = materialize(hashed, "fingerprints")
+    with scratch(documents.sparkSession) as area:
+        hashed = area.result(fingerprints(documents, doc_id, text, shingle_words, row_key), "fingerprints")
+        known = area.result(_known_components(hashed, paired), "known")
+    return hashed.join(known, "fingerprint").select(*hashed.columns, "component", "component_id")
+
+
+def _known_components(hashed: DataFrame, paired: int) -> DataFrame:
+    """``fingerprint, component, component_id`` of every distinct fingerprint."""
     distinct = materialize(hashed.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     labels = components(near_links(distinct, paired)).withColumnRenamed("node", "fingerprint")
     labelled = distinct.join(labels, "fingerprint", "left").select(
         "fingerprint", "first", F.coalesce("label", "fingerprint").alias("component")
     )
     smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    known = materialize(labelled.join(smallest, "component").drop("first"), "known")
-    return hashed.join(known, "fingerprint").select(*hashed.columns, "component", "component_id")
+    return labelled.join(smallest, "component").select("fingerprint", "component", "component_id")
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
