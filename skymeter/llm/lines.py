@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
 from skymeter.operators.graph import dense_ids
-from skymeter.session import load, materialize, store
+from skymeter.session import load, materialize, scratch, store
 
 LEAST_WORDS = 50
 NO_ID = (1 << 63) - 1
@@ -214,12 +214,19 @@ def shortest_runs(ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
 
 def later_copies(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
     """``doc, body, runs``: the ranges of lines to delete, one row per document that has any."""
+    with scratch(documents.sparkSession) as area:
+        return area.result(_copied_runs(documents, doc_id, text, least_words), "copies")
+
+
+def _copied_runs(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
     lines = materialize(document_lines(documents, doc_id, text), "lines")
     runs = materialize(shortest_runs(suffix_ranks(lines, least_words), least_words), "runs")
     names = ["lines", "first", "second"]
     place = F.struct("doc", "body", "seq")
     kept = runs.groupBy(*names).agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("copies"))
-    copies = runs.join(kept.filter("copies > 1").drop("copies"), names).filter(place != F.col("kept"))
+    # Stored, so that the places of a run with very many are split in the join.
+    kept = materialize(kept.filter("copies > 1").drop("copies"), "kept-runs")
+    copies = runs.join(kept, names).filter(place != F.col("kept"))
     span = F.struct(F.col("from_line").alias("from"), F.col("to_line").alias("to"))
     return copies.groupBy("doc", "body").agg(F.collect_list(span).alias("runs"))
 
