@@ -47,7 +47,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from skymeter.session import work_path
+from skymeter.session import materialize, work_path
 
 SCHEMA = (
     "record_id string, record_type string, record_date string, target_uri string, payload_digest string, "
@@ -388,7 +388,8 @@ def page_records(
         .filter("copies > 1")
         .select("sha1", "payload_length", "largest")
     )
-    joined = rows.join(again, ["sha1", "payload_length"], "left")
+    # Stored, so that the pages of a payload with very many are split in the join.
+    joined = rows.join(materialize(again, "payloads-again"), ["sha1", "payload_length"], "left")
     revisits = F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest"))
     return joined.select(
         _page_urn("page_id").alias("record_id"),
