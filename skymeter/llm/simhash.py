@@ -57,9 +57,14 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     else:
         shingles = list(map(b" ".join, zip(*(words[i:] for i in range(shingle_words)))))
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as a signed 64-bit integer."""
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    majority = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(majority).view(">i8")[0])
+    common = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+    return int(np.packbits(common).view(">i8")[0])
 
 
 def fingerprints(
@@ -206,12 +211,20 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     It is the one with the smallest id, then the smallest fingerprint, then the smallest
     MD5 of its text; of rows that are equal in all that, any one stays.
     """
-    row_key = F.concat_ws(":", F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
-    found = near_duplicates(documents, doc_id, text, row_key=row_key)
+    return one_of_each(documents, near_duplicates(documents, doc_id, text, row_key=row_keys(doc_id, text)), doc_id, text)
+
+
+def row_keys(doc_id: str, text: str) -> Column:
+    """Id and MD5 of the text."""
+    return F.concat_ws(":", F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
+def one_of_each(documents: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The first document of each component in ``doc_id, fingerprint, row_key, component``."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "fingerprint", "row_key")
     first = found.groupBy("component").agg(F.min(order).alias("first"))
     key, row = unused(documents, "_row_key"), unused(documents, "_row")
     kept = materialize(first.select(F.col("first.row_key").alias(key)), "kept")
-    rows = documents.withColumn(key, row_key).join(kept, key)
+    rows = documents.withColumn(key, row_keys(doc_id, text)).join(kept, key)
     same = Window.partitionBy(key).orderBy(key)
     return rows.withColumn(row, F.row_number().over(same)).filter(F.col(row) == 1).select(*documents.columns)
