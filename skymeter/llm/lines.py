@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
 from skymeter.operators.graph import dense_ids
-from skymeter.session import load, materialize, store
+from skymeter.session import load, materialize, store, stored_for_join
 
 LEAST_WORDS = 50
 NO_ID = (1 << 63) - 1
@@ -90,7 +90,19 @@ def document_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
             )
 
     chosen = documents.filter(F.col(text).isNotNull()).select(*_identity(doc_id, text), F.col(text).alias("text"))
-    return map_texts(chosen, split, LINES)
+    return map_texts(_one_row_each(chosen), split, LINES)
+
+
+def _one_row_each(chosen: DataFrame) -> DataFrame:
+    """``doc, body, text`` without the further rows of repeated documents.
+
+    As long as the keys of repeated documents can be broadcast, only their texts are moved.
+    """
+    counts = chosen.groupBy("doc", "body").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    repeated = stored_for_join(counts, "repeated")
+    once = chosen.join(repeated, ["doc", "body"], "left_anti")
+    merged = chosen.join(repeated, ["doc", "body"], "left_semi").groupBy("doc", "body").agg(F.min("text").alias("text"))
+    return once.union(merged)
 
 
 def _ranked(rows: DataFrame, first: str, second: str) -> DataFrame:

@@ -79,3 +79,14 @@ def test_edge_cases(spark):
     kept = remove_repeated_lines(edge_table(spark), removed="gone")
     assert kept.columns == [*edge_table(spark).columns, "gone"]
     assert remove_repeated_lines(empty_table(spark), removed="gone").count() == 0
+
+
+def test_repeated_and_null_id_rows_count_once(spark):
+    """Runs of five and more lines in rows that are there again, and very often."""
+    rng = random.Random(7)
+    run = "\n".join(prose(rng, 11) for _ in range(7))
+    texts = [f"{prose(rng, 9)}\n{run}\n{prose(rng, 7)}" for _ in range(3)]
+    documents = [(1, texts[0])] * 2 + [(2, texts[1])] * 3 + [(None, texts[2])] * 2 + [(3, run + "\n" + prose(rng, 4))]
+    documents += [(4, f"{run}\nx\n{run}")] * 30
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in documents], SCHEMA)
+    check(df, documents, 50)
