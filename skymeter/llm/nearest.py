@@ -187,7 +187,8 @@ class Index:
     def __init__(self, vectors: DataFrame, pivots: Pivots, width: int):
         self.width = width
         self.shared = vectors.sparkSession.sparkContext.broadcast(pivots)
-        keyed = materialize(self._keyed(vectors), "pivot-keys")
+        # Stored with the salt, so that every later reading has the same.
+        keyed = materialize(self._keyed(vectors).withColumn("salt", F.monotonically_increasing_id()), "pivot-keys")
         # One row per pivot.
         rows = keyed.groupBy("pivot").agg(F.count(F.lit(1)), F.min("distance"), F.max("distance")).collect()
         self.rings = {r[0]: (-(-r[1] // SLICE_ROWS), r[2], r[3]) for r in rows}
@@ -221,9 +222,9 @@ class Index:
                     [*keys, *(pa.array([v.tobytes()], pa.binary()) for v in values)], _names(SLICES)
                 )
 
-        # The hash of the id deals a pivot's vectors over its slices, however many there are.
+        # The hash deals a pivot's vectors over its slices, however many there are; the salt also rows of one id.
         slices_of = F.create_map(*[F.lit(x) for p, (n, _, _) in self.rings.items() for x in (p, n)])
-        dealt = keyed.withColumn("slice", F.pmod(F.xxhash64("vec_id"), slices_of[F.col("pivot")]).cast("int"))
+        dealt = keyed.withColumn("slice", F.pmod(F.xxhash64("vec_id", "salt"), slices_of[F.col("pivot")]).cast("int"))
         slices = sum(n for n, _, _ in self.rings.values())
         placed = dealt.repartition(slices, "pivot", "slice")
         return placed.sortWithinPartitions("pivot", "slice", "distance", "vec_id").mapInArrow(gather, SLICES)
@@ -265,11 +266,13 @@ class Index:
         def visits(row: dict) -> Iterator[pa.RecordBatch]:
             ids, distances, queries = _block(row, width)
             least = np.full(len(ids), -np.inf)
-            for number, found, scores in _search(
-                row, ids, distances[:, row["pivot"]], queries, least, shared.value, width, top
-            ):
-                if len(found) == top:
-                    least[number] = scores[-1]
+            # Without that slice, no score is known to beat.
+            if row["vectors"] is not None:
+                for number, found, scores in _search(
+                    row, ids, distances[:, row["pivot"]], queries, least, shared.value, width, top
+                ):
+                    if len(found) == top:
+                        least[number] = scores[-1]
             for pivot, (slices, inner, outer) in rings.items():
                 to_pivot = distances[:, pivot]
                 bound = upper_bounds(queries, to_pivot, np.array([inner]), np.array([outer]), shared.value.longest)
@@ -281,7 +284,7 @@ class Index:
                         columns = [*keys, *(pa.array([v], pa.binary()) for v in values)]
                         yield pa.RecordBatch.from_arrays(columns, _names(VISITS))
 
-        return blocks.join(self.slices, ["pivot", "slice"]).mapInArrow(search, VISITS)
+        return blocks.join(self.slices, ["pivot", "slice"], "left").mapInArrow(search, VISITS)
 
     def top(self, queries: DataFrame, top: int = TOP) -> DataFrame:
         """``query_id, rank, vec_id, score`` of every query ``vec_id, vector``."""

@@ -87,3 +87,36 @@ def test_repeated_rows_are_candidates_each(spark):
     df = spark.createDataFrame([(i, v, "", "", "") for i, v in rows], SCHEMA)
     got = [tuple(r) for r in top_k(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 1, 1024 * 1024), (0, 2, 1, 1024 * 1024), (0, 3, 2, 1024 * 512)]
+
+
+def repeated_id_table(spark, monkeypatch):
+    """Most rows have one id, and one pivot has several slices."""
+    for name, value in (("SLICE_ROWS", 20), ("PIVOTS", 1), ("ANNULUS_ROWS", 4)):
+        monkeypatch.setattr(nearest, name, value)
+    rng = np.random.default_rng(4)
+    rows = [(7, v.tolist()) for v in rng.normal(size=(400, 6))]
+    rows += [(i, v.tolist()) for i, v in zip((0, 100, 200, 1, 2), rng.normal(size=(5, 6)), strict=True)]
+    return rows, spark.createDataFrame([(i, v, "", "", "") for i, v in rows], SCHEMA)
+
+
+def plain_top(rows, query, top=10):
+    whole = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows]
+    q = dict(whole)[query]
+    scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), i) for i, v in whole if i != query)
+    return [(rank, i, -s) for rank, (s, i) in enumerate(scores[:top], 1)]
+
+
+def test_rows_of_a_very_common_id_are_dealt_evenly(spark, monkeypatch):
+    rows, df = repeated_id_table(spark, monkeypatch)
+    vectors = nearest.integer_vectors(df)
+    sample = np.array([r.vector for r in vectors.limit(50).collect()])
+    longest = max((np.array(r.vector) ** 2).sum() for r in vectors.collect())
+    index = nearest.Index(vectors, nearest.Pivots(sample, int(longest), 1), 6)
+    sizes = [r[0] // 8 for r in index.slices.select(F.length("ids")).collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 3 * nearest.SLICE_ROWS
+    got = top_k(df, F.col("vec_id") % 100 == 0).collect()
+    for query in (0, 100, 200):
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == query) == plain_top(rows, query)
+    # A block whose first slice has no rows visits the others.
+    index.slices = index.slices.filter("slice <> 0")
+    assert {r.query_id for r in index.top(vectors.filter("vec_id % 100 = 0")).collect()} == {0, 100, 200}
