@@ -8,7 +8,7 @@ labelled findings: those of the rules in a bounded sample of documents against t
 candidates there, and generated ones of public token formats against look-alikes (times,
 paths, versions, identifiers). On a part kept back, the output is calibrated (Platt) and
 each group of candidates gets the highest threshold that still reaches the wanted recall.
-Candidates above it that no rule found are added as kind ``model``.
+Candidates above it are added as kind ``model``, unless the rules' findings cover them.
 
 Defined cases: a NULL text counts as empty and has no findings; NULL ids and repeated
 rows are kept, one result each; an empty table gives no rows. Positions are code points,
@@ -291,6 +291,20 @@ def marked_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[
         yield start, end, at < len(spans) and spans[at][0] < end
 
 
+def open_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """The candidates that do not lie wholly inside the rules' findings, given by start."""
+    at = 0
+    for start, end in candidates(text):
+        while at < len(spans) and spans[at][1] <= start:
+            at += 1
+        covered, i = start, at
+        while i < len(spans) and spans[i][0] <= covered < end:
+            covered = max(covered, spans[i][1])
+            i += 1
+        if covered < end:
+            yield start, end
+
+
 def labelled_findings(
     documents: DataFrame,
     text: str = "text",
@@ -337,7 +351,7 @@ def all_findings(texts: list[str], network: Network) -> list[list[tuple[str, int
     found = [rule_findings(t) for t in texts]
     open_to_model = []
     for i, text in enumerate(texts):
-        open_to_model += [(i, start, end) for start, end, known in marked_candidates(text, found[i]) if not known]
+        open_to_model += [(i, *c) for c in open_candidates(text, found[i])]
     windows = [window(texts[i], s, e) for i, s, e in open_to_model]
     out = [[(kind, start, end, 1.0) for start, end, kind in spans] for spans in found]
     for (i, start, end), shown, score in zip(open_to_model, windows, network.scores(windows), strict=True):

@@ -138,3 +138,14 @@ def test_redaction_covers_every_finding_and_nothing_else(spark, network):
         kept = "".join(c for c, gone in zip(text, covered, strict=True) if not gone)
         assert got[i].replace(REDACTED, "") == kept and (REDACTED in got[i]) == any(covered)
     assert redact(edge_table(spark), network).columns == edge_table(spark).columns
+
+
+def test_candidates_that_rules_cover_in_part_are_scored(network):
+    key = "sk_live_0123456789abcdef01234567XyZ9QwErTy12"
+    chained = "0123456789abcdef" * 2 + "01234567_ghp_" + "aB3dE5gH7jK9" * 3
+    for value in (key, chained):
+        text = f"see the value {value} in the house"
+        start = text.index(value)
+        assert f"model:{start}:{start + len(value)}" in written([text], network)[0]
+    covered = list(secrets.open_candidates("token=" + "ab12" * 9, secrets.rule_findings("token=" + "ab12" * 9)))
+    assert covered == []
