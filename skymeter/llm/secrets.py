@@ -9,6 +9,7 @@ candidates there, and generated ones of public token formats against look-alikes
 paths, versions, identifiers). On a part kept back, the output is calibrated (Platt) and
 each group of candidates gets the highest threshold that still reaches the wanted recall.
 Candidates above it are added as kind ``model``, unless the rules' findings cover them.
+Of a long candidate the network sees overlapping pieces, and the highest score counts.
 
 Defined cases: a NULL text counts as empty and has no findings; NULL ids and repeated
 rows are kept, one result each; an empty table gives no rows. Positions are code points,
@@ -51,6 +52,7 @@ SEED = 7
 
 LEFT, INSIDE, RIGHT = 32, 56, 16
 WINDOW = LEFT + INSIDE + RIGHT
+PIECE_STEP = INSIDE // 2
 EMBEDDED, WIDTH, FILTERS = 8, 5, 24
 EPOCHS, BATCH, RATE = 12, 64, 0.004
 OTHER_CHARACTER = 1
@@ -80,15 +82,20 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return runs
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """The candidate, or overlapping parts that cover a long one."""
+    if end - start <= INSIDE:
+        return [(start, end)]
+    return [(s, s + INSIDE) for s in [*range(start, end - INSIDE, PIECE_STEP), end - INSIDE]]
+
+
 def window(text: str, start: int, end: int) -> str:
-    """The candidate in its context; of a long one the beginning and the end.
+    """A piece of a candidate in its context.
 
-    Padded with NUL to a fixed length, so that the candidate starts at ``LEFT``.
+    Padded with NUL to a fixed length, so that the piece starts at ``LEFT``.
     """
     left = text[max(0, start - LEFT) : start].rjust(LEFT, "\0")
     inside = text[start:end]
-    if len(inside) > INSIDE:
-        inside = inside[: INSIDE - 16] + inside[-16:]
     right = text[end : end + RIGHT]
     return (left + inside + "\1" + right).ljust(WINDOW + 1, "\0")
 
@@ -263,6 +270,8 @@ def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndar
                 f"{word().upper()}-{number(4)}-{word().upper()}",
                 f"----------{number(2)}----------",
                 f"{pick(digits, int(rng.integers(12, 20)))}",
+                "/".join(word() for _ in range(rng.integers(8, 20))) + f"_{number(3)}.txt",
+                "-".join(word() for _ in range(rng.integers(8, 20))) + f".{number(2)}",
             ]
         )
 
@@ -277,18 +286,20 @@ def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndar
         name, sign = one(names if label else plain), one([": ", "=", ' = "', "='", ":"])
         before = f"{prose(6)} {name}{sign}" if rng.random() < 0.5 else f"{prose(6)} "
         text = f"{before}{value}{one(['', chr(34), ';', ',', '.'])} {prose(4)}"
-        windows.append(window(text, len(before), len(before) + len(value)))
-        labels.append(label)
+        for piece in pieces(len(before), len(before) + len(value)):
+            windows.append(window(text, *piece))
+            labels.append(label)
     return windows, np.array(labels)
 
 
 def marked_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, bool]]:
-    """The candidates, and whether one of the rules' findings, given by start, overlaps them."""
+    """The pieces of the candidates, and whether one of the rules' findings, given by start, overlaps them."""
     at = 0
-    for start, end in candidates(text):
-        while at < len(spans) and spans[at][1] <= start:
-            at += 1
-        yield start, end, at < len(spans) and spans[at][0] < end
+    for candidate in candidates(text):
+        for start, end in pieces(*candidate):
+            while at < len(spans) and spans[at][1] <= start:
+                at += 1
+            yield start, end, at < len(spans) and spans[at][0] < end
 
 
 def open_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
@@ -351,12 +362,16 @@ def all_findings(texts: list[str], network: Network) -> list[list[tuple[str, int
     found = [rule_findings(t) for t in texts]
     open_to_model = []
     for i, text in enumerate(texts):
-        open_to_model += [(i, *c) for c in open_candidates(text, found[i])]
-    windows = [window(texts[i], s, e) for i, s, e in open_to_model]
+        open_to_model += [(i, *c, p) for c in open_candidates(text, found[i]) for p in pieces(*c)]
+    windows = [window(texts[i], *piece) for i, _, _, piece in open_to_model]
     out = [[(kind, start, end, 1.0) for start, end, kind in spans] for spans in found]
-    for (i, start, end), shown, score in zip(open_to_model, windows, network.scores(windows), strict=True):
+    # A candidate has the highest score of its pieces that reach their threshold.
+    best: dict[tuple[int, int, int], float] = {}
+    for (*place, _), shown, score in zip(open_to_model, windows, network.scores(windows), strict=True):
         if score >= network.thresholds[group(shown)]:
-            out[i].append(("model", start, end, float(score)))
+            best[tuple(place)] = max(float(score), best.get(tuple(place), 0.0))
+    for (i, start, end), score in best.items():
+        out[i].append(("model", start, end, score))
     return [sorted(spans, key=lambda f: (f[1], KINDS.index(f[0]))) for spans in out]
 
 

@@ -149,3 +149,15 @@ def test_candidates_that_rules_cover_in_part_are_scored(network):
         assert f"model:{start}:{start + len(value)}" in written([text], network)[0]
     covered = list(secrets.open_candidates("token=" + "ab12" * 9, secrets.rule_findings("token=" + "ab12" * 9)))
     assert covered == []
+
+
+def test_every_character_of_a_long_candidate_is_seen(network):
+    for length in range(12, 300):
+        shown = secrets.pieces(5, 5 + length)
+        assert set().union(*(range(*p) for p in shown)) == set(range(5, 5 + length))
+        assert all(b - a <= secrets.INSIDE for a, b in shown)
+    rng = random.Random(5)
+    path = "/".join(rng.choice(["house", "river", "green", "walk"]) for _ in range(14))
+    long = f"{path}/ghp_{'aB3dE5gH7jK9' * 3}/{path}"
+    text = f"see {long} here"
+    assert written([text], network) == [[f"model:4:{4 + len(long)}"]]
