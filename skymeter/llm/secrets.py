@@ -207,7 +207,7 @@ class Network:
         """The highest threshold that at least ``RECALL`` of these positives reach."""
         if not len(scores):
             return 0.5
-        return float(max(0.5, np.sort(scores)[int(np.floor((1 - RECALL) * len(scores)))]))
+        return float(np.sort(scores)[int(np.floor((1 - RECALL) * len(scores)))])
 
     def probability(self, logit: np.ndarray) -> np.ndarray:
         slope, shift = self.calibration

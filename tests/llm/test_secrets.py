@@ -161,3 +161,8 @@ def test_every_character_of_a_long_candidate_is_seen(network):
     long = f"{path}/ghp_{'aB3dE5gH7jK9' * 3}/{path}"
     text = f"see {long} here"
     assert written([text], network) == [[f"model:4:{4 + len(long)}"]]
+
+
+def test_thresholds_below_a_half_reach_the_recall():
+    scores = np.linspace(0.05, 1, 101)
+    assert (scores >= Network._threshold(scores)).mean() >= secrets.RECALL
