@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, lines, secrets, similar
+from skymeter.llm import languages, lines, secrets, simhash
 from skymeter.llm.columns import unused
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.queries import WORD_TOKENIZER
@@ -45,8 +45,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts whose sets of 5-word shingles are similar by 0.8 or more."""
-    return similar.keep_one(docs)
+    """One document of each component of fingerprints that link, as in the operator's query."""
+    return simhash.keep_one(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
