@@ -34,8 +34,8 @@ OPEN_BINS = 1024
 # Pieces packed by one task: some MB, and some thousand sequences, of which the last
 # open bins stay partly empty.
 PIECES_PER_TASK = 50_000
-# Distinct words a task remembers: below 50 MB.
-CACHED_WORDS = 200_000
+# Distinct words a worker remembers, over all its tasks: below 30 MB.
+CACHED_WORDS = 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -50,7 +50,9 @@ _OTHER = frozenset("\x1c\x1d\x1e\x1f\u0130")
 
 
 def _is_plain(text: str) -> bool:
+    """Of the text and of what it becomes in lower case: some letters leave the listed range there."""
     seen = set(text)
+    seen |= set("".join(seen).lower())
     return max(seen, default="") <= _BEYOND and _OTHER.isdisjoint(seen) and "<|" not in text
 
 
@@ -60,9 +62,12 @@ class WordEncoder:
     The tokeniser cuts a text at white space and then into units (letters, single digits,
     other characters), and encodes every unit by itself; the last token of a unit is
     marked as such. So a text's ids are those of its words one after another, and many
-    words can be encoded in one call. Texts with characters beyond U+024F, separators
-    that are white space to one side only, or the mark of a special token are handed to
-    the tokeniser whole.
+    words can be encoded in one call. Texts with characters beyond U+024F, in lower case
+    too, separators that are white space to one side only, or the mark of a special token
+    are handed to the tokeniser whole; so are all texts of a call whose units are not as
+    many as counted.
+
+    Words are remembered. If there are too many, those seen only once go.
     """
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
@@ -75,6 +80,10 @@ class WordEncoder:
 
     def forget(self) -> None:
         """Starts without known words."""
+        self._know([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _know(self, words: list[str], lengths: np.ndarray, flat: np.ndarray) -> None:
+        """Starts with these words, of which each has so many of the ids."""
         new: list[str] = []
 
         class Numbers(dict):
@@ -83,14 +92,29 @@ class WordEncoder:
                 new.append(word)
                 return number
 
-        self.numbers, self.new = Numbers(), new
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _learn(self) -> None:
+        self.numbers, self.new = Numbers(zip(words, range(len(words)))), new
+        self.starts, self.lengths, self.flat = np.cumsum(lengths) - lengths, lengths, flat
+        self.seen = np.zeros(len(words), np.int64)
+
+    def _ids(self, words: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after another."""
+        lengths = self.lengths[words]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[words] - (ends - lengths), lengths)
+        at += np.arange(len(at))
+        return self.flat[at]
+
+    def _keep_repeated(self) -> None:
+        """Forgets words seen once, and all but the most frequent if that is not enough."""
+        kept = np.flatnonzero(self.seen > 1)
+        kept = np.sort(kept[np.argsort(-self.seen[kept], kind="stable")][: self.cached_words // 2])
+        words = list(self.numbers)
+        self._know([words[i] for i in kept], self.lengths[kept], self._ids(kept))
+
+    def _learn(self) -> bool:
+        """Encodes the new words; False if their units are not those the tokeniser sees."""
         if not self.new:
-            return
+            return True
         joined = [" ".join(self.new[i : i + 500]) for i in range(0, len(self.new), 500)]
         parts = []
         for i in range(0, len(joined), 8):  # encodings are large: tokens, places, masks
@@ -100,25 +124,29 @@ class WordEncoder:
         units = np.fromiter((len(_UNITS.findall(w)) for w in self.new), np.int64, len(self.new))
         unit_ends = np.flatnonzero(self.is_end[ids]) + 1
         if units.sum() != len(unit_ends):
-            raise ValueError("the tokeniser does not encode units one by one")
+            return False
         ends = np.append(0, unit_ends)[np.cumsum(units)]
         begins = np.append(0, ends[:-1])
         self.starts = np.concatenate([self.starts, len(self.flat) + begins])
         self.lengths = np.concatenate([self.lengths, ends - begins])
         self.flat = np.concatenate([self.flat, ids])
+        self.seen = np.concatenate([self.seen, np.zeros(len(self.new), np.int64)])
         self.new.clear()
+        return True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.numbers) > self.cached_words:
-            self.forget()
+            self._keep_repeated()
         plain = [_is_plain(t) for t in texts]
         number = self.numbers.__getitem__
         found = []
         for text, is_plain in zip(texts, plain, strict=True):
             words = text.lower().split() if is_plain else []
             found.append(np.fromiter(map(number, words), np.int64, len(words)))
-        self._learn()
+        if not self._learn():
+            self.forget()
+            plain = [False] * len(texts)
         others = iter(
             self.tokenizer.encode_batch_fast(
                 [t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False
@@ -127,11 +155,8 @@ class WordEncoder:
         out = []
         for words, is_plain in zip(found, plain, strict=True):
             if is_plain:
-                lengths = self.lengths[words]
-                ends = np.cumsum(lengths)
-                at = np.repeat(self.starts[words] - (ends - lengths), lengths)
-                at += np.arange(len(at))
-                out.append(self.flat[at])
+                self.seen += np.bincount(words, minlength=len(self.seen))
+                out.append(self._ids(words))
             else:
                 out.append(np.array(next(others).ids, np.uint32))
         return out
@@ -195,7 +220,6 @@ def token_pieces(
                 if with_ids:
                     columns.append(pa.array([p.astype("int32") for p in parts], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
-        encoder.forget()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     schema = PIECES + ", ids array<int>" * with_ids
@@ -247,15 +271,14 @@ def pack(
     open_bins: int = OPEN_BINS,
     pieces_per_task: int = PIECES_PER_TASK,
 ) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to pieces with a ``length``.
+    """Adds ``sequence_id`` and ``offset`` to stored pieces with a ``length``, in place of ``deal``.
 
-    ``rows``, the number of pieces, sets the number of tasks; each packs its share by
-    itself, in an order given by a hash, so that a task that runs again gives the same
-    sequences.
+    ``rows``, the number of pieces, sets the number of tasks. ``deal``, a hash of a row
+    number, deals the pieces out evenly, equal ones too; each task packs its share by
+    itself in the order of that hash, so that one that runs again gives the same sequences.
     """
-    order = F.xxhash64("doc_id", "piece", "ids_crc32")
     tasks = max(1, -(-rows // pieces_per_task))
-    names = [f"{c}" for c in pieces.columns] + ["sequence_id", "offset"]
+    names = [c for c in pieces.columns if c != "deal"] + ["sequence_id", "offset"]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(sequence_tokens, open_bins)
@@ -266,9 +289,9 @@ def pack(
             offset = pa.array([o for _, o in at], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, sequence, offset], names)
 
-    length_at = pieces.columns.index("length")
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    dealt = pieces.repartition(tasks, order).sortWithinPartitions(order, "doc_id", "piece", "ids_crc32")
+    length_at = names.index("length")
+    schema = pieces.drop("deal").schema.add("sequence_id", "long").add("offset", "long")
+    dealt = pieces.repartition(tasks, "deal").sortWithinPartitions("deal", "length").drop("deal")
     return dealt.mapInArrow(fill, schema)
 
 
@@ -288,6 +311,7 @@ def packed_documents(
     and their number is known before they are dealt out.
     """
     pieces = token_pieces(documents, tokenizer_path, doc_id, text, sequence_tokens, END_ID, with_ids)
+    pieces = pieces.withColumn("deal", F.xxhash64(F.monotonically_increasing_id()))
     seen = Observation()
     path = store(pieces, "pieces", seen, [F.count(F.lit(1)).alias("rows")])
     stored = load(documents.sparkSession, path, pieces.schema)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -8,8 +9,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 from corpus import edge_documents, edge_table, empty_table, sf_documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from skymeter.llm import packing
 from skymeter.llm.packing import OpenBins, WordEncoder, packed_documents, sequences
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +36,28 @@ def test_words_give_the_ids_of_whole_texts(spark, tokenizer):
         assert got == expected
 
 
+def test_every_listed_code_point_alone_and_beside_letters(tokenizer):
+    marks = [chr(c) for c in range(1, 0x250)]
+    texts = [t for c in marks for t in (c, f"{c}ab", f"ab{c}", f"a{c}b", f"é{c}1{c}", c * 3, f"x {c} y")]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = WordEncoder(PATH)
+    assert [list(ids) for begin in range(0, len(texts), 50) for ids in encoder.encode(texts[begin : begin + 50])] == expected
+
+
+def test_texts_with_other_units_than_counted_go_to_the_tokeniser_whole(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "_UNITS", re.compile("[a-z]"))
+    texts = ["the river", "two words more", ""]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [list(ids) for ids in WordEncoder(PATH).encode(texts)] == expected
+
+
+def test_words_seen_again_are_kept():
+    encoder = WordEncoder(PATH, cached_words=4)
+    encoder.encode(["one two three one four five", "two"])
+    encoder.encode(["one"])
+    assert list(encoder.numbers) == ["one", "two"]
+
+
 def plain_best_fit(lengths, capacity):
     """Best fit with all bins open, by looking at every one."""
     free = []
@@ -95,6 +120,13 @@ def test_edge_cases(spark, tokenizer, options):
     assert [(r.length, r.start) for r in rows if r.doc_id == 3] == [(1, 0)]
 
 
+def test_equal_rows_are_dealt_evenly(spark):
+    same = spark.range(9000).selectExpr("if(id % 3 = 0, 1, id) AS doc_id", "if(id % 3 = 0, 'a', 'b') AS text")
+    packed = packed_documents(same, PATH, pieces_per_task=1000)
+    counts = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 40)).count().collect()]
+    assert sum(counts) == 9000 and max(counts) <= 2 * sum(counts) / len(counts)
+
+
 def test_empty_table(spark):
     assert packed_documents(empty_table(spark), PATH).collect() == []
 
