@@ -14,9 +14,11 @@ rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ OPEN_BINS = 1024
 # Pieces packed by one task: some MB, and some thousand sequences, of which the last
 # open bins stay partly empty.
 PIECES_PER_TASK = 50_000
-# Distinct words a worker remembers, over all its tasks: below 30 MB.
-CACHED_WORDS = 100_000
+# Distinct words a worker remembers, over all its tasks: below 80 MB.
+CACHED_WORDS = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -154,11 +156,9 @@ class WordEncoder:
         )
         out = []
         for words, is_plain in zip(found, plain, strict=True):
-            if is_plain:
-                self.seen += np.bincount(words, minlength=len(self.seen))
-                out.append(self._ids(words))
-            else:
-                out.append(np.array(next(others).ids, np.uint32))
+            out.append(self._ids(words) if is_plain else np.array(next(others).ids, np.uint32))
+        used = [words for words, is_plain in zip(found, plain, strict=True) if is_plain]
+        self.seen += np.bincount(np.concatenate([np.zeros(0, np.int64), *used]), minlength=len(self.seen))
         return out
 
 
@@ -172,6 +172,20 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+@contextmanager
+def _one_thread() -> Iterator[None]:
+    """Within it, the library encodes on the task's own core only."""
+    name = "TOKENIZERS_PARALLELISM"
+    before = os.environ.get(name)
+    os.environ[name] = "false"
+    try:
+        yield
+    finally:
+        os.environ.pop(name)
+        if before is not None:
+            os.environ[name] = before
+
+
 def slices(column: list, most_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive rows with at most so many characters, one row at least."""
     begin, chars = 0, 0
@@ -203,8 +217,10 @@ def token_pieces(
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for begin, end in slices(texts):
+                with _one_thread():
+                    encoded = encoder.encode(texts[begin:end])
                 rows: list[tuple] = []
-                for row, ids in enumerate(encoder.encode(texts[begin:end]), begin):
+                for row, ids in enumerate(encoded, begin):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), sequence_tokens)):
                         part = ids[start : start + sequence_tokens]
