@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymeter.llm import languages, lines, nearest, secrets, sentencepieces, spots, token_counts, warc
+from skymeter.llm import (
+    languages,
+    lines,
+    nearest,
+    personal,
+    phrases,
+    secrets,
+    sentencepieces,
+    spots,
+    token_counts,
+    warc,
+    whitening,
+)
+from skymeter.llm.oracles import OP11_SQL, OP12_SQL
 from skymeter.llm.packing import packed_documents
 from skymeter.llm.simhash import near_duplicates
 from skymeter.sources import load_table
@@ -147,6 +160,33 @@ FROM k
 """
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, found by patterns, checksums and context."""
+    found = personal.findings(load_table(spark, folder, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda s: s["kind"].isin(*personal.BASE))
+    return found.select(
+        "doc_id",
+        *map(count, personal.BASE),
+        F.sha2(personal.written(base), 256).alias("base_sha256"),
+        personal.written(F.col("findings")).alias("spans"),
+        F.array_join(F.transform("findings", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of two to four words of each language."""
+    return phrases.collocations(load_table(spark, folder, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the 32 leading components, whitened."""
+    return whitening.whitened(load_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -158,10 +198,15 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_pii": op11_pii,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE = {
     "op6_exact_top_k": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
     "op10_warc": OP10_SQL,
+    "op11_pii": OP11_SQL,
+    "op12_phrase_collocations": OP12_SQL,
 }
