@@ -6,11 +6,13 @@ A graph is two DataFrames. Vertices have a key ``station`` and an attribute, edg
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
-from skymeter.session import discard, load, materialize, scratch, store, stored_for_join
+from skymeter.session import BROADCAST_BYTES, discard, load, materialize, row_bytes, scratch, store, stored_for_join
 
 # Share passed on to neighbours, PageRank's reset probability and
 # tolerance, edge weight, attributes of a vertex nobody described.
@@ -21,7 +23,8 @@ EDGE_WEIGHT = 1.0
 UNKNOWN_STATION = "Unknown"
 UNKNOWN_VALUE = 0.0
 
-ROUNDS_PER_WRITE = 8
+# A round refers to the state before it up to three times, so the plan of several grows by that factor.
+ROUNDS_PER_WRITE = 4
 # Links of a partition. A hash table of the state that goes with them stays below
 # 300 MB, and 10^11 links make 25,000 tasks a round.
 ROWS_PER_PARTITION = 4_000_000
@@ -124,9 +127,9 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
     """Links of the PageRank loop: ``node, block, dst, weight, blocks``.
 
     Parallel edges are merged into one link whose weight is their share of the
-    node's edges. Each node also has a link to itself without a weight, which
-    carries its state from round to round. The links of a node with more than
-    ``hot_degree`` of them are spread over several blocks.
+    node's edges. Each node also has a row without a receiver, from which its state
+    starts. The links of a node with more than ``hot_degree`` of them, a hub, are spread
+    over several blocks.
     """
     # Read four times from here on.
     pairs = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_copies")), "pairs")
@@ -146,41 +149,54 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
         F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int").alias("block"),
         "dst",
         (F.col("_copies") / F.col("_degree")).alias("weight"),
-        F.lit(None).cast("int").alias("blocks"),
+        "blocks",
     )
     own = nodes.join(degrees.withColumnRenamed("src", "node"), "node", "left").select(
         "node",
         F.lit(0).alias("block"),
-        F.col("node").alias("dst"),
+        F.lit(None).cast(links.schema["dst"].dataType).alias("dst"),
         F.lit(None).cast("double").alias("weight"),
         F.coalesce("blocks", F.lit(1)).alias("blocks"),
     )
     return links.unionByName(own)
 
 
-def _rounds_sql(rounds: int, keep: float, tolerance: float, split: bool) -> str:
-    """SQL of several PageRank rounds from the view ``state`` and the view ``links``.
+@dataclass
+class _Links:
+    """Links by sender, and those of hubs, dealt evenly by their blocks."""
+
+    ordinary: DataFrame
+    of_hubs: DataFrame | None
+    # Whether the state of all hubs may be broadcast.
+    few_hubs: bool
+
 
-    A link to itself (no weight) passes the rank on; other links pass the change on
-    if it exceeds the tolerance. Each round is one join and one aggregation by
-    receiver. The join hashes the state, one row per vertex: partitions are sized by
-    rows, so a part of it fits in memory and neither side needs sorting.
+def _round(state: DataFrame, links: _Links, keep: float, tolerance: float) -> DataFrame:
+    """The state ``node, rank, delta, blocks`` after one round.
+
+    Only vertices whose change exceeds the tolerance are joined with their links, and
+    only the messages move, in one exchange: state and links stay partitioned by node.
+    What hubs send is told to the blocks of their links by a broadcast, and united with
+    the other messages before the one aggregation. Too many hubs for that are dealt to
+    the blocks themselves; the state of other vertices still does not move.
     """
-    source = "(SELECT *, explode(sequence(0, spread - 1)) AS block FROM {0})" if split else "{0}"
-    keys = "node, block" if split else "node"
-    steps = []
-    for i in range(rounds):
-        previous = source.format(f"round{i - 1}" if i else "state")
-        steps.append(f"""
-            round{i} AS (
-              SELECT node, rank + delta AS rank, delta, spread
-              FROM (SELECT /*+ SHUFFLE_HASH(previous) */ dst AS node, sum(if(weight IS NULL, rank, 0D)) AS rank,
-                           {keep!r}D * sum(if(weight IS NULL, 0D, delta * weight)) AS delta,
-                           max(blocks) AS spread
-                    FROM {previous} AS previous JOIN links USING ({keys})
-                    WHERE weight IS NULL OR delta > {tolerance!r}D
-                    GROUP BY dst))""")
-    return f"WITH {','.join(steps)} SELECT * FROM round{rounds - 1}"
+    senders = state.filter(F.col("delta") > F.lit(tolerance))
+    message = (F.col("delta") * F.col("weight")).alias("sent")
+    own = senders.filter("blocks = 1").select("node", "delta")
+    sent = links.ordinary.join(own.hint("shuffle_hash"), "node").select("dst", message)
+    if links.of_hubs is not None:
+        hubs = senders.filter("blocks > 1")
+        if links.few_hubs:
+            told = links.of_hubs.join(F.broadcast(hubs.select("node", "delta")), "node")
+        else:
+            block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+            told = links.of_hubs.join(hubs.select("node", "delta", block).hint("shuffle_hash"), ["node", "block"])
+        sent = sent.union(told.select("dst", message))
+    received = sent.groupBy(F.col("dst").alias("node")).agg((F.lit(keep) * F.sum("sent")).alias("received"))
+    change = F.coalesce("received", F.lit(0.0))
+    return state.join(received.hint("shuffle_hash"), "node", "left").select(
+        "node", (F.col("rank") + change).alias("rank"), change.alias("delta"), "blocks"
+    )
 
 
 def pagerank(
@@ -198,12 +214,13 @@ def pagerank(
     last change exceeds the tolerance sends it, split evenly, along its edges;
     receivers add ``1 - reset`` times what arrives. It ends when nobody sends.
 
-    Links stay partitioned by source for the whole loop, and the sums of a round come
-    out partitioned the same way, so a round shuffles messages (already combined per
-    task) and nothing else. If a vertex has more than ``hot_degree`` links, the state is
-    dealt to the blocks of links by one more shuffle a round. After some rounds the state is written to the shared
-    folder, which cuts the lineage; the same job counts who would send next. Rounds
-    after the end change nothing, so stopping only between writes is exact.
+    Links and state stay partitioned by vertex, so a round shuffles messages (already
+    combined per task) and nothing else, and what it joins falls with the senders. The
+    links of a vertex with more than ``hot_degree`` of them lie apart in even blocks, to
+    which its state is broadcast; there are at most links / ``hot_degree`` such vertices.
+    After some rounds the state is written to the shared folder, which cuts the lineage;
+    the same job counts who would send next. Rounds after the end change nothing, so
+    stopping only between writes is exact.
     """
     with scratch(edges.sparkSession) as area:
         ranks = _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_write, area)
@@ -218,16 +235,17 @@ def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_wr
     vertices = vertices.select(key).dropna()
     links_seen = Observation()
     links = _weighted_links(vertices, edges, key, hot_degree)
-    links_path = store(
-        links,
-        "links",
-        links_seen,
-        [F.count(F.lit(1)).alias("rows"), F.coalesce(F.max("blocks"), F.lit(1)).alias("blocks")],
-    )
-    split = links_seen.get["blocks"] > 1
-    size = links_seen.get["rows"]
-    spread_out = min(spark.sparkContext.defaultParallelism, -(-size // MIN_ROWS_PER_PARTITION))
-    partitions = max(-(-size // ROWS_PER_PARTITION), spread_out, 1)
+    own, hub = F.col("weight").isNull(), F.col("blocks") > 1
+    told = row_bytes(links.select("node", "weight").schema)
+    counts = [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(own & hub).alias("hubs"),
+        F.coalesce(F.sum(F.when(own & hub, told)), F.lit(0)).alias("hub_bytes"),
+    ]
+    links_path = store(links, "links", links_seen, counts)
+    seen = links_seen.get
+    spread_out = min(spark.sparkContext.defaultParallelism, -(-seen["rows"] // MIN_ROWS_PER_PARTITION))
+    partitions = max(-(-seen["rows"] // ROWS_PER_PARTITION), spread_out, 1)
 
     # The loop has a session of its own, where one partition count holds for every
     # shuffle: what lets the cached links be joined in place. The caller's settings
@@ -238,29 +256,33 @@ def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_wr
     loop.conf.set("spark.sql.shuffle.partitions", str(partitions))
     loop.conf.set("spark.sql.constraintPropagation.enabled", "false")
 
-    by = ["node", "block"] if split else ["node"]
     stored = load(loop, links_path, links.schema)
-    placed = stored.repartition(partitions, *by).persist()
-    placed.createOrReplaceTempView("links")
-    rounds = _rounds_sql(rounds_per_write, 1.0 - reset, tolerance, split)
+    cached = [stored.filter(~own & ~hub).select("node", "dst", "weight").repartition(partitions, "node").persist()]
+    if seen["hubs"]:
+        cached.append(stored.filter(~own & hub).drop("blocks").repartition(partitions, "node", "block").persist())
+    placed = _Links(cached[0], cached[1] if seen["hubs"] else None, seen["hub_bytes"] <= BROADCAST_BYTES)
     start = F.lit(reset)
-    state = placed.filter(F.col("weight").isNull()).select(
-        "node", start.alias("rank"), start.alias("delta"), F.col("blocks").alias("spread")
-    )
-    path = None
+    state = stored.filter(own).select("node", start.alias("rank"), start.alias("delta"), "blocks")
     senders = F.count_if(F.col("delta") > F.lit(tolerance)).alias("senders")
+    path = None
     try:
         active = True
         while active:
-            state.createOrReplaceTempView("state")
-            state = loop.sql(rounds)
+            states = [state.repartition(partitions, "node").persist()]
+            cached += states
+            for _ in range(rounds_per_write):
+                states.append(_round(states[-1], placed, 1.0 - reset, tolerance).persist())
+                cached.append(states[-1])
             seen = Observation()
-            previous, path = path, store(state, "ranks", seen, [senders])
-            state = load(loop, path, state.schema)
+            previous, path = path, store(states[-1], "ranks", seen, [senders])
+            state = load(loop, path, states[-1].schema)
             active = seen.get["senders"] > 0
+            for df in states:
+                df.unpersist()
             if previous:
                 discard(spark, previous)
     finally:
-        placed.unpersist()
+        for df in cached:
+            df.unpersist()
     area.keep(path)
     return load(spark, path, state.schema)

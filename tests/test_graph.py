@@ -133,6 +133,62 @@ def test_hot_vertex_is_split_and_ranked_the_same(spark):
     assert ranks(spark, edges, hot_degree=5) == pytest.approx(expected, abs=1e-9)
 
 
+def hub_edges(seed=7):
+    rng = random.Random(seed)
+    edges = [(0, n) for n in range(1, 60)] + [(n, 0) for n in range(1, 60)]
+    return edges + [(rng.randrange(60), rng.randrange(60)) for _ in range(60)]
+
+
+def test_too_many_hubs_for_a_broadcast_rank_the_same(spark, monkeypatch):
+    monkeypatch.setattr(graph_operators, "BROADCAST_BYTES", 0)
+    expected = plain_pagerank(hub_edges(), [])
+    assert ranks(spark, hub_edges(), hot_degree=5) == pytest.approx(expected, abs=1e-9)
+
+
+def recorded_rounds(monkeypatch):
+    """What goes into each round and comes out of it."""
+    rounds, one = [], graph_operators._round
+
+    def recorded(state, links, keep, tolerance):
+        out = one(state, links, keep, tolerance)
+        rounds.append((state, links, out))
+        return out
+
+    monkeypatch.setattr(graph_operators, "_round", recorded)
+    return rounds
+
+
+def test_a_round_with_hubs_has_one_exchange(spark, monkeypatch):
+    rounds = recorded_rounds(monkeypatch)
+    ranks(spark, hub_edges(), hot_degree=5, rounds_per_write=1)
+    assert len(rounds) > 5
+    # Both sides of a round were cached in place; only what a round adds to them counts.
+    for _, links, out in rounds:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        own = plan.split("InMemoryRelation")[0]
+        assert links.few_hubs and links.of_hubs is not None
+        assert own.count("Exchange hashpartitioning") == 1 and own.count("BroadcastExchange") <= 1
+
+
+def test_joined_rows_fall_with_the_senders(spark, monkeypatch):
+    """On a chain the first vertices stop sending round by round."""
+    joined = []
+    one = graph_operators._round
+
+    def counted(state, links, keep, tolerance):
+        senders = state.filter(F.col("delta") > tolerance).select("node")
+        joined.append((links.ordinary.join(senders, "node").count(), senders.count()))
+        return one(state, links, keep, tolerance)
+
+    monkeypatch.setattr(graph_operators, "_round", counted)
+    chain = [(n, n + 1) for n in range(60)]
+    got = ranks(spark, chain)
+    assert got == pytest.approx(plain_pagerank(chain, []), abs=1e-9)
+    rows = [n for n, _ in joined]
+    assert rows[0] == 60 and rows == sorted(rows, reverse=True) and rows[40] == 20 and rows[-1] == 0
+    assert all(n <= senders for n, senders in joined)
+
+
 def test_pagerank_leaves_the_session_as_it_was(spark):
     keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
     before = [spark.conf.get(k) for k in keys]
@@ -156,7 +212,7 @@ def test_pagerank_leaves_only_the_ranks_it_returns(spark, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(graph_operators, "_rounds_sql", fail)
+    monkeypatch.setattr(graph_operators, "_round", fail)
     with pytest.raises(RuntimeError, match="lost"):
         ranks(spark, CYCLIC_EDGES)
     assert stored_tables(spark) - before == left
