@@ -6,9 +6,10 @@ A graph is two DataFrames. Vertices have a key ``station`` and an attribute, edg
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from skymeter.operators.stats import group_stats
@@ -33,16 +34,16 @@ MIN_ROWS_PER_PARTITION = 50_000
 HOT_DEGREE = 1_000_000
 
 
-def dense_ids(df: DataFrame, key: str, output: str = "id") -> DataFrame:
+def dense_ids(df: DataFrame, key: str | Sequence[str | Column], output: str = "id") -> DataFrame:
     """Adds ids 0..n-1 in the order of a unique key, without one global sort.
 
-    The key is range-partitioned; a row's id is its position in its partition plus
-    the number of rows in earlier partitions. Only those counts, one per partition,
-    are summed up in one place and broadcast.
+    The key, one column or several in their order, is range-partitioned; a row's id is
+    its position in its partition plus the number of rows in earlier partitions. Only
+    those counts, one per partition, are summed up in one place and broadcast.
     """
     # monotonically_increasing_id holds the partition above the row number in it.
     bits = 33
-    ranged = df.orderBy(key).withColumn("_position", F.monotonically_increasing_id())
+    ranged = df.orderBy(*([key] if isinstance(key, str) else key)).withColumn("_position", F.monotonically_increasing_id())
     stored = materialize(ranged, "dense-ids")
     partition = F.shiftright("_position", bits).alias("_partition")
     earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)

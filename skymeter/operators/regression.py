@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml import Model
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymeter.functions import hash_bucket
-from skymeter.session import stored_for_join
+from skymeter.operators.graph import dense_ids
+from skymeter.session import materialize, stored_for_join
 
 # Label, features, share of training rows, seed, model parameters.
 LABEL = "pm25"
@@ -25,6 +27,9 @@ DEFAULT_MAX_BINS = 32
 
 SPLIT_BUCKETS = 10_000
 
+# Training rows of a partition.
+ROWS_PER_PARTITION = 200_000
+
 # Categories of a feature up to which trees take it as one. Trees keep statistics for each
 # category and the driver all names; beyond, use means_by_category for the feature.
 MOST_CATEGORIES = 1_000
@@ -62,21 +67,46 @@ def index_column(name: str) -> str:
     return f"{name}_index"
 
 
-def feature_stages(
-    numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES
-) -> list:
-    """Category indexer (most frequent first; unseen ones skipped) and vector assembler.
+def category_index(train: DataFrame, category: str) -> tuple[DataFrame, int]:
+    """``category, <category>_index`` of the training rows' categories, and how many there are.
 
-    All categories are indexed by one stage, which counts them in one pass.
+    The most frequent one is 0, ties go by name. Counting, numbering and the table itself
+    stay distributed; only the number of categories comes to the driver.
     """
-    stages: list = []
-    indexed = [index_column(c) for c in categorical]
-    if categorical:
-        stages.append(
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="skip")
-        )
-    stages.append(VectorAssembler(inputCols=[*numeric, *indexed], outputCol="features"))
-    return stages
+    counts = train.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
+    name = index_column(category)
+    numbered = dense_ids(counts, [F.desc("_n"), category], name)
+    index = materialize(numbered.select(category, F.col(name).cast("double").alias(name)), "category-index")
+    return stored_for_join(index, "category-join"), index.count()
+
+
+@dataclass
+class FeatureIndex:
+    """Fitted features: numeric columns, and an index table for each categorical one."""
+
+    numeric: Sequence[str]
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> list[str]:
+        """The features in the order of the vector."""
+        return [*self.numeric, *map(index_column, self.tables)]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with an index per categorical column and the vector ``features``.
+
+        Rows with a category that the training rows do not have are skipped. Index tables
+        are joined by their counted bytes. Trees learn from the columns' metadata which
+        features are categories, and how many there are.
+        """
+        out = df
+        for category, table in self.tables.items():
+            name = index_column(category)
+            kind = {"ml_attr": {"type": "nominal", "name": name, "num_vals": self.sizes[category]}}
+            joined = out.join(table, category)
+            out = joined.select(*out.columns, F.col(name).alias(name, metadata=kind))
+        return VectorAssembler(inputCols=self.columns, outputCol="features").transform(out)
 
 
 def means_by_category(train: DataFrame, df: DataFrame, category: str, label: str = LABEL) -> DataFrame:
@@ -91,22 +121,15 @@ def means_by_category(train: DataFrame, df: DataFrame, category: str, label: str
     return df.join(means, category, "left").withColumn(name, F.coalesce(name, overall))
 
 
-def max_bins(prefix: PipelineModel) -> int:
-    """Bins that hold every category of the fitted indexers.
+def max_bins(index: FeatureIndex) -> int:
+    """Bins that hold every category.
 
     An error above ``MOST_CATEGORIES``: nothing is cut off in silence.
     """
-    sizes = [
-        len(labels)
-        for stage in prefix.stages
-        if isinstance(stage, StringIndexerModel)
-        for labels in stage.labelsArray
-    ]
-    if max(sizes, default=0) > MOST_CATEGORIES:
-        raise ValueError(
-            f"a feature has {max(sizes)} categories, more than {MOST_CATEGORIES}: use means_by_category for it"
-        )
-    return max([DEFAULT_MAX_BINS, *sizes])
+    most = max(index.sizes.values(), default=0)
+    if most > MOST_CATEGORIES:
+        raise ValueError(f"a feature has {most} categories, more than {MOST_CATEGORIES}: use means_by_category for it")
+    return max(DEFAULT_MAX_BINS, most)
 
 
 def linear_regression(label: str = LABEL, prediction: str = "prediction") -> LinearRegression:
@@ -147,26 +170,52 @@ def fit_features(
     train: DataFrame,
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
-) -> PipelineModel:
-    """Fits indexing and assembly once, for all models of the same training rows."""
-    return Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
+) -> FeatureIndex:
+    """Indexes the categories once, for all models of the same training rows."""
+    found = {c: category_index(train, c) for c in categorical}
+    return FeatureIndex(tuple(numeric), {c: t for c, (t, _) in found.items()}, {c: n for c, (_, n) in found.items()})
+
+
+def in_stable_layout(rows: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """The rows in partitions and an order that depend on the rows alone.
+
+    They are dealt by a hash of their key (all columns by default) to a number of
+    partitions given by their count, and sorted there. Whatever is then drawn or added up
+    per partition, such as a forest's samples, comes out the same for any layout of the
+    input and in a task that runs again.
+    """
+    by = [F.hash(*(rows.columns if keys is None else keys))]
+    parts = max(1, -(-rows.count() // ROWS_PER_PARTITION))
+    order = [*by, *[c for c, kind in rows.dtypes if kind != "vector"]]
+    return rows.repartition(parts, *by).sortWithinPartitions(*order)
 
 
 def fit_models(
-    train: DataFrame, prefix: PipelineModel, names: Sequence[str], label: str = LABEL
+    train: DataFrame,
+    index: FeatureIndex,
+    names: Sequence[str],
+    label: str = LABEL,
+    keys: Sequence[str] | None = None,
 ) -> dict[str, Model]:
-    """Fits the named models on the same stored vectors; model ``m`` predicts into ``m``."""
-    vectors = prefix.transform(train).select(label, "features").persist()
+    """Fits the named models on the same cached vectors; model ``m`` predicts into ``m``.
+
+    ``keys`` name a row; by default its label and features do. Fitting the same rows gives
+    the same models however they are partitioned.
+    """
+    indexed = index.transform(train)
+    named = [label, *index.columns] if keys is None else [*keys, label, *index.columns]
+    vectors = in_stable_layout(indexed.select(*dict.fromkeys(named), "features"), keys or named)
+    vectors = vectors.select(label, "features").persist()
     try:
-        bins = max_bins(prefix) if set(names) - {"linear_regression"} else DEFAULT_MAX_BINS
+        bins = max_bins(index) if set(names) - {"linear_regression"} else DEFAULT_MAX_BINS
         return {n: ESTIMATORS[n](label, n, bins).fit(vectors) for n in names}
     finally:
         vectors.unpersist()
 
 
-def predict(df: DataFrame, prefix: PipelineModel, models: dict[str, Model]) -> DataFrame:
+def predict(df: DataFrame, index: FeatureIndex, models: dict[str, Model]) -> DataFrame:
     """Rows with one prediction column per model."""
-    out = prefix.transform(df)
+    out = index.transform(df)
     for model in models.values():
         out = model.transform(out)
     return out
@@ -191,8 +240,8 @@ def compare_models(
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
 ) -> DataFrame:
     """Fits the named models on the training rows and scores them on the test rows."""
-    prefix = fit_features(train, numeric, categorical)
-    return score_models(predict(test, prefix, fit_models(train, prefix, names, label)), names, label)
+    index = fit_features(train, numeric, categorical)
+    return score_models(predict(test, index, fit_models(train, index, names, label)), names, label)
 
 
 def linear_coefficients(model: Model, features: Sequence[str], df: DataFrame) -> DataFrame:

@@ -46,8 +46,8 @@ def _split(spark, folder):
 
 
 def _two_feature_model(train):
-    prefix = fit_features(train, TWO_FEATURES, ())
-    return prefix, fit_models(train, prefix, ["linear_regression"])
+    index = fit_features(train, TWO_FEATURES, ())
+    return index, fit_models(train, index, ["linear_regression"])
 
 
 def split_sides(spark, folder):
@@ -79,8 +79,8 @@ def lr_coefficients(spark, folder):
 
 def lr_rmse(spark, folder):
     train, test = _split(spark, folder)
-    prefix, models = _two_feature_model(train)
-    scored = predict(test, prefix, models)
+    index, models = _two_feature_model(train)
+    scored = predict(test, index, models)
     return scored.agg(F.round(rmse(LABEL, "linear_regression"), 6).alias("rmse"))
 
 
@@ -93,8 +93,8 @@ def _model_rmse(name):
 
 def prediction_examples(spark, folder):
     train, test = _split(spark, folder)
-    prefix = fit_features(train)
-    scored = predict(test, prefix, fit_models(train, prefix, ["decision_tree"]))
+    index = fit_features(train)
+    scored = predict(test, index, fit_models(train, index, ["decision_tree"]))
     examples = top_rows(scored, "datetime", [KEY], 20)
     return examples.select("datetime", "station", LABEL, F.round("decision_tree", 6).alias("prediction"))
 

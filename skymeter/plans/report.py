@@ -116,9 +116,9 @@ def _graph_tables(features: DataFrame, connections: DataFrame) -> dict[str, Data
 
 def _model_tables(features: DataFrame) -> dict[str, DataFrame]:
     train, test = train_test_split(training_rows(features))
-    prefix = fit_features(train)
+    index = fit_features(train)
     names = list(ESTIMATORS)
-    predicted = predict(test, prefix, fit_models(train, prefix, names))
+    predicted = predict(test, index, fit_models(train, index, names))
     examples = top_rows(predicted, "datetime", ["station", LABEL], 20)
     return {
         "model_comparison": score_models(predicted, names),

@@ -64,8 +64,27 @@ def test_split_is_a_partition_that_survives_repartitioning(data):
 def test_category_ties_are_indexed_by_name(spark):
     rows = [("b", "x"), ("a", "x"), ("c", "y"), ("c", "y")]
     df = spark.createDataFrame(rows, "station string, season string")
-    labels = fit_features(df, (), ("station", "season")).stages[0].labelsArray
-    assert [list(x) for x in labels] == [["c", "a", "b"], ["x", "y"]]
+    index = fit_features(df, (), ("station", "season"))
+    order = {c: [r[c] for r in t.orderBy(f"{c}_index").collect()] for c, t in index.tables.items()}
+    assert order == {"station": ["c", "a", "b"], "season": ["x", "y"]} and index.sizes == {"station": 3, "season": 2}
+
+
+def test_a_million_categories_stay_distributed(spark):
+    names = spark.range(1_000_000).select(F.format_string("s%07d", F.pmod(F.col("id") * 7, F.lit(999_983))).alias("station"))
+    index = fit_features(names, (), ("station",))
+    table, size = index.tables["station"], index.sizes["station"]
+    assert size == 999_983
+    ends = table.agg(F.min("station_index"), F.max("station_index"), F.count_distinct("station_index")).first()
+    assert tuple(ends) == (0.0, size - 1.0, size)
+    # Those that occur twice come first, each part in the order of names.
+    twice = names.groupBy("station").count().filter("count = 2").count()
+    first = table.filter(F.col("station_index") < twice).join(names, "station").count()
+    assert first == 2 * twice
+    head = [r.station for r in table.filter(F.col("station_index") >= twice).orderBy("station_index").limit(50).collect()]
+    assert head == sorted(head)
+    indexed = index.transform(names)
+    assert "BroadcastHashJoin" not in indexed._jdf.queryExecution().sparkPlan().toString()
+    assert indexed.count() == 1_000_000
 
 
 def test_unseen_category_is_skipped(spark, data):
@@ -106,6 +125,19 @@ def test_seeded_models_are_reproducible(data):
     assert compare_models(train, test, ["random_forest"]).collect() == first
 
 
+def test_models_do_not_depend_on_the_layout(spark, data, monkeypatch):
+    monkeypatch.setattr(regression, "ROWS_PER_PARTITION", 700)
+    train, test = train_test_split(data, ["id"])
+    layouts = [train, train.repartition(7), train.orderBy(F.desc("id")).coalesce(1), train.repartition(3, "station")]
+    found = []
+    for layout in layouts:
+        index = fit_features(layout)
+        models = fit_models(layout, index, ["decision_tree", "random_forest"], keys=["id"])
+        rows = predict(test, index, models).orderBy("id").select("decision_tree", "random_forest").collect()
+        found.append([tuple(r) for r in rows])
+    assert found[0] == found[1] == found[2] == found[3]
+
+
 def test_trees_refuse_more_categories_than_they_can_hold(spark, data, monkeypatch):
     monkeypatch.setattr(regression, "MOST_CATEGORIES", 5)
     train, test = train_test_split(data, ["id"])
