@@ -78,6 +78,13 @@ def clean_readings(
     return usable if dedupe_on is None else dedupe(usable, dedupe_on)
 
 
+def _with_usable(
+    typed: DataFrame, measure: str, output: str, time_parts: Sequence[str], strict: bool
+) -> DataFrame:
+    parsed = typed.withColumn(output, parse_number(F.col(measure), strict=strict))
+    return parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+
+
 def assess_readings(
     df: DataFrame,
     measure: str = "pm25_raw",
@@ -96,11 +103,9 @@ def assess_readings(
     typed = type_time_parts(df, time_parts)
     if dedupe_on is None:
         distinct = typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("copies"))
-        parsed = distinct.withColumn(output, parse_number(F.col(measure), strict=strict))
-        return parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+        return _with_usable(distinct, measure, output, time_parts, strict)
     require_columns(df, dedupe_on)
-    parsed = typed.withColumn(output, parse_number(F.col(measure), strict=strict))
-    assessed = parsed.withColumn("usable", _usable(time_parts, F.col(output)))
+    assessed = _with_usable(typed, measure, output, time_parts, strict)
     rest = [c for c in typed.columns if c not in dedupe_on]
     order = F.struct((~F.col("usable")).alias("unusable"), *rest, output, "usable")
     grouped = assessed.groupBy(*dedupe_on).agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("_row"))
@@ -108,13 +113,17 @@ def assess_readings(
     return kept.select(*typed.columns, "copies", output, "usable")
 
 
-def quality_of(assessed: DataFrame) -> DataFrame:
-    """One row: raw, distinct and clean row counts of assessed readings."""
-    return assessed.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-        F.count_if("usable").alias("clean_rows"),
-    )
+def quality_of(assessed: DataFrame, malformed: str | None = None) -> DataFrame:
+    """One row: raw, distinct and clean row counts of assessed readings, and those of malformed lines."""
+    read = F.lit(True) if malformed is None else F.col(malformed).isNull()
+    counts = [
+        F.coalesce(F.sum(F.when(read, F.col("copies"))), F.lit(0)).alias("raw_rows"),
+        F.count_if(read).alias("distinct_rows"),
+        F.count_if(F.col("usable") & read).alias("clean_rows"),
+    ]
+    if malformed is not None:
+        counts.append(F.coalesce(F.sum(F.when(~read, F.col("copies"))), F.lit(0)).alias("malformed_rows"))
+    return assessed.agg(*counts)
 
 
 def quality_report(
@@ -123,6 +132,23 @@ def quality_report(
     time_parts: Sequence[str] = TIME_PARTS,
     strict: bool = False,
     dedupe_on: Sequence[str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Row counts of raw readings, from a single pass over them."""
-    return quality_of(assess_readings(df, measure, time_parts=time_parts, strict=strict, dedupe_on=dedupe_on))
+    """Row counts of raw readings, from a single pass over them.
+
+    ``malformed`` is the column of lines that could not be read: they are counted as
+    ``malformed_rows`` and in no other count.
+
+    With ``dedupe_on`` the counts need no row of a group, only whether one is usable:
+    that is a hash aggregation of the key and a flag, without sorting the readings.
+    """
+    if malformed is not None:
+        require_columns(df, [malformed])
+    if dedupe_on is None:
+        return quality_of(assess_readings(df, measure, time_parts=time_parts, strict=strict), malformed)
+    require_columns(df, [measure, *dedupe_on])
+    # Columns the key does not need are typed for the flag alone.
+    rows = _with_usable(type_time_parts(df, time_parts), measure, "_value", time_parts, strict)
+    key = list(dedupe_on) if malformed is None else [*dedupe_on, malformed]
+    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), F.bool_or("usable").alias("usable"))
+    return quality_of(groups, malformed)

@@ -19,7 +19,7 @@ from skymeter.plans.adapters import (
 )
 from skymeter.plans.report import stored_features
 from skymeter.session import work_path
-from skymeter.sources import load_table, read_readings
+from skymeter.sources import load_table, read_readings, split_malformed
 
 CLEAN_COLUMNS = ["event_id", "station", "year", "month", "day", "hour", "pm25_raw", "pm25_clean"]
 FEATURE_COLUMNS = [
@@ -59,6 +59,41 @@ def csv_scan_schema(spark, folder):
     return read_readings(spark, _csv(spark, folder), schema=given).select(*RAW_COLUMNS)
 
 
+def _line() -> str:
+    """SQL of a CSV line of a raw event. One in a hundred has too few fields, too many, or no number."""
+    values = [f"coalesce({c}, '')" for c in RAW_COLUMNS[1:]]
+    whole = f"concat_ws(',', event_id, {', '.join(values)})"
+    return f"""CASE WHEN event_id % 300 = 7 THEN concat_ws(',', event_id, station)
+        WHEN event_id % 300 = 107 THEN concat_ws(',', {whole}, 'extra')
+        WHEN event_id % 300 = 207 THEN concat_ws('', 'No', {whole}) ELSE {whole} END"""
+
+
+def _broken_csv(spark, folder):
+    """The raw events as CSV lines, some of them broken; read again with their schema and the channel for those."""
+    path = work_path(spark, "readings-lines")
+    header = ",".join(["PM2.5" if c == "pm25_raw" else c for c in RAW_COLUMNS])
+    lines = raw_events(spark, folder).select(F.expr(_line()).alias(header))
+    # One column of whole lines: no separator occurs in it, so nothing is quoted.
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    given = spark.createDataFrame([], CSV_SCHEMA).withColumnRenamed("pm25_raw", "PM2.5").schema
+    return read_readings(spark, path, schema=given, malformed="malformed")
+
+
+def csv_malformed(spark, folder):
+    """Row counts of files with broken lines."""
+    return quality_report(_broken_csv(spark, folder), malformed="malformed")
+
+
+def csv_malformed_lines(spark, folder):
+    """The broken lines, set aside."""
+    return split_malformed(_broken_csv(spark, folder))[1].select("line")
+
+
+def csv_beside_malformed(spark, folder):
+    """The readings of files with broken lines."""
+    return split_malformed(_broken_csv(spark, folder))[0].select(*RAW_COLUMNS)
+
+
 def ingest_parts(spark, folder):
     at = F.lit(INGEST_TIME).cast("timestamp_ntz")
     stamped = ingest_time_parts(load_table(spark, folder, "events").select("event_id"), at=at)
@@ -82,6 +117,9 @@ QUERIES = {
     "csv_scan": csv_scan,
     "csv_scan_inferred": csv_scan_inferred,
     "csv_scan_schema": csv_scan_schema,
+    "csv_malformed": csv_malformed,
+    "csv_malformed_lines": csv_malformed_lines,
+    "csv_beside_malformed": csv_beside_malformed,
     "dedupe": lambda s, d: dedupe(raw_events(s, d)),
     "dedupe_subset": lambda s, d: dedupe(
         raw_events(s, d).select("station", "day", "hour", "event_id", "pm25_raw"), ["station", "day", "hour"]
@@ -111,7 +149,15 @@ _TYPED_CSV = f"""WITH {RAW_EVENTS}
                CAST(day AS INTEGER) AS day, CAST(hour AS INTEGER) AS hour,
                nullif(pm25_raw, '') AS pm25_raw, pm10_raw FROM raw"""
 
+_BROKEN = "event_id % 100 = 7"
 ORACLE = {
+    "csv_malformed": f"""WITH {CLEAN_EVENTS}
+        SELECT (SELECT count(*) FROM raw WHERE NOT {_BROKEN}) AS raw_rows,
+               (SELECT count(*) FROM typed WHERE NOT {_BROKEN}) AS distinct_rows,
+               (SELECT count(*) FROM clean WHERE NOT {_BROKEN}) AS clean_rows,
+               (SELECT count(*) FROM raw WHERE {_BROKEN}) AS malformed_rows""",
+    "csv_malformed_lines": f"WITH {RAW_EVENTS} SELECT {_line()} AS line FROM raw WHERE {_BROKEN}",
+    "csv_beside_malformed": f"{_TYPED_CSV} WHERE NOT {_BROKEN}",
     "csv_scan_inferred": _TYPED_CSV.replace("SELECT event_id,", "SELECT CAST(event_id AS INTEGER) AS event_id,"),
     "csv_scan_schema": _TYPED_CSV,
     "clean_readings_subset": f"""WITH {CLEAN_EVENTS},

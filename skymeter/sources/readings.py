@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 READING_SCHEMA = T.StructType(
@@ -42,6 +43,7 @@ def read_readings(
     paths: str | Sequence[str],
     schema: T.StructType | None = None,
     infer_schema: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Union of CSV files with a header line.
 
@@ -49,14 +51,37 @@ def read_readings(
     only the first header is read for that. ``infer_schema`` types clean columns at
     the price of one more pass over all files. Files match by position, and a file
     whose header differs is an error, not silently misread.
+
+    ``malformed`` names a further column: the whole line where it has too few or too many
+    fields, or a value that is not of its type; NULL for all others. Without it such
+    values are NULL, unnoticed. ``split_malformed`` parts the two.
     """
+    files = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", True).option("enforceSchema", False)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
+    if schema is None and (infer_schema or malformed is None):
         reader = reader.option("inferSchema", infer_schema)
-    df = reader.csv([paths] if isinstance(paths, str) else list(paths))
-    return df.toDF(*column_names(df.columns))
+    if malformed is not None:
+        # A line is held against all columns, so none may be pruned from the parser.
+        schema = reader.csv(files).schema if schema is None else schema
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
+    df = (reader if schema is None else reader.schema(schema)).csv(files)
+    own = [c for c in df.columns if c != malformed]
+    names = column_names(own)
+    if malformed in names:
+        raise ValueError(f"the files have a column {malformed!r} of their own")
+    if malformed is None:
+        return df.toDF(*names)
+    # Spark refuses to read the line alone; any other column beside it will do, and always passes.
+    read = F.length(F.coalesce(df[f"`{own[0]}`"].cast("string"), F.lit(""))) >= 0
+    return df.select(*[df[f"`{c}`"].alias(n) for c, n in zip(own, names)], F.when(read, df[malformed]).alias(malformed))
+
+
+def split_malformed(readings: DataFrame, malformed: str = "malformed") -> tuple[DataFrame, DataFrame]:
+    """Readings without their column ``malformed``, and ``file, line`` of the lines that are none."""
+    bad = readings.filter(F.col(malformed).isNotNull())
+    lines = bad.select(F.col("_metadata.file_path").alias("file"), F.col(malformed).alias("line"))
+    return readings.filter(F.col(malformed).isNull()).drop(malformed), lines
 
 
 def connections_table(spark: SparkSession, pairs: Iterable[tuple[str, str]]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skymeter.operators.cleaning import assess_readings, clean_readings, dedupe, quality_report
 from skymeter.operators.features import ingest_time_parts, preview, temporal_features, time_parts
-from skymeter.sources import connections_table, read_readings
+from skymeter.sources import connections_table, read_readings, split_malformed
 from skymeter.sources.readings import column_names
 
 SCHEMA = "year string, month string, day string, hour string, pm25_raw string, station string"
@@ -159,3 +159,43 @@ def test_header_names_ignore_case_and_must_stay_distinct():
     assert column_names(["PM2.5", "O3"]) == ["pm25_raw", "o3"]
     with pytest.raises(ValueError, match="PM10.*PM1.0"):
         column_names(["PM10", "PM1.0"])
+
+
+LINES = (
+    "1,2013,3,1,0,NA,5,Dongsi\n2,2013,3,1\n3,2013,3,1,1,7.5,6,Shunyi,more\nx,2013,3,1,2,8.5,6,Shunyi\n"
+    "4,2013,3,1,3,8.5,6,Shunyi\n4,2013,3,1,3,8.5,6,Shunyi\n"
+)
+LINES_SCHEMA = "No int, year int, month int, day int, hour int, `PM2.5` string, PM10 string, station string"
+
+
+@pytest.mark.parametrize("schema", [LINES_SCHEMA, None])
+def test_malformed_lines_have_a_channel(spark, tmp_path, collected, schema):
+    paths = [write(tmp_path, f"{n}.csv", HEADER + LINES) for n in "ab"]
+    given = None if schema is None else spark.createDataFrame([], schema).schema
+    df = read_readings(spark, paths, schema=given, malformed="malformed")
+    good, bad = split_malformed(df)
+    assert good.columns == ["no", "year", "month", "day", "hour", "pm25_raw", "pm10", "station"]
+    lines = LINES.splitlines()
+    broken = lines[1:3] + lines[3:4] * (schema is not None)  # any text is right without a schema
+    assert collected(bad, "line") == sorted((line,) for line in broken * 2)
+    assert {r.file.rsplit("/", 1)[1] for r in bad.collect()} == {"a.csv", "b.csv"}
+    assert good.count() == 2 * (6 - len(broken))
+    report = quality_report(df, malformed="malformed").first()
+    assert (report.raw_rows, report.malformed_rows) == (2 * (6 - len(broken)), 2 * len(broken))
+    key = ["station", "year", "month", "day", "hour"]
+    by_key = quality_report(df, dedupe_on=key, malformed="malformed").first()
+    assert (by_key.raw_rows, by_key.malformed_rows) == (report.raw_rows, report.malformed_rows)
+    assert by_key.clean_rows == clean_readings(good, dedupe_on=key).count()
+
+
+def test_malformed_channel_with_inferred_types_and_a_taken_name(spark, tmp_path):
+    path = write(tmp_path, "a.csv", HEADER + "1,2013,3,1,0,NA,5,Dongsi\n2,2013\n")
+    df = read_readings(spark, path, infer_schema=True, malformed="malformed")
+    assert dict(df.dtypes)["year"] == "int" and split_malformed(df)[1].first().line == "2,2013"
+    with pytest.raises(Exception, match="(?i)station"):
+        read_readings(spark, path, malformed="station").collect()
+
+
+def test_report_by_key_does_not_sort(raw):
+    plan = quality_report(raw, dedupe_on=["station", "hour"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "HashAggregate" in plan
