@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from skymeter.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def integers(vectors):
+    return np.floor(64 * np.array(vectors, float)) + 1_000_000
+
+
+def checked(df, vectors, components=32):
+    """Compares with a dense eigendecomposition; ``vectors`` by id."""
+    rows = whitening.whitened(df, components=components).collect()
+    x = integers([v for _, v in vectors])
+    n, sums = len(x), x.sum(axis=0)
+    exact = [[int(e) for e in row] for row in x]
+    total = [sum(column) for column in zip(*exact)]
+    centred = x - sums / n
+    v = centred.T @ centred / n
+    values, axes = np.linalg.eigh(v)
+    values, axes = values[::-1], axes[:, ::-1]
+    count = min(components, int((values > 1e-12 * values[0]).sum()))
+    assert len(rows) == n * count
+    expected = centred @ axes[:, :count] / np.sqrt(values[:count])
+    got = np.zeros((n, count))
+    places = {}
+    for i, (key, _) in enumerate(vectors):
+        places.setdefault(key, []).append(i)
+    for r in rows:
+        i = places[r.vec_id][0]
+        got[i, r.component - 1] = r.whitened
+        assert r.n == n and r.deviation == sum((n * e - s) ** 2 for e, s in zip(exact[i], total))
+        assert abs(r.explained / (values[r.component - 1] / np.trace(v)) - 1) < 1e-9
+        assert 0 <= r.identity_error < 1e-6
+    return got, expected, values
+
+
+def table(spark, vectors):
+    return spark.createDataFrame([(i, [float(e) for e in v], 0) for i, v in vectors], SCHEMA)
+
+
+@pytest.mark.parametrize("shape", [(50, 3), (300, 40), (10, 30), (200, 64), (5, 1), (8, 2)])
+def test_equals_a_dense_decomposition(spark, shape):
+    vectors = list(enumerate(np.random.default_rng(sum(shape)).normal(size=shape)))
+    got, expected, _ = checked(table(spark, vectors), vectors)
+    signs = np.sign((got * expected).sum(axis=0))
+    assert np.abs(got - expected * signs).max() < 1e-6
+
+
+def test_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    vectors = [(r.vec_id, r.embedding) for r in df.collect()]
+    got, expected, _ = checked(df, vectors)
+    assert np.abs(np.abs(got) - np.abs(expected)).max() < 1e-6
+    query = queries.op13_embedding_whitening(spark, "/root/testdata/sf0.001")
+    assert query.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def test_equal_eigenvalues_give_an_orthonormal_basis(spark):
+    axes = [v * s for v in np.eye(6) for s in (1.0, -1.0)]
+    vectors = list(enumerate(axes))
+    rows = whitening.whitened(table(spark, vectors)).collect()
+    assert len(rows) == 72 and all(r.identity_error < 1e-9 for r in rows)
+
+
+def test_rows_that_take_no_part(spark):
+    good = [(1, [1.0, 2.0]), (2, [0.5, -3.0]), (3, [4.0, 0.25]), (None, [1.0, 1.0]), (1, [1.0, 2.0])]
+    bad = [(5, None, 0), (6, [1.0, None], 0), (7, [float("nan"), 1.0], 0), (8, [1.0, float("-inf")], 0)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in good] + bad, SCHEMA)
+    rows = whitening.whitened(df).collect()
+    assert sorted(str(r.vec_id) for r in rows) == sorted(str(i) for i, _ in good for _ in range(2))
+    assert {r.n for r in rows} == {5}
+
+
+def test_tables_without_components(spark):
+    for rows in ([], [(1, [1.0, 2.0], 0)], [(1, [1.0], 0), (2, [1.0], 0)], [(1, [], 0)], [(1, None, 0)]):
+        found = whitening.whitened(spark.createDataFrame(rows, SCHEMA))
+        assert found.collect() == [] and found.columns[-1] == "identity_error"
+
+
+@pytest.mark.parametrize("rows", [[[1.0], [1.0, 2.0]], [[1e300], [1.0]], [[0.0] * 5000]])
+def test_vectors_that_do_not_fit_are_an_error(spark, rows):
+    with pytest.raises(Exception, match="entr|verflow|exceed"):
+        whitening.whitened(table(spark, list(enumerate(rows)))).collect()
+
+
+def test_large_differences_stay_exact():
+    x = np.array([[2**40, 5], [-(2**40), 7], [3, 2**35]], np.int64)
+    n, sums = 3, x.sum(axis=0)
+    difference = whitening.differences(x, n, sums)
+    assert difference.tolist() == [[3 * int(e) - int(s) for e, s in zip(row, sums)] for row in x]
+    with pytest.raises(OverflowError):
+        whitening.deviations(np.array([[2**40, 1]], np.int64))
+    assert whitening.deviations(np.array([[2**31, 2**31 - 1]], np.int64)).tolist() == [2**62 + (2**31 - 1) ** 2]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 60])
+def test_steps_of_the_decomposition(size):
+    rng = np.random.default_rng(size)
+    a = rng.normal(size=(size, size))
+    a = a @ a.T
+    diagonal, off, reflections = whitening.tridiagonal(a)
+    t = np.diag(diagonal) + np.diag(off, 1) + np.diag(off, -1)
+    exact = np.linalg.eigvalsh(a)
+    assert len(reflections) == max(0, size - 2) and np.allclose(np.linalg.eigvalsh(t), exact)
+    points = np.sort(np.append(exact + 1e-6, exact - 1e-6))
+    assert whitening.sturm_counts(diagonal, off, points).tolist() == [int((exact < p).sum()) for p in points]
+    values = whitening.leading_eigenvalues(diagonal, off, 5)
+    assert np.allclose(values, exact[::-1][:5], rtol=1e-12, atol=1e-12 * exact[-1])
+    vectors = whitening.eigenvectors(diagonal, off, values)
+    assert np.allclose(t @ vectors, vectors * values, atol=1e-10 * exact[-1])
+
+
+@pytest.mark.parametrize(
+    "matrix", [np.eye(40), np.diag([3.0] * 5 + [1.0] * 35), np.ones((6, 6)), np.kron(np.eye(8), np.ones((5, 5)) + np.eye(5))]
+)
+def test_clusters_of_eigenvalues(matrix):
+    values, vectors = whitening.leading_components(matrix)
+    assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-12)
+    assert np.allclose(matrix @ vectors, vectors * values, atol=1e-10)
+    assert np.allclose(values, np.linalg.eigvalsh(matrix)[::-1][: len(values)])
