@@ -1,7 +1,7 @@
 """Phrase collocations by stripes: each prefix of words keys a counter of the words that follow it.
 
-A task counts the stripes of its texts and sends each as one row of parallel arrays; rows
-of one prefix are merged word by word. The stripe of the empty prefix has the words. The
+A task counts the stripes of its texts and sends them in bundles, one for each bucket of
+prefixes; the stripes of one prefix are merged word by word. The stripe of the empty prefix has the words. The
 merged entries ``prefix, word, count`` of all lengths are the one structure behind the
 result: an entry is an extension of its prefix, the count of a phrase is its own entry in
 the stripe of its first words, and the largest entry of a stripe and the largest one that
@@ -12,9 +12,10 @@ the least count. Which did, tasks know from a bit table of fixed size; a phrase
 wrongly is counted too and dropped after the merge, so the counts are exact and the table
 does not grow with the corpus.
 
-Stripes are split by their following word into ``PARTS`` keys, tasks send them after every
-``TOKENS`` words, and the merge is a hash aggregation that spills. A word that follows or
-precedes very many others makes no large group.
+The stripes of the few prefixes that hold a thousandth of all words each, and that of the
+empty prefix, are spread over buckets by their following words; tasks send bundles after
+every ``TOKENS`` words, and the merge is a hash aggregation that spills. A word that
+follows or precedes very many others makes no large group.
 
 Defined cases: a NULL text counts as empty, a NULL language as ``und``; texts without words
 count for nothing; NULL ids and repeated rows count as texts each; a language without
@@ -24,6 +25,7 @@ candidates has no rows; an empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +49,16 @@ UNDETERMINED = "und"
 TOKENS = 4_000_000
 # Bytes of a text that are cut into words at once.
 SLICE = 1_000_000
-# Keys of a stripe.
-PARTS = 16
+# A prefix with one word in so many is hot: there are no more than that. Its stripe has this many parts.
+HOT_SHARE, PARTS = 1_000, 64
+# Buckets of prefixes, and as many for each shuffle partition at least.
+BUCKETS, BUCKETS_PER_PARTITION = 1_024, 4
 # Bits of the table of frequent phrases: 4 MB.
 TABLE_BITS = 1 << 25
-HASHED_PHRASES = 100_000
 
 SEED = 42
-STRIPES = "lang string, prefix string, part int, words array<string>, counts array<bigint>"
+# Stripes of a bundle stand in lines: prefix, words and counts, each with a character between that no word holds.
+BUNDLES = "lang string, bucket int, stripes string"
 
 # ASCII letters in lower case, ends of pieces as full stops, tabs as spaces.
 _END = b"."
@@ -144,11 +148,22 @@ def frequent_phrases(spark: SparkSession, phrases: DataFrame) -> FrequentPhrases
     return FrequentPhrases(table)
 
 
+@dataclass
+class Known:
+    """What the tasks of a length know of the shorter phrases; its size does not depend on the corpus."""
+
+    # None: of the empty phrase.
+    frequent: FrequentPhrases | None
+    # Hashes of the hot prefixes, ascending.
+    hot: np.ndarray
+    buckets: int
+
+
 class Counter:
     """Counts the stripes of one phrase length over some texts."""
 
-    def __init__(self, length: int, frequent: FrequentPhrases | None):
-        self.length, self.frequent = length, frequent
+    def __init__(self, length: int, known: Known):
+        self.length, self.known = length, known
         self.clear()
 
     def clear(self) -> None:
@@ -162,66 +177,68 @@ class Counter:
             self.held += len(words)
         parts.append(np.zeros(1, np.int32))
 
-    def _phrases(self, lang: str, ids: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    def _phrases(self, named: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
         """Word numbers of all phrases of the length, one array per place in the phrase."""
         at = np.flatnonzero(ids)
         for i in range(1, self.length):
             at = at[at + i < len(ids)]
             at = at[ids[at + i] > 0]
-        if self.frequent is not None:
-            named = np.uint64(xxhash.xxh64_intdigest(lang.encode(), SEED))
-            # The first words of each phrase, then the last; the places of one are mostly those of the other.
+        if self.known.frequent is not None:
+            # Both parts with one word less.
             for begin in (0, 1):
                 items = [hashes[ids[at + begin + i]] for i in range(self.length - 1)]
-                at = at[self.frequent.holds(_mixed([np.full(len(at), named), *items]))]
+                at = at[self.known.frequent.holds(_mixed([np.repeat(named, len(at)), *items]))]
         return [ids[at + i].astype(np.int64) for i in range(self.length)]
 
-    def stripes(self) -> Iterator[pa.RecordBatch]:
-        """Rows of the counted stripes."""
+    def bundles(self) -> Iterator[pa.RecordBatch]:
+        """The counted stripes, one row for each language and bucket."""
         vocabulary = list(self.words)
         texts = pa.array(vocabulary, pa.binary()).cast(pa.string())
         hashes = _hashes(vocabulary)
         for lang, parts in self.seen.items():
-            phrases = self._phrases(lang, np.concatenate(parts), hashes)
+            named = _hashes([lang.encode()])
+            phrases = self._phrases(named, np.concatenate(parts), hashes)
             if len(phrases[0]):
-                yield from _rows(lang, phrases, hashes, texts)
-
-
-def _rows(lang: str, phrases: list[np.ndarray], hashes: np.ndarray, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-    size = len(texts)
-    # Numbers of the prefixes: those of the words, paired and numbered anew word by word.
-    prefix, first = np.zeros(len(phrases[0]), np.int64), []
-    for place, words in enumerate(phrases[:-1]):
-        known, prefix = np.unique(prefix * size + words, return_inverse=True)
-        first = [f[known // size] for f in first] + [known % size]
-    entries, counts = np.unique(prefix * size + phrases[-1], return_counts=True)
-    prefix, word = entries // size, entries % size
-    part = (hashes[word] % np.uint64(PARTS)).astype(np.int32)
-    order = np.lexsort((word, part, prefix))
-    prefix, word, part, counts = prefix[order], word[order], part[order], counts[order]
-    starts = np.flatnonzero(np.append(True, (np.diff(prefix) != 0) | (np.diff(part) != 0)))
-    for begin in range(0, len(starts), HASHED_PHRASES):
-        rows = starts[begin : begin + HASHED_PHRASES]
-        last = starts[begin + HASHED_PHRASES] if begin + HASHED_PHRASES < len(starts) else len(word)
-        offsets = pa.array(np.append(rows, last) - rows[0], pa.int32())
-        inside = slice(rows[0], last)
+                yield self._bundled(lang, named, phrases, hashes, texts)
+
+    def _bundled(self, lang, named, phrases, hashes, texts) -> pa.RecordBatch:
+        size = len(texts)
+        # Numbers of the prefixes: those of the words, paired and numbered anew word by word.
+        prefix, first = np.zeros(len(phrases[0]), np.int64), []
+        for words in phrases[:-1]:
+            pairs, prefix = np.unique(prefix * size + words, return_inverse=True)
+            first = [f[pairs // size] for f in first] + [pairs % size]
+        entries, counts = np.unique(prefix * size + phrases[-1], return_counts=True)
+        prefix, word = entries // size, entries % size
+
         if first:
-            named = pc.binary_join_element_wise(*[texts.take(pa.array(f[prefix[rows]])) for f in first], " ")
+            hashed = _mixed([np.repeat(named, len(first[0])), *[hashes[f] for f in first]])
+            salts = np.where(np.isin(hashed, self.known.hot)[prefix], hashes[word] % np.uint64(PARTS), np.uint64(0))
+            hashed = hashed[prefix]
+            prefixes = pc.binary_join_element_wise(*[texts.take(pa.array(f)) for f in first], " ")
         else:
-            named = pa.array([""] * len(rows), pa.string())
-        columns = [
-            pa.array([lang] * len(rows), pa.string()),
-            named,
-            pa.array(part[rows]),
-            pa.ListArray.from_arrays(offsets, texts.take(pa.array(word[inside]))),
-            pa.ListArray.from_arrays(offsets, pa.array(counts[inside], pa.int64())),
+            hashed, salts, prefixes = np.repeat(named, len(word)), hashes[word], pa.array([""])
+        bucket = (_mixed([hashed, salts]) >> np.uint64(8)) % np.uint64(self.known.buckets)
+
+        order = np.lexsort((word, prefix, bucket))
+        bucket, prefix, word, counts = bucket[order], prefix[order], word[order], counts[order]
+        new_bucket = np.append(True, np.diff(bucket) != 0)
+        stripe = np.flatnonzero(new_bucket | np.append(True, np.diff(prefix) != 0))
+        offsets = pa.array(np.append(stripe, len(word)), pa.int32())
+        joined = [
+            pc.binary_join(pa.ListArray.from_arrays(offsets, column), " ")
+            for column in (texts.take(pa.array(word)), pa.array(counts).cast(pa.string()))
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "words", "counts"])
+        lines = pc.binary_join_element_wise(prefixes.take(pa.array(prefix[stripe])), *joined, "\t")
+        ends = np.append(np.flatnonzero(new_bucket[stripe]), len(stripe))
+        bundles = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lines), "\n")
+        numbers = pa.array(bucket[new_bucket].astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(bundles)), numbers, bundles], ["lang", "bucket", "stripes"])
 
 
-def stripes(texts: DataFrame, length: int, frequent: FrequentPhrases | None = None) -> DataFrame:
-    """``lang, prefix, part, words, counts``: the stripes of ``lang, text``, as tasks have counted them."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+def stripes(texts: DataFrame, length: int, known: Known) -> DataFrame:
+    """``lang, bucket, stripes``: the stripes of ``lang, text``, as tasks have counted them."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(length, shared.value)
@@ -229,20 +246,30 @@ def stripes(texts: DataFrame, length: int, frequent: FrequentPhrases | None = No
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counter.add(lang, text)
                 if counter.held >= TOKENS:
-                    yield from counter.stripes()
+                    yield from counter.bundles()
                     counter.clear()
-        yield from counter.stripes()
+        yield from counter.bundles()
+
+    return map_texts(texts.select("lang", "text"), counted, BUNDLES)
+
 
-    return map_texts(texts, counted, STRIPES)
+def merged(bundles: DataFrame) -> DataFrame:
+    """``lang, prefix, word, count``: stripes of one prefix added word by word."""
+    dealt = bundles.repartition("lang", "bucket")
+    line = F.explode(F.split("stripes", "\n")).alias("line")
+    parts = dealt.select("lang", "bucket", line).select("lang", "bucket", F.split("line", "\t").alias("parts"))
+    following = F.arrays_zip(F.split(F.get("parts", 1), " ").alias("word"), F.split(F.get("parts", 2), " ").alias("n"))
+    entries = parts.select("lang", "bucket", F.get("parts", 0).alias("prefix"), F.inline(following))
+    # All entries of a bucket are in one partition already, so they are not moved again.
+    counts = entries.toDF("lang", "bucket", "prefix", "word", "n").groupBy("lang", "bucket", "prefix", "word")
+    return counts.agg(F.sum(F.col("n").cast("long")).alias("count")).drop("bucket")
 
 
-def merged(found: DataFrame) -> DataFrame:
-    """``lang, prefix, word, count``: stripes of one key added word by word."""
-    dealt = found.repartition("lang", "prefix", "part")
-    entries = dealt.select("lang", "prefix", "part", F.inline(F.arrays_zip("words", "counts")))
-    # All entries of a key are in one partition already, so they are not moved again.
-    counts = entries.groupBy("lang", "prefix", "part", F.col("words").alias("word"))
-    return counts.agg(F.sum("counts").alias("count")).drop("part")
+def hot_prefixes(entries: DataFrame, words: int) -> np.ndarray:
+    """Hashes of the phrases with one of ``HOT_SHARE`` words each; counts of one length add up to ``words``."""
+    rows = entries.filter(F.col("count") * HOT_SHARE >= words).select("lang", "phrase").collect()
+    found = [_mixed([_hashes([r.lang.encode()]), *[_hashes([w]) for w in r.phrase.encode().split(b" ")]]) for r in rows]
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
 
 
 def _phrase(prefix: str, word: str) -> Column:
@@ -252,18 +279,20 @@ def _phrase(prefix: str, word: str) -> Column:
 def frequent_entries(texts: DataFrame, least_count: int, longest: int) -> tuple[DataFrame, DataFrame]:
     """``lang, n``, and ``lang, phrase, words, prefix, count`` of all phrases with the least count."""
     spark = texts.sparkSession
-    levels, frequent = [], None
+    buckets = max(BUCKETS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    levels, known = [], Known(None, np.zeros(0, np.uint64), buckets)
     for length in range(1, longest + 1):
-        entries = merged(stripes(texts, length, frequent))
+        entries = merged(stripes(texts, length, known))
         if length == 1:
             entries = materialize(entries, "phrase-words")
             totals = materialize(entries.groupBy("lang").agg(F.sum("count").alias("n")), "phrase-totals")
+            words = totals.agg(F.sum("n")).first()[0] or 0
         kept = entries.filter(F.col("count") >= least_count).select(
             "lang", _phrase("prefix", "word").alias("phrase"), F.lit(length).alias("words"), "prefix", "count"
         )
         levels.append(materialize(kept, "phrase-entries"))
         if length < longest:
-            frequent = frequent_phrases(spark, levels[-1])
+            known = Known(frequent_phrases(spark, levels[-1]), hot_prefixes(levels[-1], words), buckets)
     found = levels[0]
     for level in levels[1:]:
         found = found.union(level)
