@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skymeter.session import discard, load, work_path
-from skymeter.streaming import alert_readings, flag_readings, read_reading_stream, write_stream
+from skymeter.session import discard, load, own, work_path
+from skymeter.streaming import (
+    alert_readings,
+    flag_readings,
+    read_batches,
+    read_reading_stream,
+    write_batches,
+    write_stream,
+)
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -35,12 +42,21 @@ def _run(df: DataFrame, name: str) -> DataFrame:
     path, state = work_path(spark, name), work_path(spark, f"{name}-state")
     write_stream(df, path, state).awaitTermination()
     discard(spark, state)
-    return load(spark, path, df.schema)
+    return load(spark, own(spark, path), df.schema)
+
+
+def _run_batches(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path, state = work_path(spark, name), work_path(spark, f"{name}-state")
+    write_batches(df, path, state).awaitTermination()
+    discard(spark, state)
+    return read_batches(spark, own(spark, path), df.schema)
 
 
 QUERIES = {
     "stream_flag": lambda s, d: _run(_flagged_stream(s, d), "flagged"),
     "stream_alerts": lambda s, d: _run(alert_readings(_flagged_stream(s, d)), "alerts"),
+    "stream_alert_batches": lambda s, d: _run_batches(alert_readings(_flagged_stream(s, d)), "alert-batches"),
 }
 
 _FLAGGED = """SELECT event_id, ts AS timestamp, event_type AS station, value AS pm25,
@@ -49,4 +65,5 @@ _FLAGGED = """SELECT event_id, ts AS timestamp, event_type AS station, value AS
 ORACLE = {
     "stream_flag": _FLAGGED,
     "stream_alerts": f"SELECT * FROM ({_FLAGGED}) WHERE is_anomaly",
+    "stream_alert_batches": f"SELECT * FROM ({_FLAGGED}) WHERE is_anomaly",
 }

@@ -13,6 +13,14 @@ from skymeter.operators.composite import (
     min_max_normalize,
     top_rows,
 )
+from skymeter.operators.incremental import (
+    append_state,
+    index_state,
+    merged_state,
+    ranges_of,
+    read_states,
+    threshold_of,
+)
 from skymeter.plans.adapters import (
     EVENT_FEATURES,
     LINE_MEASURES,
@@ -21,6 +29,7 @@ from skymeter.plans.adapters import (
     line_readings,
     stored_event_features,
 )
+from skymeter.session import own, work_path
 
 EVENT_MEASURES = ("pm25", "pm10")
 EVENT_COLUMNS = ["event_id", "datetime", "station", "pm25", "pm10", "pollution_index"]
@@ -44,7 +53,38 @@ def _index_only(df, columns):
     return _rounded(df.select(*columns), ["pollution_index"])
 
 
+def _grown_state(spark, folder):
+    """State of the events after their days have come in one week after the other."""
+    features, path = stored_event_features(spark, folder), work_path(spark, "index-states")
+    weeks = [r.week for r in features.select(F.ceil(F.col("day") / 7).alias("week")).distinct().collect()]
+    for week in weeks:
+        batch = features.filter(F.ceil(F.col("day") / 7) == week)
+        append_state(index_state(batch, EVENT_MEASURES), path, f"week{week}")
+    own(spark, path)
+    return features, merged_state(read_states(spark, path, EVENT_MEASURES), EVENT_MEASURES)
+
+
+def grown_ranges(spark, folder):
+    return ranges_of(_grown_state(spark, folder)[1], EVENT_MEASURES)
+
+
+def grown_threshold(spark, folder):
+    found = threshold_of(_grown_state(spark, folder)[1], EVENT_MEASURES)
+    return _rounded(found, ["mean_idx", "std_idx", "threshold"], 8)
+
+
+def grown_anomalies(spark, folder):
+    """Anomalies by the merged state: one scan, of the rows themselves."""
+    features, state = _grown_state(spark, folder)
+    scored = composite_index(features, EVENT_MEASURES, ranges=ranges_of(state, EVENT_MEASURES))
+    found = anomalies(scored, threshold=threshold_of(state, EVENT_MEASURES))
+    return _index_only(found, EVENT_COLUMNS)
+
+
 QUERIES = {
+    "grown_ranges": grown_ranges,
+    "grown_threshold": grown_threshold,
+    "grown_anomalies": grown_anomalies,
     "column_ranges": lambda s, d: column_ranges(event_features(s, d), EVENT_MEASURES),
     "min_max_normalize": lambda s, d: _rounded(
         min_max_normalize(stored_event_features(s, d), EVENT_MEASURES).select(
@@ -121,3 +161,8 @@ ORACLE = {
     "top_anomalies": f"""WITH {_EVENTS} {_EVENT_SELECT} {_ANOMALOUS}
         ORDER BY idx DESC NULLS LAST, event_id LIMIT 50""",
 }
+ORACLE |= {
+    "grown_ranges": ORACLE["column_ranges"],
+    "grown_threshold": ORACLE["anomaly_threshold"],
+    "grown_anomalies": ORACLE["anomalies"],
+}

@@ -18,7 +18,7 @@ from skymeter.plans.adapters import (
     raw_events,
 )
 from skymeter.plans.report import stored_features
-from skymeter.session import work_path
+from skymeter.session import own, work_path
 from skymeter.sources import load_table, read_readings, split_malformed
 
 CLEAN_COLUMNS = ["event_id", "station", "year", "month", "day", "hour", "pm25_raw", "pm25_clean"]
@@ -41,7 +41,7 @@ def _csv(spark, folder):
     """The raw events as CSV files with the header of the raw files."""
     path = work_path(spark, "readings-csv")
     raw_events(spark, folder).withColumnRenamed("pm25_raw", "PM2.5").write.option("header", True).csv(path)
-    return path
+    return own(spark, path)
 
 
 def csv_scan(spark, folder):
@@ -75,6 +75,7 @@ def _broken_csv(spark, folder):
     lines = raw_events(spark, folder).select(F.expr(_line()).alias(header))
     # One column of whole lines: no separator occurs in it, so nothing is quoted.
     lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    own(spark, path)
     given = spark.createDataFrame([], CSV_SCHEMA).withColumnRenamed("pm25_raw", "PM2.5").schema
     return read_readings(spark, path, schema=given, malformed="malformed")
 

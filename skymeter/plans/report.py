@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skymeter.operators.cleaning import assess_readings, quality_of
@@ -30,12 +30,25 @@ from skymeter.operators.regression import (
     training_rows,
 )
 from skymeter.operators.stats import by_key, highest_first, in_key_order, stats_by_each
-from skymeter.session import materialize
+from skymeter.session import discard, materialize, scratch
 
 ORDER = ["station", "datetime"]
 ROW_COLUMNS = ["datetime", "station", "pm25", "pm10", "no2", "o3", "pollution_index"]
 
 
+class Report(dict[str, DataFrame]):
+    """Results by name, and the stored tables they read."""
+
+    def __init__(self, tables: dict[str, DataFrame], spark: SparkSession, paths: Sequence[str]):
+        super().__init__(tables)
+        self.spark, self.paths = spark, list(paths)
+
+    def close(self) -> None:
+        """Deletes the stored tables; the results cannot be read any more."""
+        while self.paths:
+            discard(self.spark, self.paths.pop())
+
+
 def stored_features(raw: DataFrame, dedupe_on: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Features of the clean readings, and the quality report of the raw ones.
 
@@ -52,14 +65,25 @@ def readings_report(
     connections: DataFrame,
     measures: Sequence[str] = INDEX_MEASURES,
     dedupe_on: Sequence[str] | None = None,
-) -> dict[str, DataFrame]:
+) -> Report:
     """All results for raw readings and station connections, by name.
 
     The features are cleaned and stored once, as a columnar table from which each
     result reads only its columns. Ranges, threshold, grouped statistics and graph are
     small and stored as well, so no result computes them again. ``dedupe_on`` names the
     columns that identify a reading, for files whose rows carry a number.
+
+    The stored tables belong to the report: ``close`` deletes them, the end of the session
+    at the latest.
     """
+    with scratch(raw.sparkSession) as area:
+        tables = _tables(raw, connections, measures, dedupe_on)
+        return Report(tables, raw.sparkSession, area.keep_all())
+
+
+def _tables(
+    raw: DataFrame, connections: DataFrame, measures: Sequence[str], dedupe_on: Sequence[str] | None
+) -> dict[str, DataFrame]:
     features, quality = stored_features(raw, dedupe_on)
     ranges = materialize(column_ranges(features, measures), "ranges")
     scored = composite_index(features, measures, ranges=ranges)
@@ -128,7 +152,10 @@ def _model_tables(features: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_report(tables: dict[str, DataFrame], folder: str) -> None:
-    """Writes every result as a parquet table ``folder/<name>``."""
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+def write_report(report: Report, folder: str) -> None:
+    """Writes every result as a parquet table ``folder/<name>`` and closes the report, however it ends."""
+    try:
+        for name, table in report.items():
+            table.write.mode("overwrite").parquet(f"{folder}/{name}")
+    finally:
+        report.close()

@@ -81,6 +81,12 @@ class Scratch:
         self.paths.remove(path)
         self.results.append(path)
 
+    def keep_all(self) -> list[str]:
+        """Leave all tables when the scope ends; returns their paths."""
+        self.results += self.paths
+        self.paths = []
+        return list(self.results)
+
     def result(self, df: DataFrame, name: str) -> DataFrame:
         """A stored table that outlives the scope."""
         path = store(df, name)
@@ -115,6 +121,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/skymeter/{name}-{uuid.uuid4().hex}"
 
 
+def own(spark: SparkSession, path: str) -> str:
+    """Makes a written folder below :func:`work_root` the property of the scope and the session.
+
+    It is deleted when the scope around ends, and otherwise when the driver's JVM does: a
+    result that reads it lives as long as its session, and nothing is left afterwards.
+    Only a driver that is killed leaves folders behind.
+    """
+    area = _scratch.get()
+    if area is not None:
+        area.paths.append(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def store(
     df: DataFrame,
     name: str,
@@ -127,11 +148,11 @@ def store(
     ``metrics`` are collected into ``observation`` by the same job.
     """
     path = work_path(df.sparkSession, name)
-    area = _scratch.get()
-    if area is not None:
-        area.paths.append(path)
     out = df if observation is None else df.observe(observation, *metrics)
-    out.write.partitionBy(*partition_by).parquet(path)
+    try:
+        out.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        own(df.sparkSession, path)
     return path
 
 

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import math
 import statistics
+from pathlib import Path
 
 import pytest
 
 from fixtures import CHAIN_RANKS, CONNECTIONS, STATIONS
 from skymeter.plans.report import readings_report, write_report
+from skymeter.session import work_root
 from skymeter.sources import connections_table, read_readings
 
 MEASURES = ["PM2.5", "PM10", "SO2", "NO2", "CO", "O3"]
@@ -36,10 +38,28 @@ def folder(tmp_path_factory):
     return folder
 
 
+def stored_tables(spark):
+    folder = Path(work_root(spark).removeprefix("file://")) / "skymeter"
+    return {p.name for p in folder.iterdir()} if folder.is_dir() else set()
+
+
+def test_a_report_that_cannot_be_written_leaves_no_tables(spark, folder, tmp_path):
+    raw = read_readings(spark, [str(folder / f"{s}.csv") for s in STATIONS[:2]])
+    before = stored_tables(spark)
+    report = readings_report(raw, connections_table(spark, CONNECTIONS[:1]))
+    (tmp_path / "file").write_text("")
+    with pytest.raises(Exception):
+        write_report(report, str(tmp_path / "file"))
+    assert stored_tables(spark) <= before
+
+
 def test_report_from_csv_files(spark, folder, tmp_path):
     raw = read_readings(spark, [str(folder / f"{s}.csv") for s in STATIONS])
+    before = stored_tables(spark)
     tables = readings_report(raw, connections_table(spark, CONNECTIONS))
+    assert stored_tables(spark) - before
     write_report(tables, str(tmp_path))
+    assert stored_tables(spark) <= before
     got = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
 
     kept = [h for h in range(96) if h % 11 != 5]

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Observation
@@ -102,3 +106,40 @@ def test_few_rows_with_long_keys_are_not_broadcast(spark):
     assert "broadcast" in stored_for_join(rows, "short", 20_000)._jdf.queryExecution().logical().toString()
     long = stored_for_join(rows, "long", 9_000)._jdf.queryExecution().logical().toString()
     assert "merge" in long and "broadcast" not in long
+
+
+SESSION_WITH_TABLES = """
+import sys
+from skymeter.session import build_session, materialize, scratch
+spark = build_session("tables", "local[1]", **{"spark.ui.enabled": "false", "spark.checkpoint.dir": sys.argv[1]})
+left = materialize(spark.range(5), "left")
+with scratch(spark):
+    gone = materialize(spark.range(5), "gone")
+import os
+print("during", sorted(n.split("-")[0] for n in os.listdir(sys.argv[1] + "/skymeter")), left.count())
+spark.stop()
+"""
+
+
+def test_stored_tables_go_with_the_session(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    done = subprocess.run(
+        [sys.executable, "-c", SESSION_WITH_TABLES, str(tmp_path)],
+        env=os.environ | {"PYTHONPATH": str(root)}, capture_output=True, text=True, timeout=300,
+    )
+    assert "during ['left'] 5" in done.stdout, done.stderr[-2000:]
+    deadline = time.monotonic() + 30  # the JVM ends a little later
+    while os.listdir(tmp_path / "skymeter") and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert os.listdir(tmp_path / "skymeter") == []
+
+
+def test_the_bench_leaves_no_tables(spark):
+    import __spark_entry__ as contract
+    import bench
+
+    folder = work_root(spark).removeprefix("file://") + "/skymeter"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for name in ("dedupe", "csv_malformed", "string_index", "pagerank_chain", "stream_alert_batches", "grown_threshold"):
+        assert bench.run(contract.queries()[name], spark, "/root/testdata/sf0.001") > 0
+    assert set(os.listdir(folder)) <= before

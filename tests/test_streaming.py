@@ -1,13 +1,23 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from fixtures import STREAM_ALERTS, STREAM_READINGS
 from skymeter.sources import readings_table
 from skymeter.sources.readings import READING_SCHEMA
-from skymeter.streaming import alert_readings, flag_readings, read_reading_stream, write_stream
+from skymeter.streaming import (
+    alert_readings,
+    batches,
+    flag_readings,
+    read_batches,
+    read_manifests,
+    read_reading_stream,
+    write_batches,
+    write_stream,
+)
 
 NOON = dt.datetime(2025, 1, 1, 12)
 
@@ -59,3 +69,65 @@ def test_csv_stream(spark, readings, tmp_path):
     run(spark, source, out, state, source_format="csv", header="true")
     alerts = alert_readings(spark.read.parquet(out))
     assert [r.station for r in alerts.orderBy("station").collect()] == STREAM_ALERTS
+
+
+def run_batches(spark, source, out, state, **options):
+    stream = alert_readings(flag_readings(read_reading_stream(spark, source, READING_SCHEMA, **options)))
+    write_batches(stream, out, state).awaitTermination()
+    return read_batches(spark, out, stream.schema)
+
+
+def folders(out):
+    return sorted(str(p.relative_to(out)) for p in Path(out).glob("data/*/batch=*"))
+
+
+def test_batches_equal_the_batch_result_in_few_files(spark, readings, tmp_path, collected):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    readings.repartition(4).write.parquet(source)
+    got = run_batches(spark, source, out, state, max_files_per_trigger=2)
+    assert collected(got, "station") == [(s,) for s in STREAM_ALERTS]
+    manifests = read_manifests(spark, out)
+    assert {r.batch for r in manifests.collect()} == {0, 1}
+    assert manifests.agg({"rows": "sum"}).first()[0] == 4
+    assert all(len(list(Path(out, f).glob("*.parquet"))) <= 1 for f in folders(out))
+    assert collected(run_batches(spark, source, out, state), "station") == [(s,) for s in STREAM_ALERTS]
+
+
+@pytest.mark.parametrize("point", ["before", "between", "after"])
+def test_a_stopped_stream_gives_each_alert_once_when_it_starts_again(
+    spark, readings, tmp_path, collected, monkeypatch, point
+):
+    """It stops before a batch is written, before its manifest, or before the stream knows of it."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    readings.repartition(3).write.parquet(source)
+    write = batches.write_batch
+
+    def stopped(rows, batch, path, stream):
+        if point == "after":
+            write(rows, batch, path, stream)
+        if point == "between":
+            rows.write.parquet(f"{path}/data/stream={stream}/batch={batch}")
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(batches, "write_batch", stopped)
+    with pytest.raises(Exception, match="stopped"):
+        run_batches(spark, source, out, state)
+    monkeypatch.setattr(batches, "write_batch", write)
+    seen = read_batches(spark, out, flag_readings(readings).schema)
+    assert seen.count() == (4 if point == "after" else 0)
+    got = run_batches(spark, source, out, state)
+    assert collected(got, "station") == [(s,) for s in STREAM_ALERTS]
+    assert len(folders(out)) == 1 and read_manifests(spark, out).count() == 1
+
+
+def test_a_new_checkpoint_does_not_meet_old_batches(spark, readings, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    readings.write.parquet(source)
+    assert run_batches(spark, source, out, str(tmp_path / "a")).count() == 4
+    assert run_batches(spark, source, out, str(tmp_path / "b")).count() == 8
+    assert len(folders(out)) == 2
+
+
+def test_nothing_written_yet(spark, tmp_path):
+    assert read_batches(spark, str(tmp_path), READING_SCHEMA).collect() == []
+    assert read_manifests(spark, str(tmp_path)).collect() == []
