@@ -14,7 +14,7 @@ does not grow with the corpus.
 
 The stripes of the few prefixes that hold a thousandth of all words each, and that of the
 empty prefix, are spread over buckets by their following words; tasks send bundles after
-every ``TOKENS`` words, and the merge is a hash aggregation that spills. A word that
+every ``HELD`` bytes, and the merge is a hash aggregation that spills. A word that
 follows or precedes very many others makes no large group.
 
 Defined cases: a NULL text counts as empty, a NULL language as ``und``; texts without words
@@ -45,9 +45,9 @@ SUBSUMED_PER_CENT = 80
 PHRASES_PER_LANGUAGE = 2_000
 UNDETERMINED = "und"
 
-# Words a task counts before it sends its stripes: about 200 MB with the arrays to count them.
-TOKENS = 4_000_000
-# Bytes of a text that are cut into words at once.
+# Bytes of text a task counts before it sends its stripes: about 200 MB with the arrays to count them.
+HELD = 16_000_000
+# Bytes from which on a text is cut at the next end of a piece.
 SLICE = 1_000_000
 # A prefix with one word in so many is hot: there are no more than that. Its stripe has this many parts.
 HOT_SHARE, PARTS = 1_000, 64
@@ -67,29 +67,21 @@ _TRANSLATED = bytes.maketrans(
 )
 
 
-def tokens(text: str) -> Iterator[list[bytes]]:
-    """Words of a text in order, slice by slice, with a full stop for the end of a piece."""
+def pieces(text: str) -> Iterator[bytes]:
+    """A text in lower case, in parts of whole pieces, with a full stop of its own at the end of each piece."""
     data = text.encode().translate(_TRANSLATED)
     begin = 0
     while begin < len(data):
-        end = begin + SLICE
-        if end < len(data):
-            # Words are not cut.
-            ends = [at for at in (data.find(b" ", end), data.find(_END, end)) if at >= 0]
-            end = min(ends, default=len(data))
-        yield data[begin:end].replace(_END, b" . ").split()
-        begin = end
+        end = data.find(_END, begin + SLICE)
+        end = len(data) if end < 0 else end
+        yield data[begin:end].replace(_END, b" . ") + b" . "
+        begin = end + 1
 
 
-class Words(dict):
-    """Numbers of the words seen: the end of a piece is 0."""
-
-    def __init__(self) -> None:
-        super().__init__({_END: 0})
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+def words_of(parts: list[bytes]) -> pa.DictionaryArray:
+    """The words of parts one after another, with the ends of pieces."""
+    whole = pa.array([p.strip() for p in parts], pa.binary()).cast(pa.large_string())
+    return pc.ascii_split_whitespace(whole).flatten().dictionary_encode()
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -167,22 +159,22 @@ class Counter:
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.seen, self.held = Words(), {}, 0
+        self.held, self.bytes = {}, 0
 
-    def add(self, lang: str, text: str) -> None:
-        number = self.words.__getitem__
-        parts = self.seen.setdefault(lang, [])
-        for words in tokens(text):
-            parts.append(np.fromiter(map(number, words), np.int32, len(words)))
-            self.held += len(words)
-        parts.append(np.zeros(1, np.int32))
+    def add(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
+        """Counts a text; gives the stripes so far where they are enough."""
+        for part in pieces(text):
+            self.held.setdefault(lang, []).append(part)
+            self.bytes += len(part)
+            if self.bytes >= HELD:
+                yield from self.bundles()
 
-    def _phrases(self, named: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    def _phrases(self, named: np.ndarray, ids: np.ndarray, is_word: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
         """Word numbers of all phrases of the length, one array per place in the phrase."""
-        at = np.flatnonzero(ids)
+        at = np.flatnonzero(is_word[ids])
         for i in range(1, self.length):
             at = at[at + i < len(ids)]
-            at = at[ids[at + i] > 0]
+            at = at[is_word[ids[at + i]]]
         if self.known.frequent is not None:
             # Both parts with one word less.
             for begin in (0, 1):
@@ -191,15 +183,17 @@ class Counter:
         return [ids[at + i].astype(np.int64) for i in range(self.length)]
 
     def bundles(self) -> Iterator[pa.RecordBatch]:
-        """The counted stripes, one row for each language and bucket."""
-        vocabulary = list(self.words)
-        texts = pa.array(vocabulary, pa.binary()).cast(pa.string())
-        hashes = _hashes(vocabulary)
-        for lang, parts in self.seen.items():
-            named = _hashes([lang.encode()])
-            phrases = self._phrases(named, np.concatenate(parts), hashes)
+        """The stripes counted so far, one row for each language and bucket; starts anew."""
+        held = self.held
+        self.clear()
+        for lang, parts in held.items():
+            words = words_of(parts)
+            named, vocabulary = _hashes([lang.encode()]), words.dictionary.cast(pa.large_binary()).to_pylist()
+            is_word = np.array([w != _END for w in vocabulary], bool)
+            hashes = _hashes(vocabulary)
+            phrases = self._phrases(named, words.indices.to_numpy(), is_word, hashes)
             if len(phrases[0]):
-                yield self._bundled(lang, named, phrases, hashes, texts)
+                yield self._bundled(lang, named, phrases, hashes, words.dictionary.cast(pa.string()))
 
     def _bundled(self, lang, named, phrases, hashes, texts) -> pa.RecordBatch:
         size = len(texts)
@@ -244,10 +238,7 @@ def stripes(texts: DataFrame, length: int, known: Known) -> DataFrame:
         counter = Counter(length, shared.value)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counter.add(lang, text)
-                if counter.held >= TOKENS:
-                    yield from counter.bundles()
-                    counter.clear()
+                yield from counter.add(lang, text)
         yield from counter.bundles()
 
     return map_texts(texts.select("lang", "text"), counted, BUNDLES)

@@ -70,7 +70,7 @@ def test_equals_a_plain_version(texts, options):
 
 def test_small_buffers_slices_and_tables_change_nothing(texts, monkeypatch):
     expected = checked(texts, least=3)
-    monkeypatch.setattr(phrases, "TOKENS", 500)
+    monkeypatch.setattr(phrases, "HELD", 500)
     monkeypatch.setattr(phrases, "SLICE", 7)
     monkeypatch.setattr(phrases, "HOT_SHARE", 10)
     assert checked(texts, least=3) == expected
@@ -78,8 +78,9 @@ def test_small_buffers_slices_and_tables_change_nothing(texts, monkeypatch):
 
 def test_bundles_of_a_task():
     counter = phrases.Counter(2, phrases.Known(None, np.zeros(0, np.uint64), 2))
-    counter.add("en", "one two three, one two. " * 3)
+    assert list(counter.add("en", "One two three, one two. " * 3)) == []
     rows = [r for batch in counter.bundles() for r in batch.to_pylist()]
+    assert list(counter.bundles()) == []
     assert len(rows) == len({r["bucket"] for r in rows}) <= 2
     counted = {}
     for line in (line for row in rows for line in row["stripes"].split("\n")):
@@ -88,11 +89,15 @@ def test_bundles_of_a_task():
     assert counted == {("one", "two"): 6, ("two", "three"): 3}
 
 
-def test_slices_keep_words_whole(monkeypatch):
-    text = "one twenty, three.four  five\nsix" * 20
-    whole = [w for part in phrases.tokens(text) for w in part]
-    monkeypatch.setattr(phrases, "SLICE", 3)
-    assert [w for part in phrases.tokens(text) for w in part] == whole
+@pytest.mark.parametrize("text", ["one twenty, three.four  five\nsix" * 20, "no end " * 20, "...", "", " ", "\t. x\x1cy\x85z \u00a0"])
+def test_parts_keep_pieces_whole(monkeypatch, text):
+    expected = [w for piece in re.split("[.,;:!?\x0a-\x0d]", text) for w in [*re.findall("[^ \t]+", piece), "."]]
+    for size in (10**6, 3):
+        monkeypatch.setattr(phrases, "SLICE", size)
+        got = phrases.words_of(list(phrases.pieces(text))).to_pylist()
+        # Ends of pieces without words between them are one end.
+        joined = [w for i, w in enumerate(got) if w != "." or (i and got[i - 1] != ".")]
+        assert joined == [w for i, w in enumerate(expected) if w != "." or (i and expected[i - 1] != ".")]
 
 
 def test_a_full_bit_table_only_costs_more(texts, monkeypatch):
