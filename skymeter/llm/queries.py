@@ -154,8 +154,8 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes,
        list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + ((('0x' || substr(h, CAST((i // 4) * 5 + 1 AS INT), 5))::BIGINT >> CAST(15 - (i % 4) * 5 AS INT)) & 31), 1)),
          'string_agg', '') AS payload_digest,
-       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> largest THEN largest END AS refers_to, url AS target_uri
+       CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to, url AS target_uri
 FROM k
 """
 

@@ -4,7 +4,15 @@
 the record type and other header columns, reads a record's headers first, and passes over
 the block of a record that is not wanted without decoding it. ``df.write.format("warc")``
 writes gzip members per record into files of bounded size; a manifest written on commit
-names the files that count, so those of failed or repeated tasks are never read.
+names the files that count, so those of failed or repeated tasks are never read. Each
+member names its own compressed length in its header, so that of an unwanted record only
+the headers are inflated and the next member is found in the file. Archives of other
+writers, without such lengths, are inflated as a whole.
+
+Defined cases: a NULL html is an empty payload; pages with NULL ids are never the largest
+of equal ones, and revisit one with an id if there is one; repeated rows are records each;
+payloads of any length are written whole and read one at a time; an empty table gives an
+archive without records; other columns are ignored.
 
 Paths are those of the shared store, given as URIs that ``pyarrow.fs`` can open (local,
 HDFS, S3, GCS).
@@ -21,7 +29,9 @@ import gzip
 import hashlib
 import io
 import json
+import struct
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -47,7 +57,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from skymeter.session import materialize, work_path
+from skymeter.session import materialize, own, work_path
 
 SCHEMA = (
     "record_id string, record_type string, record_date string, target_uri string, payload_digest string, "
@@ -70,6 +80,13 @@ BATCH_BYTES = 16 * 1024**2
 BATCH_RECORDS = 2_000
 MANIFEST = "_manifest.json"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+# Fixed values of gzip: the start of a member with an extra field, and there a subfield with
+# the lengths of the member and of its content.
+MEMBER = struct.Struct("<4sIBBH2sHII")
+MEMBER_START, SUBFIELD = b"\x1f\x8b\x08\x04", b"SL"
+GZIP_WINDOW, RAW_WINDOW = 31, -15
+# Compressed bytes that are inflated at a time: headers fit in few of them.
+CHUNK = 4_096
 # Fixed times keep an archive the same however often a task runs.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -122,6 +139,56 @@ def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     return block
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member that names its length; any gzip reader can read it."""
+    deflate = zlib.compressobj(1, zlib.DEFLATED, RAW_WINDOW)
+    packed = deflate.compress(data) + deflate.flush()
+    length = MEMBER.size + len(packed) + 8
+    known = (length, len(data)) if max(length, len(data)) < 1 << 32 else (0, 0)
+    head = MEMBER.pack(MEMBER_START, 0, 4, 255, 12, SUBFIELD, 8, *known)
+    return head + packed + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+def member_length(head: bytes) -> int | None:
+    """The length that a member names, if it does."""
+    if len(head) < MEMBER.size:
+        return None
+    start, _, _, _, _, subfield, _, length, _ = MEMBER.unpack(head)
+    return length if start == MEMBER_START and subfield == SUBFIELD and length else None
+
+
+class Member(io.RawIOBase):
+    """The content of one gzip member, inflated no further than it is read."""
+
+    def __init__(self, file: io.BufferedIOBase):
+        self.file, self.inflater, self.inflated = file, zlib.decompressobj(GZIP_WINDOW), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.inflater.eof:
+            data = self.inflater.unconsumed_tail or self.file.read(CHUNK)
+            if not data:
+                raise ValueError("truncated record")
+            out = self.inflater.decompress(data, len(buffer))
+            if out:
+                buffer[: len(out)] = out
+                self.inflated += len(out)
+                return len(out)
+        return 0
+
+
+def skip(stream: io.BufferedIOBase, length: int) -> bool:
+    """Passes over a block; whether more may follow."""
+    if isinstance(getattr(stream, "raw", None), Member):
+        return False  # one record each
+    end = stream.tell() + length
+    if stream.seek(length, io.SEEK_CUR) != end:
+        raise ValueError("truncated record")
+    return True
+
+
 @dataclass
 class FilePartition(InputPartition):
     paths: tuple[str, ...]
@@ -209,9 +276,7 @@ class WarcReader(DataSourceReader):
         size = 0
         for path in partition.paths:
             with system.open_input_file(path) as file:
-                plain = io.BufferedReader(file, 1 << 20)
-                stream = gzip.open(plain) if path.endswith(".gz") else plain
-                for row in self._records(stream, tests):
+                for row in self._file_records(file, file.size(), path.endswith(".gz"), tests):
                     rows.append(row)
                     size += len(row[-1] or b"")
                     if size >= BATCH_BYTES or len(rows) >= BATCH_RECORDS:
@@ -220,16 +285,37 @@ class WarcReader(DataSourceReader):
         if rows:
             yield _batch(rows, schema)
 
+    def _file_records(self, file, size: int, compressed: bool, tests: list) -> Iterator[tuple]:
+        plain = io.BufferedReader(file, 1 << 20)
+        if not compressed:
+            yield from self._records(plain, tests)
+            if plain.tell() > size:  # the last block was passed over, and ends behind the file
+                raise ValueError("truncated record")
+            return
+        at = 0
+        while at < size:
+            length = member_length(plain.read(MEMBER.size))
+            plain.seek(at)
+            if length is None:
+                yield from self._records(gzip.open(plain), tests)
+                return
+            if at + length > size:
+                raise ValueError("truncated record")
+            yield from self._records(io.BufferedReader(Member(plain), CHUNK), tests)
+            at += length
+            plain.seek(at)
+
     def _records(self, stream: io.BufferedIOBase, tests: list) -> Iterator[tuple]:
         while (headers := read_headers(stream)) is not None:
             length = int(headers["content-length"])
             if not all(test(headers) for test in tests):
-                stream.seek(length, io.SEEK_CUR)
+                if not skip(stream, length):
+                    return
                 continue
             known = headers.get(LENGTH_HEADER)
-            payload, payload_length = None, int(known) if known is not None else None
+            payload, payload_length, more = None, int(known) if known is not None else None, True
             if self.payload == "skip":
-                stream.seek(length, io.SEEK_CUR)
+                more = skip(stream, length)
             else:
                 block = stream.read(length)
                 if len(block) != length:
@@ -240,6 +326,8 @@ class WarcReader(DataSourceReader):
                         _verify(headers, payload)
                         payload_length, payload = len(payload), None
             yield (*(_header_value(c, headers) for c in HEADERS), payload_length, headers, payload)
+            if not more:
+                return
 
 
 def _verify(headers: dict[str, str], payload: bytes) -> None:
@@ -295,9 +383,9 @@ class WarcWriter(DataSourceArrowWriter):
                             out.close()
                         files.append(f"part-{uuid.uuid4().hex}.warc.gz")
                         out = system.open_output_stream(f"{folder}/{files[-1]}", compression=None)
-                        size = out.write(gzip.compress(_info(files[-1]), 1, mtime=0))
+                        size = out.write(member(_info(files[-1])))
                     written = _record_of({c: v[i].as_py() for c, v in columns.items()})
-                    out.write(gzip.compress(written, 1, mtime=0))
+                    out.write(member(written))
                     size += len(written)
         finally:
             if out is not None:
@@ -414,10 +502,10 @@ def page_of(urn: str):
 def archive_pages(pages: DataFrame, path: str | None = None, **names: str | int) -> str:
     """Writes a record per page and returns the path of the archives."""
     spark = pages.sparkSession
-    path = path or work_path(spark, "warc")
+    given, path = path, path or work_path(spark, "warc")
     spark.dataSource.register(WarcDataSource)
     page_records(pages, **names).write.format("warc").mode("append").option("path", path).save()
-    return path
+    return path if given else own(spark, path)
 
 
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:

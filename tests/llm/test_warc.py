@@ -117,6 +117,60 @@ def test_unwanted_blocks_are_not_read():
     assert len(list(WarcReader({"path": "", "payload": "skip"})._records(stream, []))) == 10 and stream.taken == 0
 
 
+def test_of_unwanted_compressed_records_only_the_headers_are_inflated(spark, tmp_path, monkeypatch):
+    inflated = []
+
+    class Counted(warc.Member):
+        def __init__(self, file):
+            super().__init__(file)
+            inflated.append(self)
+
+    rng = random.Random(3)
+    pages = [(i, "u", f"{rng.random()}" * 250_000) for i in range(3)]
+    path = archive_pages(table(spark, pages).coalesce(1), str(tmp_path / "w"))
+    assert sum(len(p[2]) for p in pages) > 10_000_000
+    monkeypatch.setattr(warc, "Member", Counted)
+
+    def records(payload, kind):
+        inflated.clear()
+        reader = WarcReader({"path": path, "payload": payload})
+        assert list(reader.pushFilters([EqualTo(("record_type",), kind)])) == []
+        rows = [r for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist()]
+        return len(rows), sum(m.inflated for m in inflated)
+
+    assert records("bytes", "revisit") == (0, records("skip", "warcinfo")[1])
+    assert records("bytes", "revisit")[1] <= 5 * warc.CHUNK
+    count, taken = records("skip", "response")
+    assert count == 3 and taken <= 5 * warc.CHUNK
+    count, taken = records("verify", "response")
+    assert count == 3 and taken > sum(len(p[2]) for p in pages)
+
+
+def test_members_are_gzip_and_name_their_length(tmp_path):
+    data = [b"", b"x" * 100_000, bytes(range(256)) * 300]
+    written = [warc.member(d) for d in data]
+    assert gzip.decompress(b"".join(written)) == b"".join(data)
+    assert [warc.member_length(w[: warc.MEMBER.size]) for w in written] == [len(w) for w in written]
+    assert warc.member_length(gzip.compress(b"x" * 100)[: warc.MEMBER.size]) is None and warc.member_length(b"") is None
+    for w, d in zip(written, data):
+        assert io.BufferedReader(warc.Member(io.BytesIO(w + b"rest"))).read() == d
+    with pytest.raises(ValueError, match="truncated"):
+        io.BufferedReader(warc.Member(io.BytesIO(written[1][:-9]))).read()
+
+
+@pytest.mark.parametrize("kind", ["plain", "foreign", "own"])
+def test_a_truncated_record_is_noticed_when_it_is_passed_over(spark, tmp_path, kind):
+    data = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x:1>")], b"x" * 50_000)
+    cut = {
+        "plain": data[:-20_000],
+        "foreign": gzip.compress(data[:-20_000]),
+        "own": warc.member(data)[:-20],
+    }[kind]
+    (tmp_path / ("a.warc" if kind == "plain" else "a.warc.gz")).write_bytes(cut)
+    with pytest.raises(Exception, match="truncated"):
+        read_records(spark, str(tmp_path), payload="skip").collect()
+
+
 def test_foreign_archives_plain_and_compressed(spark, tmp_path):
     """Records of other writers: folded headers, other kinds, no digest, bare line ends in the block."""
     block = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n<html>\n\n</html>"
