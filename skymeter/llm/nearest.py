@@ -5,18 +5,20 @@ more coordinate that makes all of them equally long (``sqrt(M - |x|^2)``, with t
 largest squared length ``M``); the distance from a query then falls as the inner product
 grows, and the triangle inequality bounds it: ``|d(q, p) - d(x, p)|`` for any pivot ``p``.
 
-The index keys every vector by its nearest pivot and the distance to it. The vectors of a
-pivot are dealt over slices of bounded size, each sorted by distance. A block of queries
-first searches one slice of its own pivot, which gives every query a score to beat; then
-it visits the slices of all pivots that may hold better ones. Within a slice a query
-expands from its own distance outwards, annulus by annulus, and stops when the bound of
-the next annulus cannot beat its tenth score. Pivots are fitted on a bounded sample,
-which only affects speed.
+The index keys every vector by its nearest pivot and the distance to it. Ranges of these
+keys are cut into slices of bounded size, so a slice is a few annuli around one pivot; a
+salt parts rows with equal keys. A block of queries first searches the innermost slice of
+its own pivot, which gives every query a score to beat; then it goes to the pivots, and
+of each to the slices, that may hold better ones. Within a slice a query expands from its
+own distance outwards, annulus by annulus, and stops when the bound of the next annulus
+cannot beat its tenth score. Pivots grow with the square root of the rows and are fitted
+on a bounded sample of rows, which only affects speed.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components take no part,
 nor do rows without an id; components missing in shorter vectors count as 0; ties go to
 the smaller id; rows with one id are candidates each, and never of a query with that id;
-an empty table gives no rows. Components below 2^20 in size give exact scores.
+an empty table gives no rows. Scores are exact integers; vectors so long that they might
+not fit in 64 bits are an error.
 """
 
 from __future__ import annotations
@@ -25,19 +27,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skymeter.session import materialize
+from skymeter.session import materialize, scratch
 
 SCALE = 1024
 TOP = 10
-PIVOTS = 32
+# Pivots: at least, for each square root of the rows, and at most.
+LEAST_PIVOTS, PIVOTS_PER_ROOT, MOST_PIVOTS = 32, 1 / 8, 1_024
+# Rows that pivots are fitted on, at most.
 SAMPLE = 4_000
 SLICE_ROWS = 4_096
+# A slice's number is that of its partition above its own there.
+SLICE_BITS = 24
+# Slices of a partition, and partitions whose slices are listed together.
+PARTITION_SLICES, LISTED_PARTITIONS = 16, 64
 BLOCK_QUERIES = 256
 ANNULUS_ROWS = 256
 SEED = 11
+# A score that any other reaches.
+NO_SCORE = -(1 << 63)
+# Squared lengths from which on products are added as integers, and those too large for that.
+EXACT_IN_DOUBLE, MOST_SQUARED = 1 << 52, 1 << 62
 # Distances are rounded; bounds give way by this much, relative to the longest vector.
 SLACK = 1e-6
 
@@ -66,7 +79,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 class Pivots:
     """Pivots in the lengthened space, and how far vectors are from them."""
 
-    def __init__(self, sample: np.ndarray, longest: int, count: int = PIVOTS, seed: int = SEED):
+    def __init__(self, sample: np.ndarray, longest: int, count: int = LEAST_PIVOTS, seed: int = SEED):
         self.longest = float(longest)
         rng = np.random.default_rng(seed)
         points = self.lengthened(sample)
@@ -92,6 +105,12 @@ class Pivots:
         values = queries.astype(np.float64)
         return self.distances(np.concatenate([values, np.zeros((len(values), 1))], axis=1))
 
+    def scores(self, queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Exact inner products."""
+        if self.longest < EXACT_IN_DOUBLE:
+            return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
+        return queries @ vectors.T
+
 
 def upper_bounds(
     queries: np.ndarray, to_pivot: np.ndarray, inner: np.ndarray, outer: np.ndarray, longest: float
@@ -113,7 +132,7 @@ def search_slice(
     vectors: np.ndarray,
     ids: np.ndarray,
     distances: np.ndarray,
-    longest: float,
+    pivots: Pivots,
     top: int,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Each query's best candidates of a slice sorted by distance: its number, ids and scores.
@@ -122,10 +141,10 @@ def search_slice(
     """
     starts = np.arange(0, len(ids), ANNULUS_ROWS)
     stops = np.minimum(starts + ANNULUS_ROWS, len(ids))
-    bound = upper_bounds(queries, to_pivot, distances[starts], distances[stops - 1], longest)
+    bound = upper_bounds(queries, to_pivot, distances[starts], distances[stops - 1], pivots.longest)
     order = np.argsort(-bound, axis=1, kind="stable")
     best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
-    least = least.astype(np.float64).copy()
+    least = least.copy()
     # All queries take their next annulus; those that go to the same one go together.
     active = np.arange(len(queries))
     for step in range(len(starts)):
@@ -137,7 +156,7 @@ def search_slice(
         for number in np.unique(annulus):
             rows = active[annulus == number]
             part = slice(starts[number], stops[number])
-            scores = (queries[rows].astype(np.float64) @ vectors[part].T.astype(np.float64)).astype(np.int64)
+            scores = pivots.scores(queries[rows], vectors[part])
             for row, found in zip(rows, scores, strict=True):
                 fit = (found >= least[row]) & (ids[part] != query_ids[row])
                 if fit.any():
@@ -153,9 +172,11 @@ def search_slice(
             yield row, found[0][1], found[0][0]
 
 
-SLICES = "pivot int, slice int, ids binary, distances binary, vectors binary"
-BLOCKS = "pivot int, slice int, query_ids binary, query_distances binary, queries binary"
-VISITS = f"{BLOCKS}, least binary"
+KEYED = "vec_id long, vector array<long>, pivot int, distance double"
+SLICES = "slice long, pivot int, inner double, outer double, ids binary, distances binary, vectors binary"
+BLOCKS = "pivot int, slice long, query_ids binary, queries binary"
+CONCERNED = "pivot int, query_ids binary, queries binary, to_pivot binary, least binary"
+VISITS = "slice long, query_ids binary, queries binary, to_pivot binary, least binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -163,36 +184,52 @@ def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each ``pivot, slice`` together, from batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    at = None
+def _row(schema: str, *values: int | float | np.ndarray) -> pa.RecordBatch:
+    """One row of numbers and arrays, these as bytes."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    columns = []
+    for field, value in zip(schema.split(", "), values, strict=True):
+        plain = value.tobytes() if isinstance(value, np.ndarray) else value
+        columns.append(pa.array([plain], kinds[field.split()[1]]))
+    return pa.RecordBatch.from_arrays(columns, _names(schema))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict]:
+    """Rows with their bytes as arrays again."""
     for batch in batches:
-        keys = batch.column("pivot").to_numpy().astype(np.int64) << 32 | batch.column("slice").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), batch.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            if end > begin:
-                if held and keys[begin] != at:
-                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    held = []
-                at = keys[begin]
-                held.append(batch.slice(begin, end - begin))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        for row in batch.to_pylist():
+            for name, kind in (("ids", np.int64), ("query_ids", np.int64), ("distances", float), ("to_pivot", float), ("least", np.int64)):
+                if row.get(name) is not None:
+                    row[name] = np.frombuffer(row[name], kind)
+            for name in ("vectors", "queries"):
+                if row.get(name) is not None:
+                    row[name] = np.frombuffer(row[name], np.int64).reshape(-1, width)
+            yield row
+
+
+def _search(row: dict, least: np.ndarray, to_pivot: np.ndarray, pivots: Pivots, top: int):
+    known = row["vectors"], row["ids"], row["distances"]
+    return search_slice(row["queries"], row["query_ids"], to_pivot, least, *known, pivots, top)
 
 
 class Index:
-    """Slices of the vectors by pivot, stored in the shared folder."""
+    """Slices of the vectors by pivot and distance, stored in the shared folder."""
 
     def __init__(self, vectors: DataFrame, pivots: Pivots, width: int):
         self.width = width
         self.shared = vectors.sparkSession.sparkContext.broadcast(pivots)
         # Stored with the salt, so that every later reading has the same.
-        keyed = materialize(self._keyed(vectors).withColumn("salt", F.monotonically_increasing_id()), "pivot-keys")
+        salted = self._keyed(vectors).withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+        keyed = materialize(salted, "pivot-keys")
+        self.slices = materialize(self._sliced(keyed, keyed.count()), "pivot-slices")
         # One row per pivot.
-        rows = keyed.groupBy("pivot").agg(F.count(F.lit(1)), F.min("distance"), F.max("distance")).collect()
-        self.rings = {r[0]: (-(-r[1] // SLICE_ROWS), r[2], r[3]) for r in rows}
-        self.slices = materialize(self._sliced(keyed), "pivot-slices")
+        ends = self.slices.groupBy("pivot").agg(F.min("inner"), F.max("outer"), F.min("slice")).collect()
+        self.rings = {r[0]: (r[1], r[2], r[3]) for r in ends}
+        listed = F.shiftright("slice", SLICE_BITS) / LISTED_PARTITIONS
+        directory = self.slices.groupBy("pivot", F.floor(listed).alias("list")).agg(
+            F.collect_list(F.struct("slice", "inner", "outer")).alias("slices")
+        )
+        self.directory = materialize(directory.select("pivot", "slices"), "pivot-directory")
 
     def _keyed(self, vectors: DataFrame) -> DataFrame:
         shared, width = self.shared, self.width
@@ -203,43 +240,54 @@ class Index:
                 far = pivots.distances(pivots.lengthened(_matrix(batch.column(1), width)))
                 nearest = far.argmin(axis=1)
                 columns = [*batch.columns, pa.array(nearest.astype(np.int32)), pa.array(far.min(axis=1))]
-                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "pivot", "distance"])
+                yield pa.RecordBatch.from_arrays(columns, _names(KEYED))
 
-        return vectors.mapInArrow(key, "vec_id long, vector array<long>, pivot int, distance double")
+        return vectors.mapInArrow(key, KEYED)
 
-    def _sliced(self, keyed: DataFrame) -> DataFrame:
+    def _sliced(self, keyed: DataFrame, rows: int) -> DataFrame:
         width = self.width
 
-        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in _groups(batches):
-                values = [
-                    rows.column("vec_id").to_numpy(),
-                    rows.column("distance").to_numpy(),
-                    _matrix(rows.column("vector"), width).astype(np.int64),
-                ]
-                keys = [rows.column(c).slice(0, 1) for c in ("pivot", "slice")]
-                yield pa.RecordBatch.from_arrays(
-                    [*keys, *(pa.array([v.tobytes()], pa.binary()) for v in values)], _names(SLICES)
-                )
-
-        # The hash deals a pivot's vectors over its slices, however many there are; the salt also rows of one id.
-        slices_of = F.create_map(*[F.lit(x) for p, (n, _, _) in self.rings.items() for x in (p, n)])
-        dealt = keyed.withColumn("slice", F.pmod(F.xxhash64("vec_id", "salt"), slices_of[F.col("pivot")]).cast("int"))
-        slices = sum(n for n, _, _ in self.rings.values())
-        placed = dealt.repartition(slices, "pivot", "slice")
-        return placed.sortWithinPartitions("pivot", "slice", "distance", "vec_id").mapInArrow(gather, SLICES)
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            number = TaskContext.get().partitionId() << SLICE_BITS
+            held: list[pa.RecordBatch] = []
+
+            def slice_of() -> pa.RecordBatch:
+                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held.clear()
+                far = rows.column("distance").to_numpy()
+                vectors = _matrix(rows.column("vector"), width).astype(np.int64)
+                pivot = rows.column("pivot")[0].as_py()
+                return _row(SLICES, number, pivot, far[0], far[-1], rows.column("vec_id").to_numpy(), far, vectors)
+
+            for batch in batches:
+                begin = 0
+                pivots = batch.column("pivot").to_numpy()
+                while begin < batch.num_rows:
+                    if held and (held[0].column("pivot")[0].as_py() != pivots[begin] or sum(map(len, held)) >= SLICE_ROWS):
+                        yield slice_of()
+                        number += 1
+                    room = SLICE_ROWS - sum(map(len, held))
+                    end = begin + int(np.argmin(np.append(pivots[begin : begin + room] == pivots[begin], False)))
+                    held.append(batch.slice(begin, end - begin))
+                    begin = end
+            if held:
+                yield slice_of()
+
+        parts = max(1, -(-rows // (SLICE_ROWS * PARTITION_SLICES)))
+        placed = keyed.repartitionByRange(parts, "pivot", "distance", "salt")
+        return placed.sortWithinPartitions("pivot", "distance", "salt").drop("salt").mapInArrow(cut, SLICES)
 
     def _blocks(self, queries: DataFrame) -> DataFrame:
-        """Queries in blocks of one nearest pivot, due at its first slice."""
-        shared, width, used = self.shared, self.width, np.array(sorted(self.rings))
+        """Queries in blocks of one nearest pivot, due at its innermost slice."""
+        shared, width, rings = self.shared, self.width, self.rings
+        used = np.array(sorted(rings))
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+            held: dict[int, list[tuple[int, np.ndarray]]] = {}
             for batch in batches:
                 vectors = _matrix(batch.column(1), width)
-                distances = shared.value.query_distances(vectors)
-                homes = used[distances[:, used].argmin(axis=1)].tolist()
-                for home, *row in zip(homes, batch.column(0).to_pylist(), distances, vectors, strict=True):
+                homes = used[shared.value.query_distances(vectors)[:, used].argmin(axis=1)].tolist()
+                for home, *row in zip(homes, batch.column(0).to_pylist(), vectors, strict=True):
                     rows = held.setdefault(home, [])
                     rows.append(tuple(row))
                     if len(rows) == BLOCK_QUERIES:
@@ -247,74 +295,65 @@ class Index:
             for home, rows in held.items():
                 yield pack(home, rows)
 
-        def pack(home: int, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            values = [np.array(v).tobytes() for v in zip(*rows, strict=True)]
-            keys = [pa.array([home], pa.int32()), pa.array([0], pa.int32())]
-            return pa.RecordBatch.from_arrays([*keys, *(pa.array([v], pa.binary()) for v in values)], _names(BLOCKS))
+        def pack(home: int, rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            ids, vectors = (np.array(v, np.int64) for v in zip(*rows, strict=True))
+            return _row(BLOCKS, home, rings[home][2], ids, vectors)
 
         return queries.mapInArrow(gather, BLOCKS)
 
-    def _visits(self, blocks: DataFrame, top: int) -> DataFrame:
-        """The slices that may hold better scores than a block's first slice, with the queries concerned."""
+    def _concerned(self, blocks: DataFrame, top: int) -> DataFrame:
+        """The pivots that may hold better scores than a block's first slice, with the queries concerned."""
         shared, width, rings = self.shared, self.width, self.rings
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    yield from visits(row)
-
-        def visits(row: dict) -> Iterator[pa.RecordBatch]:
-            ids, distances, queries = _block(row, width)
-            least = np.full(len(ids), -np.inf)
-            # Without that slice, no score is known to beat.
-            if row["vectors"] is not None:
-                for number, found, scores in _search(
-                    row, ids, distances[:, row["pivot"]], queries, least, shared.value, width, top
-                ):
-                    if len(found) == top:
-                        least[number] = scores[-1]
-            for pivot, (slices, inner, outer) in rings.items():
-                to_pivot = distances[:, pivot]
-                bound = upper_bounds(queries, to_pivot, np.array([inner]), np.array([outer]), shared.value.longest)
-                concerned = np.flatnonzero(bound[:, 0] >= least)
-                if len(concerned):
-                    values = [v[concerned].tobytes() for v in (ids, to_pivot, queries, least)]
-                    for number in range(slices):
-                        keys = [pa.array([pivot], pa.int32()), pa.array([number], pa.int32())]
-                        columns = [*keys, *(pa.array([v], pa.binary()) for v in values)]
-                        yield pa.RecordBatch.from_arrays(columns, _names(VISITS))
-
-        return blocks.join(self.slices, ["pivot", "slice"], "left").mapInArrow(search, VISITS)
+            for row in _rows(batches, width):
+                ids, queries, pivots = row["query_ids"], row["queries"], shared.value
+                far = pivots.query_distances(queries)
+                least = np.full(len(ids), NO_SCORE)
+                # Without that slice, no score is known to beat.
+                if row["vectors"] is not None:
+                    for number, found, scores in _search(row, least, far[:, row["pivot"]], pivots, top):
+                        if len(found) == top:
+                            least[number] = scores[-1]
+                for pivot, (inner, outer, _) in rings.items():
+                    ends = np.array([inner]), np.array([outer])
+                    bound = upper_bounds(queries, far[:, pivot], *ends, pivots.longest)
+                    some = np.flatnonzero(bound[:, 0] >= least)
+                    if len(some):
+                        yield _row(CONCERNED, pivot, ids[some], queries[some], far[some, pivot], least[some])
+
+        first = self.slices.select("slice", "ids", "distances", "vectors")
+        return blocks.join(first, "slice", "left").mapInArrow(search, CONCERNED)
+
+    def visits(self, queries: DataFrame, top: int = TOP) -> DataFrame:
+        """The slices that may hold better scores than a block's first slice, with the queries concerned."""
+        shared, width = self.shared, self.width
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches, width):
+                ends = (np.array([s[end] for s in row["slices"]]) for end in ("inner", "outer"))
+                bounds = upper_bounds(row["queries"], row["to_pivot"], *ends, shared.value.longest)
+                for at, found in enumerate(row["slices"]):
+                    some = np.flatnonzero(bounds[:, at] >= row["least"])
+                    if len(some):
+                        parts = (row[c][some] for c in ("query_ids", "queries", "to_pivot", "least"))
+                        yield _row(VISITS, found["slice"], *parts)
+
+        concerned = self._concerned(self._blocks(queries), top)
+        return concerned.join(self.directory, "pivot").mapInArrow(chosen, VISITS)
 
     def top(self, queries: DataFrame, top: int = TOP) -> DataFrame:
         """``query_id, rank, vec_id, score`` of every query ``vec_id, vector``."""
         shared, width = self.shared, self.width
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    ids, to_pivot, queries = _block(row, width)
-                    least = np.frombuffer(row["least"], np.float64)
-                    for number, found, scores in _search(
-                        row, ids, to_pivot[:, 0], queries, least, shared.value, width, top
-                    ):
-                        columns = [pa.array(np.full(len(found), ids[number])), pa.array(found), pa.array(scores)]
-                        yield pa.RecordBatch.from_arrays(columns, _names(FOUND))
-
-        visits = self._visits(self._blocks(queries), top)
-        return ranked(visits.join(self.slices, ["pivot", "slice"]).mapInArrow(search, FOUND), top)
-
-
-def _block(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row["query_ids"], np.int64)
-    distances = np.frombuffer(row["query_distances"], np.float64).reshape(len(ids), -1)
-    return ids, distances, np.frombuffer(row["queries"], np.int64).reshape(len(ids), width)
-
+            for row in _rows(batches, width):
+                for number, found, scores in _search(row, row["least"], row["to_pivot"], shared.value, top):
+                    ids = np.full(len(found), row["query_ids"][number])
+                    columns = [pa.array(ids), pa.array(found), pa.array(scores)]
+                    yield pa.RecordBatch.from_arrays(columns, _names(FOUND))
 
-def _search(row: dict, ids, to_pivot, queries, least, pivots: Pivots, width: int, top: int):
-    vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, width)
-    known = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["distances"], np.float64)
-    return search_slice(queries, ids, to_pivot, least, vectors, *known, pivots.longest, top)
+        return ranked(self.visits(queries, top).join(self.slices, "slice").mapInArrow(search, FOUND), top)
 
 
 def ranked(found: DataFrame, top: int) -> DataFrame:
@@ -336,10 +375,15 @@ def top_k(vectors: DataFrame, queries: Column, top: int = TOP, vec_id: str = "ve
     if not seen[0]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rows, width, longest = seen[0], max(1, seen[1]), seen[2]
-    part = min(1 << 30, SAMPLE * (1 << 30) // rows)
-    sampled = valid.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < part)
+    if longest >= MOST_SQUARED:
+        raise ValueError(f"a vector has the squared length {longest:.3g}: scores might not fit in 64 bits")
+    # Rows, not ids: an id may hold any number of them.
+    sampled = valid.sample(min(1.0, 2 * SAMPLE / rows), SEED).limit(SAMPLE)
     held = [r[0] for r in sampled.select("vector").collect()]
     sample = np.zeros((max(1, len(held)), width), np.int64)
     for at, vector in enumerate(held):
         sample[at, : len(vector)] = vector
-    return Index(valid, Pivots(sample, longest), width).top(valid.filter(queries), top)
+    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, round(PIVOTS_PER_ROOT * rows**0.5)))
+    with scratch(spark) as area:
+        index = Index(valid, Pivots(sample, longest, count), width)
+        return area.result(index.top(valid.filter(queries), top), "nearest")

@@ -44,7 +44,8 @@ def check(spark, rows, top=10):
 def test_random_vectors_equal_comparing_all(spark, monkeypatch, small):
     """Also with slices, blocks and annuli so small that there are many."""
     if small:
-        for name, value in (("SLICE_ROWS", 20), ("BLOCK_QUERIES", 2), ("ANNULUS_ROWS", 4), ("PIVOTS", 5), ("SAMPLE", 50)):
+        for name, value in (("SLICE_ROWS", 20), ("BLOCK_QUERIES", 2), ("ANNULUS_ROWS", 4), ("LEAST_PIVOTS", 5), ("SAMPLE", 50),
+                            ("PARTITION_SLICES", 3), ("LISTED_PARTITIONS", 2)):
             monkeypatch.setattr(nearest, name, value)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 12))
@@ -91,7 +92,7 @@ def test_repeated_rows_are_candidates_each(spark):
 
 def repeated_id_table(spark, monkeypatch):
     """Most rows have one id, and one pivot has several slices."""
-    for name, value in (("SLICE_ROWS", 20), ("PIVOTS", 1), ("ANNULUS_ROWS", 4)):
+    for name, value in (("SLICE_ROWS", 20), ("LEAST_PIVOTS", 1), ("PARTITION_SLICES", 2), ("ANNULUS_ROWS", 4)):
         monkeypatch.setattr(nearest, name, value)
     rng = np.random.default_rng(4)
     rows = [(7, v.tolist()) for v in rng.normal(size=(400, 6))]
@@ -113,10 +114,79 @@ def test_rows_of_a_very_common_id_are_dealt_evenly(spark, monkeypatch):
     longest = max((np.array(r.vector) ** 2).sum() for r in vectors.collect())
     index = nearest.Index(vectors, nearest.Pivots(sample, int(longest), 1), 6)
     sizes = [r[0] // 8 for r in index.slices.select(F.length("ids")).collect()]
-    assert sum(sizes) == len(rows) and max(sizes) <= 3 * nearest.SLICE_ROWS
+    assert sum(sizes) == len(rows) and max(sizes) <= nearest.SLICE_ROWS
     got = top_k(df, F.col("vec_id") % 100 == 0).collect()
     for query in (0, 100, 200):
         assert sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == query) == plain_top(rows, query)
     # A block whose first slice has no rows visits the others.
-    index.slices = index.slices.filter("slice <> 0")
+    first = index.rings[0][2]
+    index.slices = index.slices.filter(f"slice <> {first}")
     assert {r.query_id for r in index.top(vectors.filter("vec_id % 100 = 0")).collect()} == {0, 100, 200}
+
+
+def test_slices_are_ranges_of_distance(spark, monkeypatch):
+    rows, df = repeated_id_table(spark, monkeypatch)
+    vectors = nearest.integer_vectors(df)
+    longest = max((np.array(r.vector) ** 2).sum() for r in vectors.collect())
+    index = nearest.Index(vectors, nearest.Pivots(np.array([rows_of(vectors)[0]]), int(longest), 1), 6)
+    slices = index.slices.orderBy("pivot", "inner").collect()
+    assert len(slices) >= len(rows) // nearest.SLICE_ROWS
+    assert all(a.outer <= b.inner for a, b in zip(slices, slices[1:]) if a.pivot == b.pivot)
+    listed = [s for r in index.directory.collect() for s in r.slices]
+    assert sorted((s.slice, s.inner, s.outer) for s in listed) == sorted((s.slice, s.inner, s.outer) for s in slices)
+
+
+def rows_of(vectors):
+    return [r.vector for r in vectors.limit(5).collect()]
+
+
+def test_clustered_vectors_need_few_slices(spark, monkeypatch):
+    for name, value in (("SLICE_ROWS", 50), ("LEAST_PIVOTS", 40), ("ANNULUS_ROWS", 10), ("PARTITION_SLICES", 8)):
+        monkeypatch.setattr(nearest, name, value)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    values = centres[rng.integers(40, size=4000)] + 0.01 * rng.normal(size=(4000, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(i, v, "", "", "") for i, v in rows], SCHEMA)
+    visited = []
+    visits = nearest.Index.visits
+
+    def counted(self, queries, top=10):
+        found = visits(self, queries, top)
+        pairs = sum(len(r.query_ids) // 8 for r in found.collect())
+        visited.append(pairs / (queries.count() * self.slices.count()))
+        return found
+
+    monkeypatch.setattr(nearest.Index, "visits", counted)
+    check(spark, rows)
+    assert len(visited) == 1 and visited[0] < 0.2
+    assert top_k(df, F.col("vec_id") == 0).count() == 10
+
+
+def test_the_sample_is_bounded_though_one_id_has_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SAMPLE", 100)
+    sizes = []
+    start = nearest.Pivots.__init__
+
+    def seen(self, sample, *rest):
+        sizes.append(len(sample))
+        start(self, sample, *rest)
+
+    monkeypatch.setattr(nearest.Pivots, "__init__", seen)
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) AS vec_id", "array(sin(id), cos(id)) AS embedding")
+    assert top_k(rows, F.col("vec_id") == 100).count() == 10
+    assert 50 <= sizes[0] <= 100
+
+
+@pytest.mark.parametrize("size", [2.0**14, 2.0**19])
+def test_large_components_stay_exact(spark, size):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(x)) for x in size * rng.uniform(0.9, 1, 4)]) for i in range(150)]
+    check(spark, rows)
+
+
+def test_too_large_components_are_an_error(spark):
+    df = spark.createDataFrame([(i, [2.0**21 + i, 1.0], "", "", "") for i in range(3)], SCHEMA)
+    with pytest.raises(ValueError, match="64 bits"):
+        top_k(df, F.col("vec_id") == 0)
