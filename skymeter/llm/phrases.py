@@ -46,7 +46,7 @@ PHRASES_PER_LANGUAGE = 2_000
 UNDETERMINED = "und"
 
 # Bytes of text a task counts before it sends its stripes: about 200 MB with the arrays to count them.
-HELD = 16_000_000
+HELD = 10_000_000
 # Bytes from which on a text is cut at the next end of a piece.
 SLICE = 1_000_000
 # A prefix with one word in so many is hot: there are no more than that. Its stripe has this many parts.
