@@ -17,10 +17,11 @@ such shortest runs, and the array has to be refined only up to their length: at
 ``least_words`` lines, whatever the length of copies.
 
 Defined cases: a NULL text stays NULL; blank lines never count, and go if they lie inside
-a deleted run; NULL ids come last in the order of documents; rows with equal id and text
+a deleted shortest run (between two of them they stay); NULL ids come last in the order of documents; rows with equal id and text
 are one document and treated alike; a document all of whose lines are deleted keeps an
 empty text; overlapping repeats within a document count as later copies. Lines are equal
-if their 128-bit hashes are.
+if their 128-bit hashes are. Words are what stands between ASCII white space, so a line of
+no-break spaces has one. Very long documents are looked at in ranges of lines.
 """
 
 from __future__ import annotations
@@ -37,10 +38,12 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
 from skymeter.operators.graph import dense_ids
-from skymeter.session import load, materialize, store, stored_for_join
+from skymeter.session import load, materialize, scratch, store, stored_for_join
 
 LEAST_WORDS = 50
 NO_ID = (1 << 63) - 1
+# Lines of a document whose runs are looked for at once.
+RANGE_LINES = 4_096
 
 LINES = "doc long, body long, seq int, line int, words long, before long, high long, low long"
 
@@ -63,7 +66,8 @@ def document_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
             seqs, numbers, counts, befores, digests = [], [], [], [], []
             for row, value in enumerate(batch.column(2)):
                 before, seq = 0, 0
-                for number, line in enumerate(value.as_py().split("\n")):
+                # Bytes have only ASCII white space.
+                for number, line in enumerate(value.as_py().encode().split(b"\n")):
                     words = len(line.split())
                     if words:
                         rows.append(row)
@@ -71,7 +75,7 @@ def document_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
                         numbers.append(number)
                         counts.append(words)
                         befores.append(before)
-                        digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "replace")))
+                        digests.append(xxhash.xxh3_128_digest(line))
                         seq, before = seq + 1, before + words
             halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
             at = pa.array(rows, pa.int64())
@@ -182,15 +186,19 @@ WINDOWS = "doc long, body long, seq int, from_line int, to_line int, lines int,
 
 
 def shortest_runs(ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """The shortest runs with enough words that may occur again, named by two ranks."""
+    """The shortest runs with enough words that may occur again, named by two ranks.
+
+    A run has at most ``least_words`` lines, so those that begin in one range of lines
+    need only that many lines beyond it.
+    """
     fields = ["level", "seq", "line", "before", "after", "rank"]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in WINDOWS.split(", ")]
         for batch in batches:
             found = []
-            for doc, body, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                found += [(doc, body, *w) for w in windows(places)]
+            for doc, body, number, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                found += [(doc, body, *w) for w in windows(places) if w[0] // RANGE_LINES == number]
             columns = list(zip(*found, strict=True)) if found else [()] * len(names)
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
@@ -220,18 +228,24 @@ def shortest_runs(ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
             if first is not None and second is not None:
                 yield lines[begin]["seq"], lines[begin]["line"], lines[end - 1]["line"], end - begin, first, second
 
-    places = ranks.groupBy("doc", "body").agg(F.collect_list(F.struct(*fields)).alias("places"))
+    furthest = F.greatest(F.col("seq") - least_words + 1, F.lit(0))
+    numbers = F.sequence(*[F.floor(seq / RANGE_LINES).cast("int") for seq in (furthest, F.col("seq"))])
+    ranged = ranks.withColumn("range", F.explode(numbers))
+    places = ranged.groupBy("doc", "body", "range").agg(F.collect_list(F.struct(*fields)).alias("places"))
     return map_texts(places, runs, WINDOWS)
 
 
 def later_copies(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
     """``doc, body, runs``: the ranges of lines to delete, one row per document that has any."""
-    lines = materialize(document_lines(documents, doc_id, text), "lines")
-    runs = materialize(shortest_runs(suffix_ranks(lines, least_words), least_words), "runs")
+    with scratch(documents.sparkSession) as area:
+        lines = materialize(document_lines(documents, doc_id, text), "lines")
+        runs = area.result(shortest_runs(suffix_ranks(lines, least_words), least_words), "runs")
     names = ["lines", "first", "second"]
     place = F.struct("doc", "body", "seq")
     kept = runs.groupBy(*names).agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("copies"))
-    copies = runs.join(kept.filter("copies > 1").drop("copies"), names).filter(place != F.col("kept"))
+    # Stored, so that the places of a run with very many are split in the join.
+    kept = materialize(kept.filter("copies > 1").drop("copies"), "kept-runs")
+    copies = runs.join(kept, names).filter(place != F.col("kept"))
     span = F.struct(F.col("from_line").alias("from"), F.col("to_line").alias("to"))
     return copies.groupBy("doc", "body").agg(F.collect_list(span).alias("runs"))
 

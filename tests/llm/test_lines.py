@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from corpus import SCHEMA, edge_documents, edge_table, empty_table, prose
 
+from skymeter.llm import lines
 from skymeter.llm.lines import remove_repeated_lines
+from skymeter.session import work_root
 
 FAR_AWAY = (1 << 63) - 1
 
@@ -13,22 +16,22 @@ FAR_AWAY = (1 << 63) - 1
 def plain_removed(documents, least_words):
     """Lines of later copies, from the longest earlier match at every line."""
     distinct = sorted({(FAR_AWAY if i is None else i, i is None, t) for i, t in documents if t is not None})
-    lines = [(d, n, line) for d, (_, _, t) in enumerate(distinct) for n, line in enumerate(t.split("\n")) if line.split()]
+    places = [(d, n, line) for d, (_, _, t) in enumerate(distinct) for n, line in enumerate(t.split("\n")) if line.encode().split()]
     removed = [set() for _ in distinct]
-    for p in range(len(lines)):
+    for p in range(len(places)):
         longest = 0
         for q in range(p):
             k = 0
             while (
-                p + k < len(lines)
-                and lines[p + k][2] == lines[q + k][2]
-                and lines[p + k][0] == lines[p][0]
-                and lines[q + k][0] == lines[q][0]
+                p + k < len(places)
+                and places[p + k][2] == places[q + k][2]
+                and places[p + k][0] == places[p][0]
+                and places[q + k][0] == places[q][0]
             ):
                 k += 1
             longest = max(longest, k)
-        if longest and sum(len(lines[p + i][2].split()) for i in range(longest)) >= least_words:
-            removed[lines[p][0]] |= set(range(lines[p][1], lines[p + longest - 1][1] + 1))
+        if longest and sum(len(places[p + i][2].encode().split()) for i in range(longest)) >= least_words:
+            removed[places[p][0]] |= set(range(places[p][1], places[p + longest - 1][1] + 1))
     return {(None if null else i, t): sorted(r) for (i, null, t), r in zip(distinct, removed, strict=True)}
 
 
@@ -45,9 +48,10 @@ def check(df, documents, least_words):
         assert r.text == "\n".join(x for n, x in enumerate(r.before.split("\n")) if n not in gone)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_random_documents_equal_the_longest_earlier_matches(spark, seed):
+@pytest.mark.parametrize(("seed", "range_lines"), [(0, 4096), (1, 4096), (2, 3), (3, 4), (0, 1), (1, 2)])
+def test_random_documents_equal_the_longest_earlier_matches(spark, monkeypatch, seed, range_lines):
     """Few distinct lines of few words: many overlapping and nested repeats, also within documents."""
+    monkeypatch.setattr(lines, "RANGE_LINES", range_lines)
     rng = random.Random(seed)
     known = ["a", "b b", "c c c", "", "d", "  ", "e e e e e"][: rng.randint(3, 7)]
     documents = [(i, "\n".join(rng.choices(known, k=rng.randint(0, 14)))) for i in range(12)]
@@ -65,6 +69,33 @@ def test_long_runs_and_copies(spark):
     check(df, documents, 50)
 
 
+def test_white_space_is_that_of_ascii(spark):
+    """Lines of no-break spaces count, with a word each; those of tabs and form feeds do not."""
+    odd = "\n".join(["\u00a0", "\x1c \x85", "\t\x0b\x0c", "a\u00a0b \u2003"] * 3)
+    documents = [(1, f"x\n{odd}\ny"), (2, f"z\n{odd}\nw"), (3, "\u00a0")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in documents], SCHEMA)
+    check(df, documents, 14)
+    rows = {r.doc_id: r.removed_lines for r in remove_repeated_lines(df, least_words=14).collect()}
+    assert rows[2] == list(range(1, 13))
+
+
+def test_a_document_of_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(lines, "RANGE_LINES", 64)
+    rng = random.Random(8)
+    part = [prose(rng, rng.randint(1, 3)) for _ in range(180)]
+    documents = [(1, "\n".join(part)), (2, "\n".join(["x", *part[20:150], "y", *part[100:]]))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in documents], SCHEMA)
+    check(df, documents, 40)
+
+
+def test_only_the_runs_stay_stored(spark):
+    folder = Path(work_root(spark).removeprefix("file://")) / "skymeter"
+    before = {p.name for p in folder.iterdir()} if folder.is_dir() else set()
+    remove_repeated_lines(edge_table(spark), removed="gone").count()
+    left = {p.name for p in folder.iterdir()} - before
+    assert {n.rsplit("-", 1)[0] for n in left} == {"runs", "kept-runs"}
+
+
 def test_short_repeats_stay(spark):
     rng = random.Random(6)
     shared = prose(rng, 49)
