@@ -5,7 +5,9 @@ before it), since no piece goes on after a space or a line end. Distinct parts g
 trie of characters. A node holds the forward score of its prefix, the best sum of piece
 scores over all ways to build it, and the number of pieces of that way; both depend on
 the nodes above only, so prefixes that parts share are computed once. The count at a
-part's last node is stored, and a document's count is the sum over its parts.
+part's last node is stored, and a document's count is the sum over its parts. Parts too
+long to be likely to come again are scored without nodes, through a window as long as the
+longest piece.
 
 Pieces come from a SentencePiece model. A character without a piece costs
 less than any piece, and counts as its UTF-8 bytes. Equal scores go to the longer last
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from array import array
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,6 +33,8 @@ from skymeter.llm.pieces import NORMAL, PARTS, UNIGRAM, USER_DEFINED, PieceModel
 
 # Nodes a Python worker keeps before it starts a new trie: below 300 MB.
 MOST_NODES = 1_000_000
+# Characters from which on a part gets no nodes.
+LONG_PART = 200
 # How much less than the worst piece a character without one scores.
 UNKNOWN_PENALTY = 10.0
 
@@ -56,6 +61,7 @@ class CountTrie:
         self.scores = unigram_scores(model)
         # Ends of pieces: where a prefix ends in none, no longer piece ends there either.
         self.endings = {p[i:] for p in self.scores for i in range(len(p))}
+        self.longest = max(map(len, self.scores))
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         self._clear()
 
@@ -103,12 +109,32 @@ class CountTrie:
         forward.append(best)
         self.tokens.append(tokens)
 
+    def _windowed(self, part: str) -> int:
+        """The count of a part, with no more than the longest piece's prefixes in memory."""
+        scores = self.scores
+        forward, tokens = deque([0.0], self.longest), deque([0], self.longest)
+        for depth in range(1, len(part) + 1):
+            best, count = -math.inf, 0
+            if part[depth - 1] not in scores:
+                best = forward[-1] + self.unknown
+                count = tokens[-1] + len(part[depth - 1].encode("utf-8", "replace"))
+            for back in range(1, len(forward) + 1):
+                ending = part[depth - back : depth]
+                if ending not in self.endings:
+                    break
+                if ending in scores and forward[-back] + scores[ending] >= best:
+                    best, count = forward[-back] + scores[ending], tokens[-back] + 1
+            forward.append(best)
+            tokens.append(count)
+        return tokens[-1]
+
     def count(self, text: str) -> tuple[int, int]:
         """Parts and tokens of a text."""
         if len(self.forward) > self.most_nodes:
             self._clear()
         parts = PARTS.findall(normalized(text, self.model))
-        return len(parts), sum(map(self.counts.__getitem__, parts))
+        counts = self.counts
+        return len(parts), sum(counts[p] if len(p) <= LONG_PART else self._windowed(p) for p in parts)
 
 
 _tries: dict[str, CountTrie] = {}

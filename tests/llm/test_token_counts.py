@@ -10,6 +10,7 @@ from corpus import edge_documents, edge_table, empty_table, sf_documents
 from models import unigram_model
 
 from skymeter.llm import pieces
+from skymeter.llm import token_counts as token_counts_module
 from skymeter.llm.token_counts import UNKNOWN_PENALTY, CountTrie, token_counts, unigram_scores
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -65,6 +66,20 @@ def test_prefixes_are_scored_once_and_forgetting_changes_nothing(model):
     assert [small.count(t) for t in texts] == [trie.count(t) for t in texts]
 
 
+def test_long_parts_take_no_nodes(model, monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("theinga日é") for _ in range(n)) for n in (199, 201, 900)] + ["x" * 3_000, "the" * 500]
+    short = CountTrie(model)
+    counts = [short.count(t) for t in texts]
+    nodes = len(short.forward)
+    assert nodes <= 201 and len(short.counts) == 1
+    assert short.count("ab" * 150_000)[1] > 0 and len(short.forward) == nodes
+    scores = unigram_scores(model)
+    assert [n for _, n in counts] == [plain_count(t, scores, model) for t in texts]
+    monkeypatch.setattr(token_counts_module, "LONG_PART", 10**9)
+    assert [CountTrie(model).count(t) for t in texts] == counts
+
+
 def test_documents_and_edge_cases(spark, model):
     scores = unigram_scores(model)
     documents = sf_documents(spark).limit(25)
