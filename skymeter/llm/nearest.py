@@ -195,15 +195,19 @@ def _row(schema: str, *values: int | float | np.ndarray) -> pa.RecordBatch:
 
 
 def _rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict]:
-    """Rows with their bytes as arrays again."""
+    """Rows one by one, their bytes seen as arrays where they lie."""
+    kinds = {"distances": float, "to_pivot": float}
     for batch in batches:
-        for row in batch.to_pylist():
-            for name, kind in (("ids", np.int64), ("query_ids", np.int64), ("distances", float), ("to_pivot", float), ("least", np.int64)):
-                if row.get(name) is not None:
-                    row[name] = np.frombuffer(row[name], kind)
-            for name in ("vectors", "queries"):
-                if row.get(name) is not None:
-                    row[name] = np.frombuffer(row[name], np.int64).reshape(-1, width)
+        for i in range(batch.num_rows):
+            row = {}
+            for name, column in zip(batch.schema.names, batch.columns):
+                if not pa.types.is_binary(column.type):
+                    row[name] = column[i].as_py()
+                elif column[i].is_valid:
+                    values = np.frombuffer(column[i].as_buffer(), kinds.get(name, np.int64))
+                    row[name] = values.reshape(-1, width) if name in ("vectors", "queries") else values
+                else:
+                    row[name] = None
             yield row
 
 
