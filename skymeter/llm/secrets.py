@@ -1,14 +1,16 @@
 """Secrets in texts: rules, and a character convolutional network for what they miss.
 
 Rules find assignments to telling names, access keys and long hexadecimal runs. Further
-candidates are runs of token characters that hold a digit. The network sees each
+candidates are runs of token characters that hold a digit, and values of any characters
+after an assignment sign or a telling name. The network sees each
 candidate inside its surrounding text: embedded characters and a mark of the candidate,
 one convolution, the maximum over all places, and a logistic output. It is trained on
 labelled findings: those of the rules in a bounded sample of documents against the other
-candidates there, and generated ones of public token formats against look-alikes (times,
-paths, versions, identifiers). On a part kept back, the output is calibrated (Platt) and
-each group of candidates gets the highest threshold that still reaches the wanted recall.
-Candidates above it are added as kind ``model``, unless the rules' findings cover them.
+candidates there, and generated ones of public token formats and passwords against
+look-alikes (times, paths, versions, identifiers, words). Candidates are split three ways,
+all pieces of one together: one part trains, one calibrates the output (Platt), and on one
+each group of candidates gets the highest threshold that still reaches the wanted recall,
+counted by candidates. Those above it are added as kind ``model``, unless the rules' findings cover them.
 Of a long candidate the network sees overlapping pieces, and the highest score counts.
 
 Defined cases: a NULL text counts as empty and has no findings; NULL ids and repeated
@@ -19,16 +21,18 @@ the end is exclusive.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymeter.llm.batches import give_back, in_text_batches, map_texts
 from skymeter.llm.columns import unused
-from skymeter.session import materialize
+from skymeter.session import materialize, scratch
 
 # The rules and their shortest findings.
 ASSIGN = re.compile(
@@ -43,10 +47,18 @@ KINDS = ("assign", "access", "hex", "model")
 LEAST_CANDIDATE = 12
 TOKEN_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.~-")
 FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_=.~-]*")
+LEAST_VALUE = 6
+VALUE = re.compile(
+    r"""(?:\b(?:password|passphrase|passwd|pwd|pass|secret|token|key|auth|bearer|credentials?)(?![A-Za-z0-9_])["']?\x20{0,2}[:=]?|[:=])"""
+    r"""\x20{0,2}["']?([^\s"':=][^\s"']*)""",
+    re.ASCII | re.IGNORECASE,
+)
+# What may follow a value without being part of it.
+VALUE_END = ".,;:!?)]}>"
 
 SAMPLE_DOCUMENTS = 20_000
 LABELLED_OF_EACH = 1_200
-GENERATED_OF_EACH = 2_400
+GENERATED_OF_EACH = 4_000
 RECALL = 0.98
 SEED = 7
 
@@ -69,7 +81,7 @@ def rule_findings(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[2])))
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
+def token_runs(text: str) -> list[tuple[int, int]]:
     """Runs of token characters with a digit, in one pass: from the first digit both ways."""
     runs, last = [], 0
     for match in FROM_DIGIT.finditer(text):
@@ -82,6 +94,27 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return runs
 
 
+def named_values(text: str) -> list[tuple[int, int]]:
+    """Values after an assignment sign or a telling name, whatever their characters."""
+    values = []
+    for match in VALUE.finditer(text):
+        start = match.start(1)
+        end = start + len(match[1].rstrip(VALUE_END))
+        if end - start >= LEAST_VALUE:
+            values.append((start, end))
+    return values
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Token runs and named values by their start, without those that lie inside another."""
+    found, reached = [], -1
+    for start, end in sorted({*token_runs(text), *named_values(text)}, key=lambda c: (c[0], -c[1])):
+        if end > reached:
+            found.append((start, end))
+            reached = end
+    return found
+
+
 def pieces(start: int, end: int) -> list[tuple[int, int]]:
     """The candidate, or overlapping parts that cover a long one."""
     if end - start <= INSIDE:
@@ -100,10 +133,31 @@ def window(text: str, start: int, end: int) -> str:
     return (left + inside + "\1" + right).ljust(WINDOW + 1, "\0")
 
 
-def group(value_window: str) -> int:
+def group(text: str, start: int) -> int:
     """Candidates after an assignment sign have a threshold of their own."""
-    before = value_window[:LEFT].rstrip(" \"'\0")
-    return int(before.endswith((":", "=")))
+    return int(text[max(0, start - LEFT) : start].rstrip(" \"'").endswith((":", "=")))
+
+
+class Labelled(NamedTuple):
+    """Pieces of candidates in their context."""
+
+    windows: list[str]
+    labels: np.ndarray
+    # The candidate that a piece belongs to.
+    owners: np.ndarray
+    groups: np.ndarray
+
+    def __add__(self, other: Labelled) -> Labelled:
+        arrays = (np.concatenate([a, b]) for a, b in zip(self[1:], other[1:], strict=True))
+        return Labelled(self.windows + other.windows, *arrays)
+
+
+def _best_of_each(owners: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first piece of each candidate, and the highest score of its pieces."""
+    _, first, at = np.unique(owners, return_index=True, return_inverse=True)
+    best = np.full(len(first), -np.inf)
+    np.maximum.at(best, at, scores)
+    return first, best
 
 
 def encode(windows: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +219,13 @@ class Network:
             "bias": error.sum(keepdims=True),
         }
 
-    def train(self, windows: list[str], labels: np.ndarray, seed: int = SEED) -> None:
-        """Adam on the logistic loss, on three quarters; the rest calibrates and sets thresholds."""
+    def train(self, given: Labelled, seed: int = SEED) -> None:
+        """Adam on the logistic loss, on three fifths of the candidates; one calibrates, one sets thresholds."""
         rng = np.random.default_rng(seed)
-        order = rng.permutation(len(windows))
-        held, used = order[: len(order) // 4], order[len(order) // 4 :]
+        windows, labels, owners, groups = given
+        names, at = np.unique(owners, return_inverse=True)
+        part = rng.permutation(np.arange(len(names)) % 5)[at]
+        used, held, last = np.flatnonzero(part >= 2), np.flatnonzero(part == 0), np.flatnonzero(part == 1)
         characters, mark = encode(windows)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
@@ -184,11 +240,16 @@ class Network:
                     square[k] += 0.001 * (g * g - square[k])
                     corrected = mean[k] / (1 - 0.9**step)
                     self.weights[k] -= RATE * corrected / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-        logit = self.logits(characters[held], mark[held])
-        self._calibrate(logit, labels[held])
-        groups = np.array([group(windows[i]) for i in held])
-        score = self.probability(logit)
-        self.thresholds = tuple(self._threshold(score[(groups == g) & (labels[held] == 1)]) for g in (0, 1))
+        self._calibrate(self.logits(characters[held], mark[held]), labels[held])
+        score = self.probability(self.logits(characters[last], mark[last]))
+        first, best = _best_of_each(owners[last], score)
+        positive, grouped = labels[last][first] == 1, groups[last][first]
+        self.thresholds = tuple(self._threshold(best[positive & (grouped == g)]) for g in (0, 1))
+
+    def hits(self, given: Labelled) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each candidate is found, and its label."""
+        first, best = _best_of_each(given.owners, self.scores(given.windows))
+        return best >= np.array(self.thresholds)[given.groups[first]], given.labels[first]
 
     def _calibrate(self, logit: np.ndarray, labels: np.ndarray) -> None:
         """Slope and shift of the logit by Newton's method, with labels off 0 and 1 (Platt)."""
@@ -219,8 +280,14 @@ class Network:
         return self.probability(np.concatenate([self.logits(*p) for p in parts])) if parts else np.zeros(0)
 
 
-def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndarray]:
-    """Windows of made-up secrets of public formats (label 1) and of look-alikes (0)."""
+FORMATS = (
+    "ghp", "glpat", "xoxb", "sk_live", "AIza", "jwt", "AKIA", "base64", "mixed", "hex", "uuid", "base32", "dashed",
+    "password", "letters", "passphrase", "word", "words",
+)
+
+
+def generated_findings(count: int, seed: int = SEED, formats: Sequence[str] = FORMATS) -> Labelled:
+    """Made-up secrets of public formats and passwords (label 1), and as many look-alikes (0)."""
     rng = np.random.default_rng(seed)
     upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
     mixed, hexadecimal = upper + lower + digits, digits + "abcdef"
@@ -228,7 +295,7 @@ def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndar
     def pick(alphabet: str, n: int) -> str:
         return "".join(alphabet[i] for i in rng.integers(len(alphabet), size=n))
 
-    def one(values: list[str]) -> str:
+    def one(values: Sequence[str]) -> str:
         return values[rng.integers(len(values))]
 
     def word() -> str:
@@ -240,21 +307,35 @@ def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndar
     def number(n: int) -> str:
         return str(rng.integers(1, 10**n))
 
-    def secret() -> str:
-        return one(
-            [
-                "ghp_" + pick(mixed, 36),
-                "glpat-" + pick(mixed + "_-", 20),
-                "xoxb-" + pick(digits, 11) + "-" + pick(digits, 12) + "-" + pick(mixed, 24),
-                "sk_live_" + pick(mixed, 24),
-                "AIza" + pick(mixed + "_-", 35),
-                "eyJ" + pick(mixed, 33) + "." + pick(mixed, 60) + "." + pick(mixed + "_-", 43),
-                "AKIA" + pick(upper + digits, 16),
-                pick(mixed + "+/", 40),
-                pick(mixed, int(rng.integers(20, 48))),
-                pick(hexadecimal, int(rng.integers(16, 64))),
-            ]
-        )
+    def spoken() -> str:
+        """A word as in a language: consonants and vowels in turn."""
+        return "".join(one("bcdfghlmnprst") + one("aeiou") for _ in range(rng.integers(2, 5)))
+
+    def secret(form: str) -> str:
+        return {
+            "ghp": lambda: "ghp_" + pick(mixed, 36),
+            "glpat": lambda: "glpat-" + pick(mixed + "_-", 20),
+            "xoxb": lambda: "xoxb-" + pick(digits, 11) + "-" + pick(digits, 12) + "-" + pick(mixed, 24),
+            "sk_live": lambda: "sk_live_" + pick(mixed, 24),
+            "AIza": lambda: "AIza" + pick(mixed + "_-", 35),
+            "jwt": lambda: "eyJ" + pick(mixed, 33) + "." + pick(mixed, 60) + "." + pick(mixed + "_-", 43),
+            "AKIA": lambda: "AKIA" + pick(upper + digits, 16),
+            "base64": lambda: pick(mixed + "+/", 40),
+            "mixed": lambda: pick(mixed, int(rng.integers(20, 48))),
+            "hex": lambda: pick(hexadecimal, int(rng.integers(16, 64))),
+            "uuid": lambda: "-".join(pick(hexadecimal, n) for n in (8, 4, 4, 4, 12)),
+            "base32": lambda: pick(upper + "234567", int(rng.integers(16, 52))),
+            "dashed": lambda: pick(lower, 3) + "-" + "-".join(pick(digits + lower, int(rng.integers(8, 20))) for _ in range(3)),
+            "password": lambda: pick(mixed + "!@#$%^&*?", int(rng.integers(8, 20))),
+            "letters": lambda: pick(upper + lower, int(rng.integers(12, 32))),
+            "passphrase": lambda: one("-_.").join(spoken() for _ in range(4)) + one(["", number(2)]),
+            "word": lambda: spoken() + one("!_-.@") + number(4),
+            "words": lambda: spoken().title() + spoken().title() + one(["", spoken().title(), number(2)]),
+        }[form]()
+
+    # Of these no look alone tells; they come after a telling name only.
+    wordy = {"passphrase", "word", "words"}
+    named = {"password", "letters", *wordy}
 
     def ordinary() -> str:
         return one(
@@ -275,31 +356,42 @@ def generated_findings(count: int, seed: int = SEED) -> tuple[list[str], np.ndar
             ]
         )
 
-    names = ["auth", "pwd", "credential", "private_key", "access_key", "bearer", "client_secret", "token", "password"]
-    plain = ["date", "file", "see", "page", "version", "id", "name", "host", "time", "order", "ref"]
-    windows, labels = [], []
+    telling = ["auth", "pwd", "credential", "private_key", "access_key", "bearer", "client_secret", "token", "password"]
+    plain = ["date", "file", "see", "page", "version", "id", "name", "host", "time", "order", "ref", "note", "re"]
+    windows, labels, owners, groups = [], [], [], []
     for i in range(2 * count):
         label = i % 2
-        value = secret() if label else ordinary()
-        while len(value) < LEAST_CANDIDATE:
-            value += number(6)
-        name, sign = one(names if label else plain), one([": ", "=", ' = "', "='", ":"])
-        before = f"{prose(6)} {name}{sign}" if rng.random() < 0.5 else f"{prose(6)} "
+        form = one(formats)
+        if label:
+            value = secret(form)
+        elif form in wordy and rng.random() < 0.7:
+            value = secret(form)  # only its name would tell
+        elif rng.random() < 0.3:
+            value = one(["", "/", "-", " ", "_"]).join(spoken() for _ in range(rng.integers(1, 6))) + one(["", "!", "?"])
+        else:
+            value = ordinary()
+        least = LEAST_VALUE if form in named or not label else LEAST_CANDIDATE
+        while len(value) < least:
+            value += number(6) if label else spoken()
+        name, sign = one(telling if label else plain), one([": ", "=", ' = "', "='", ":"])
+        after_name = rng.random() < 0.5 or (label and form in named)
+        before = f"{prose(6)} {name}{sign}" if after_name else f"{prose(6)} "
         text = f"{before}{value}{one(['', chr(34), ';', ',', '.'])} {prose(4)}"
         for piece in pieces(len(before), len(before) + len(value)):
             windows.append(window(text, *piece))
             labels.append(label)
-    return windows, np.array(labels)
+            owners.append(i)
+            groups.append(group(text, len(before)))
+    return Labelled(windows, np.array(labels), np.array(owners), np.array(groups))
 
 
 def marked_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, bool]]:
-    """The pieces of the candidates, and whether one of the rules' findings, given by start, overlaps them."""
+    """The candidates, and whether one of the rules' findings, given by start, overlaps them."""
     at = 0
-    for candidate in candidates(text):
-        for start, end in pieces(*candidate):
-            while at < len(spans) and spans[at][1] <= start:
-                at += 1
-            yield start, end, at < len(spans) and spans[at][0] < end
+    for start, end in candidates(text):
+        while at < len(spans) and spans[at][1] <= start:
+            at += 1
+        yield start, end, any(s[0] < end and s[1] > start for s in spans[at : at + 3])
 
 
 def open_candidates(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
@@ -322,38 +414,43 @@ def labelled_findings(
     key: str = "doc_id",
     sample: int = SAMPLE_DOCUMENTS,
     most: int = LABELLED_OF_EACH,
-) -> tuple[list[str], np.ndarray]:
+) -> Labelled:
     """Distinct candidate windows of sampled documents, labelled by whether a rule finds them."""
     rows = documents.count()
     if not rows:
-        return [], np.zeros(0, int)
+        return Labelled([], *(np.zeros(0, int) for _ in range(3)))
     part = min(1 << 30, sample * (1 << 30) // rows)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows, labels = [], []
+            found = []
             for value in batch.column(0):
                 content = value.as_py() or ""
                 for start, end, known in marked_candidates(content, rule_findings(content)):
-                    windows.append(window(content, start, end))
-                    labels.append(int(known))
-            columns = [pa.array(windows, pa.string()), pa.array(labels, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["window", "label"])
-
+                    owner = xxhash.xxh64_intdigest(content[start:end].encode("utf-8", "replace")) >> 1
+                    about = int(known), owner, group(content, start)
+                    found += [(window(content, *piece), *about) for piece in pieces(start, end)]
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    names = ["window", "label", "owner", "grouped"]
     chosen = documents.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < part).select(F.col(text).alias("text"))
-    labelled = materialize(map_texts(chosen, label, "window string, label long").distinct(), "labelled")
-    order = F.xxhash64("window")
-    found = [labelled.filter(F.col("label") == v).orderBy(order, "window").limit(most).collect() for v in (0, 1)]
+    schema = "window string, label long, owner long, grouped long"
+    with scratch(documents.sparkSession):
+        labelled = materialize(map_texts(chosen, label, schema).distinct(), "labelled")
+        order = F.xxhash64("window")
+        found = [labelled.filter(F.col("label") == v).orderBy(order, "window").limit(most).collect() for v in (0, 1)]
     rows = [r for part in found for r in part]
-    return [r["window"] for r in rows], np.array([r["label"] for r in rows], int)
+    return Labelled([r[0] for r in rows], *(np.array([r[i] for r in rows], int) for i in (1, 2, 3)))
 
 
 def train(documents: DataFrame, text: str = "text", key: str = "doc_id") -> Network:
     """A network trained on the corpus' labelled findings and on generated ones."""
-    windows, labels = labelled_findings(documents, text, key)
-    more, their_labels = generated_findings(GENERATED_OF_EACH)
+    made = generated_findings(GENERATED_OF_EACH)
     network = Network()
-    network.train(windows + more, np.concatenate([labels, their_labels]))
+    # Numbers of made-up candidates are negative, so they meet no hash.
+    network.train(labelled_findings(documents, text, key) + made._replace(owners=-1 - made.owners))
     return network
 
 
@@ -365,13 +462,13 @@ def all_findings(texts: list[str], network: Network) -> list[list[tuple[str, int
         open_to_model += [(i, *c, p) for c in open_candidates(text, found[i]) for p in pieces(*c)]
     windows = [window(texts[i], *piece) for i, _, _, piece in open_to_model]
     out = [[(kind, start, end, 1.0) for start, end, kind in spans] for spans in found]
-    # A candidate has the highest score of its pieces that reach their threshold.
+    # A candidate has the highest score of its pieces.
     best: dict[tuple[int, int, int], float] = {}
-    for (*place, _), shown, score in zip(open_to_model, windows, network.scores(windows), strict=True):
-        if score >= network.thresholds[group(shown)]:
-            best[tuple(place)] = max(float(score), best.get(tuple(place), 0.0))
+    for (*place, _), score in zip(open_to_model, network.scores(windows), strict=True):
+        best[tuple(place)] = max(float(score), best.get(tuple(place), 0.0))
     for (i, start, end), score in best.items():
-        out[i].append(("model", start, end, score))
+        if score >= network.thresholds[group(texts[i], start)]:
+            out[i].append(("model", start, end, score))
     return [sorted(spans, key=lambda f: (f[1], KINDS.index(f[0]))) for spans in out]
 
 
