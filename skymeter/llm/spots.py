@@ -7,7 +7,8 @@ common word is near (tables, lists), every word is an anchor.
 
 Sets are partitioned by length: a set can reach likeness ``t`` only with sets whose
 length is at least ``t`` times its own, so sets two or more partitions apart never do.
-Comparisons are pruned by the lengths, and by what is left to read.
+Comparisons are pruned by the lengths, and by what is left to read. Documents that are
+alike meet within neighbouring partitions under a rare spot they share.
 
 Defined cases: a NULL text counts as empty; a text without a spot has the hash of the
 whole text as its only spot, so it is like equal texts only; NULL ids come last in the
@@ -26,9 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skymeter.llm.batches import map_texts
+from skymeter.session import materialize, scratch
+
 # Common words of the languages at hand; fixed values.
 ANCHORS = frozenset(
     """
@@ -43,6 +47,8 @@ DISTANCE = 2
 # Words with no common word within so many on either side are anchors themselves.
 FAR = 6
 LIKENESS = 0.8
+# Products with a likeness are rounded; bounds give way by this much.
+SLACK = 1e-9
 
 WORDS = re.compile(r"[^\W_]+")
 CACHED_WORDS = 1_000_000
@@ -225,3 +231,99 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     names = [f.split()[0] for f in RESULT.split(", ")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32()]
     return by_neighbours(documents, doc_id, text).mapInArrow(compare, RESULT)
+
+
+SETS = "class long, size int, spots array<long>"
+
+
+def spot_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``doc_id, class`` of every document, and ``class, size, spots`` of every distinct spot set.
+
+    Documents with equal sets are one class, so copies are compared once.
+    """
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [spots(t or "") for t in batch.column(1).to_pylist()]
+            names = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            sizes = np.array([len(s) for s in sets], np.int32)
+            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            flat = np.concatenate([np.zeros(0, np.uint32), *sets]).astype(np.int64)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
+            columns = [batch.column(0), pa.array(names), pa.array(sizes), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "class", "size", "spots"])
+
+    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    stored = materialize(map_texts(chosen, found, f"doc_id long, {SETS}"), "spot-sets")
+    return stored.select("doc_id", "class"), stored.select("class", "size", "spots").dropDuplicates(["class"])
+
+
+def similar_classes(sets: DataFrame, likeness: float = LIKENESS) -> DataFrame:
+    """``a, b, likeness``: all pairs of classes, ``a < b``, that are at least so alike.
+
+    Sets are partitioned by length and meet those of their own and the next partition.
+    Two sets that are alike share one of the first spots of each, in an order that puts
+    the rarest first: counted over all sets, so that few meet under a spot. Pairs are
+    pruned by their lengths and by what is left behind the spot they share before the
+    sets are read and compared.
+    """
+    partition = F.floor(F.ln("size") / F.lit(math.log(1 / likeness)) + SLACK).cast("int")
+    sets = materialize(sets.withColumn("part", partition), "spot-classes")
+    each = sets.select("class", "size", "part", F.explode("spots").alias("spot"))
+    often = each.groupBy("spot").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    # Spots of one set alone come first in its order, and are only counted.
+    shared = each.join(materialize(often, "shared-spots"), "spot").groupBy("class", "size", "part").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "spot"))).alias("order")
+    )
+    alone = F.col("size") - F.size("order")
+    first = F.col("size") - F.ceil(F.lit(likeness) * F.col("size") - SLACK).cast("int") + 1
+    keys = shared.select(
+        "class", "size", "part", alone.alias("alone"),
+        F.posexplode(F.slice("order", F.lit(1), F.greatest(first - alone, F.lit(0)))).alias("at", "key"),
+    )
+    # How many of the spots from this one on.
+    rest = (F.col("size") - F.col("alone") - F.col("at")).alias("rest")
+    keys = materialize(keys.select("class", "size", "part", F.col("key.spot").alias("spot"), rest), "spot-keys")
+
+    def side(name: str, parts: Column) -> DataFrame:
+        columns = [F.col(c).alias(f"{name}_{c}") for c in ("class", "size", "rest", "part")]
+        return keys.select("spot", *columns, parts.alias("part"))
+
+    met = side("a", F.col("part")).join(side("b", F.explode(F.array(F.col("part"), F.col("part") - 1))), ["spot", "part"])
+    own = (F.col("a_part") < F.col("b_part")) | (F.col("a_class") < F.col("b_class"))
+    sizes = F.col("a_size"), F.col("b_size")
+    least = F.lit(likeness / (1 + likeness)) * (sizes[0] + sizes[1]) - SLACK
+    near = (F.least(*sizes) >= F.lit(likeness) * F.greatest(*sizes) - SLACK) & (F.least("a_rest", "b_rest") >= least)
+    pairs = met.filter(own & near).select(
+        F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")
+    )
+    pairs = materialize(pairs.distinct(), "spot-pairs")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                jaccard(*(c[i].values.to_numpy(zero_copy_only=False) for c in batch.columns[2:]), likeness - SLACK)
+                for i in range(batch.num_rows)
+            ]
+            columns = [*batch.columns[:2], pa.array(found, pa.float64())]
+            alike = pa.RecordBatch.from_arrays(columns, ["a", "b", "likeness"])
+            yield alike.filter(pa.array([f > 0 for f in found], pa.bool_()))
+
+    one = sets.select(F.col("class").alias("a"), F.col("spots").alias("a_spots"))
+    other = sets.select(F.col("class").alias("b"), F.col("spots").alias("b_spots"))
+    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "a_spots", "b_spots")
+    return map_texts(joined, compared, "a long, b long, likeness double")
+
+
+def similar_documents(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", likeness: float = LIKENESS
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, class`` of every document, and ``a, b, likeness`` of all classes that are alike.
+
+    A text without a spot is like equal texts only. Rows are kept as they are, NULL ids and
+    repeated ones too; an empty table gives two without rows.
+    """
+    with scratch(documents.sparkSession) as area:
+        members, sets = spot_classes(documents, doc_id, text)
+        pairs = area.result(similar_classes(sets, likeness), "similar-classes")
+        return area.result(members, "spot-members"), pairs

@@ -105,3 +105,54 @@ def test_pruning_never_changes_a_likeness_above_the_bound():
             assert jaccard(a, b, least) == (pytest.approx(whole) if whole >= least else 0.0)
             if whole >= least:
                 assert abs(length_partition(len(a), least) - length_partition(len(b), least)) <= 1
+
+
+def similar(df, likeness):
+    """Classes as sets of ids, and all pairs of them with their likeness."""
+    members, pairs = spots.similar_documents(df, likeness=likeness)
+    ids = {}
+    for r in members.collect():
+        ids.setdefault(r["class"], []).append(r.doc_id)
+    rows = pairs.collect()
+    assert all(r.a < r.b for r in rows) and len({(r.a, r.b) for r in rows}) == len(rows)
+    classes = {c: tuple(sorted(v, key=str)) for c, v in ids.items()}
+    return sorted(classes.values(), key=str), {frozenset((classes[r.a], classes[r.b])): r.likeness for r in rows}
+
+
+def plain_similar(documents, likeness):
+    by_set = {}
+    for i, t in documents:
+        by_set.setdefault(tuple(spots.spots(t or "").tolist()), []).append(i)
+    classes = [(set(s), tuple(sorted(ids, key=str))) for s, ids in by_set.items()]
+    found = {}
+    for i, (a, x) in enumerate(classes):
+        for b, y in classes[i + 1 :]:
+            if len(a & b) / len(a | b) >= likeness:
+                found[frozenset((x, y))] = len(a & b) / len(a | b)
+    return sorted((c for _, c in classes), key=str), found
+
+
+@pytest.mark.parametrize("likeness", [0.5, 0.8, 0.95])
+def test_similar_documents_equal_comparing_all(spark, likeness):
+    rng = random.Random(6)
+    texts = [prose(rng, rng.randint(1, 200)) for _ in range(60)]
+    for text in texts[:40]:
+        words = text.split()
+        for part in (0.02, 0.08, 0.2):
+            texts.append(" ".join(rng.choice(words) if rng.random() < part else w for w in words))
+    texts += texts[:10] + ["", "the", "the"]
+    documents = [(i % 190, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in documents], SCHEMA)
+    classes, pairs = similar(df, likeness)
+    expected_classes, expected = plain_similar(documents, likeness)
+    assert classes == expected_classes and pairs == pytest.approx(expected) and len(expected) > 1
+
+
+def test_similar_documents_of_the_given_table_and_edge_cases(spark):
+    documents = sf_documents(spark)
+    assert similar(documents, 0.8) == plain_similar([(r.doc_id, r.text) for r in documents.collect()], 0.8)
+    classes, pairs = similar(edge_table(spark), 0.8)
+    expected = plain_similar([d[:2] for d in edge_documents()], 0.8)
+    assert classes == expected[0] and pairs == expected[1]
+    members, pairs = spots.similar_documents(empty_table(spark))
+    assert members.collect() == [] and pairs.collect() == []
