@@ -67,6 +67,12 @@ def customer_ranks(spark, folder):
     return _rounded(ranks.orderBy(F.desc("rank"), "station"), "rank")
 
 
+def hub_ranks(spark, folder):
+    """The same ranks with every customer of more than five links as a hub."""
+    ranks = pagerank(customer_vertices(spark, folder), customer_edges(spark, folder), hot_degree=5)
+    return _rounded(ranks.orderBy(F.desc("rank"), "station"), "rank")
+
+
 def chain_ranks(spark, folder):
     ranks = pagerank(customer_vertices(spark, folder), customer_chain(spark, folder))
     return _rounded(ranks.orderBy(F.desc("rank"), "station"), "rank")
@@ -79,6 +85,7 @@ QUERIES = {
     "edge_labels": edge_labels,
     "propagate": received,
     "pagerank": customer_ranks,
+    "pagerank_hubs": hub_ranks,
     "pagerank_chain": chain_ranks,
 }
 
@@ -118,3 +125,4 @@ ORACLE = {
           FROM customer)
         SELECT station, round(raw * (SELECT count(*) / sum(raw) FROM ranked), 6) AS rank FROM ranked""",
 }
+ORACLE["pagerank_hubs"] = ORACLE["pagerank"]

@@ -31,6 +31,7 @@ from skymeter.operators.regression import (
 )
 from skymeter.operators.stats import by_key, highest_first, in_key_order, stats_by_each
 from skymeter.session import discard, materialize, scratch
+from skymeter.sources import split_malformed
 
 ORDER = ["station", "datetime"]
 ROW_COLUMNS = ["datetime", "station", "pm25", "pm10", "no2", "o3", "pollution_index"]
@@ -65,19 +66,29 @@ def readings_report(
     connections: DataFrame,
     measures: Sequence[str] = INDEX_MEASURES,
     dedupe_on: Sequence[str] | None = None,
+    malformed: str | None = None,
 ) -> Report:
     """All results for raw readings and station connections, by name.
 
     The features are cleaned and stored once, as a columnar table from which each
     result reads only its columns. Ranges, threshold, grouped statistics and graph are
     small and stored as well, so no result computes them again. ``dedupe_on`` names the
-    columns that identify a reading, for files whose rows carry a number.
+    columns that identify a reading, for files whose rows carry a number. ``malformed``
+    names the column of lines that could not be read (see ``read_readings``): they are set
+    aside as ``malformed_lines`` and counted in the quality report.
 
     The stored tables belong to the report: ``close`` deletes them, the end of the session
     at the latest.
     """
     with scratch(raw.sparkSession) as area:
-        tables = _tables(raw, connections, measures, dedupe_on)
+        if malformed is None:
+            tables = _tables(raw, connections, measures, dedupe_on)
+        else:
+            readings, lines = split_malformed(raw, malformed)
+            lines = materialize(lines, "malformed-lines")
+            tables = {"malformed_lines": lines, **_tables(readings, connections, measures, dedupe_on)}
+            count = lines.agg(F.count(F.lit(1))).scalar()
+            tables["quality_report"] = tables["quality_report"].withColumn("malformed_rows", count)
         return Report(tables, raw.sparkSession, area.keep_all())
 
 

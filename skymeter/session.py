@@ -166,7 +166,9 @@ def discard(spark: SparkSession, path: str) -> None:
     if not path.startswith(f"{work_root(spark)}/skymeter/"):
         raise ValueError(f"not a stored table: {path}")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    files.cancelDeleteOnExit(target)
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

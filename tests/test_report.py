@@ -53,6 +53,19 @@ def test_a_report_that_cannot_be_written_leaves_no_tables(spark, folder, tmp_pat
     assert stored_tables(spark) <= before
 
 
+def test_malformed_lines_are_set_aside_and_counted(spark, folder, tmp_path):
+    source = tmp_path / "bad.csv"
+    lines = (folder / f"{STATIONS[0]}.csv").read_text().splitlines()
+    source.write_text("\n".join([*lines, "1,2013,3", lines[1] + ",more"]) + "\n")
+    raw = read_readings(spark, [str(folder / f"{STATIONS[1]}.csv"), str(source)], malformed="malformed")
+    write_report(readings_report(raw, connections_table(spark, CONNECTIONS[:1]), malformed="malformed"), str(tmp_path / "out"))
+    bad = spark.read.parquet(str(tmp_path / "out" / "malformed_lines")).collect()
+    assert sorted(r.line for r in bad) == sorted(["1,2013,3", lines[1] + ",more"])
+    assert {r.file.rsplit("/", 1)[1] for r in bad} == {"bad.csv"}
+    quality = spark.read.parquet(str(tmp_path / "out" / "quality_report")).first()
+    assert (quality.raw_rows, quality.distinct_rows, quality.malformed_rows) == (2 * 97, 2 * 96, 2)
+
+
 def test_report_from_csv_files(spark, folder, tmp_path):
     raw = read_readings(spark, [str(folder / f"{s}.csv") for s in STATIONS])
     before = stored_tables(spark)
