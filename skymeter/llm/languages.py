@@ -11,8 +11,9 @@ documents, chosen by a hash of their id. Rare languages are used whole.
 
 Defined cases: a NULL text, or one without a letter, is ``und`` with score 0 and
 rejected; NULL ids are predicted but never learned from; NULL labels are not learned
-from; without any labelled document everything is ``und``; repeated rows are predicted
-once each; an empty table gives no rows.
+from; without any labelled document everything is ``und``; more than ``MOST_LANGUAGES``
+labels are an error, since the counts of all of them are held at once (262 MB at most);
+repeated rows are predicted once each; an empty table gives no rows.
 """
 
 from __future__ import annotations
