@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymeter.llm.batches import in_text_batches
 from skymeter.session import materialize, scratch
 
 # What a component of a vector is multiplied with, and what is added to it.
@@ -330,7 +331,8 @@ def whitened(
     """One row per vector and leading component: its whitened value, and how well the whole came out."""
     spark = vectors.sparkSession
     with scratch(spark) as area:
-        stored = materialize(integer_vectors(vectors, vec_id, embedding), "integer-vectors")
+        # Long vectors make large batches, so these have few rows.
+        stored = in_text_batches(materialize(integer_vectors(vectors, vec_id, embedding), "integer-vectors"))
         n, sums = vector_sums(stored)
         if not len(sums):
             return spark.createDataFrame([], WHITENED)
