@@ -12,7 +12,8 @@ alike meet within neighbouring partitions under a rare spot they share.
 
 Defined cases: a NULL text counts as empty; a text without a spot has the hash of the
 whole text as its only spot, so it is like equal texts only; NULL ids come last in the
-order of documents, repeated rows follow each other; a single document is its own next
+order of documents, rows of one id go by their texts' first bytes and then a hash, so
+repeated rows follow each other; a single document is its own next
 one; an empty table gives no rows.
 """
 
@@ -22,6 +23,7 @@ import base64
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,58 +132,134 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - replaced] + following[:replaced]
 
 
+def text_place(text: str) -> tuple[int, int]:
+    """The place of a text among those of one id: by its first eight bytes, then by a hash."""
+    data = text.encode("utf-8", "replace")
+    return int.from_bytes(data[:8].ljust(8, b"\0"), "big") - (1 << 63), xxhash.xxh64_intdigest(data) - (1 << 63)
+
+
+class Ranges:
+    """Ranges of documents in descending order of ids, of which ids with very many rows have several.
+
+    ``bounds`` are the largest ids of the ranges but the first, ascending; ``inner`` has
+    the first bytes at which the texts of an id with a range of its own are parted.
+    """
+
+    def __init__(self, bounds: list[int], inner: dict[int | None, list[int]]):
+        self.inner = {i: np.array(places, np.int64) for i, places in inner.items()}
+        alone = [i - 1 for i in inner if i is not None and i > -(1 << 63)]
+        self.bounds = np.array(sorted({*bounds, *[i for i in inner if i is not None], *alone}), np.int64)
+        # Ranges from the largest ids down, rows without an id last.
+        tops = [None, *self.bounds[::-1].tolist()]
+        sizes = [len(inner.get(top, ())) + 1 if top is not None else 1 for top in tops] + [len(inner.get(None, ())) + 1]
+        self.starts = np.append(0, np.cumsum(sizes))
+        self.count = int(self.starts[-1])
+
+    def of(self, ids: pa.Array, texts: pa.Array) -> np.ndarray:
+        """The number of each row's range."""
+        known = np.asarray(ids.fill_null(0))
+        at = np.where(np.asarray(ids.is_null()), len(self.bounds) + 1, len(self.bounds) - np.searchsorted(self.bounds, known))
+        found = self.starts[at]
+        for key, places in self.inner.items():
+            rows = np.flatnonzero(np.asarray(ids.is_null()) if key is None else np.asarray(ids.is_valid()) & (known == key))
+            found[rows] += np.searchsorted(places, [text_place(texts[int(i)].as_py())[0] for i in rows])
+        return found
+
+
+def ranges_of(chosen: DataFrame, count: int) -> Ranges:
+    """About ``count`` ranges of ``doc_id, text`` with as many rows each, from quantiles."""
+    parts = [i / count for i in range(1, count)] or [0.5]
+    exact = max(10_000, 20 * count)
+    quantiles = F.percentile_approx("doc_id", parts, exact)
+    found, nulls, rows = chosen.agg(quantiles, F.count_if(F.col("doc_id").isNull()), F.count(F.lit(1))).first()
+    often = {i: n for i, n in Counter(found or []).items() if n > 1}
+    if rows and nulls * count // rows > 1:
+        often[None] = nulls * count // rows
+    inner = {}
+    if often:
+
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                places = [text_place(t)[0] for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64())], ["doc_id", "place"])
+
+        known = [i for i in often if i is not None]
+        hot = chosen.filter(F.col("doc_id").isin(known) | (F.col("doc_id").isNull() & F.lit(None in often)))
+        places = map_texts(hot, placed, "doc_id long, place long")
+        spread = places.groupBy("doc_id").agg(F.percentile_approx("place", parts, exact)).collect()
+        # As many of the quantiles as the id has of all rows.
+        for key, quantile in spread:
+            step = max(1, len(quantile) // often[key])
+            inner[key] = sorted(set(quantile[step - 1 :: step]))
+    return Ranges(sorted(set(found or [])), inner)
+
+
 def by_neighbours(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``bucket, guest, doc_id, text``: documents in ranges of descending ids.
 
     Each partition is sorted, and the first document of the next range follows the last
     one of its own as a guest. Ranges come from quantiles of the ids, one for each shuffle
-    partition, so only the quantiles and the ranges' largest ids pass through the driver.
+    partition; an id with more rows than that, or rows without an id, have several, parted
+    by their texts. So only the quantiles and the ranges' first keys pass through the driver.
     """
     spark = documents.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chosen = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    parts = [i / ranges for i in range(1, ranges)] or [0.5]
-    quantiles = F.percentile_approx("doc_id", parts, max(10_000, 20 * ranges))
-    bounds = np.array(sorted(set(chosen.agg(quantiles).first()[0] or [])), np.int64)
-    last = len(bounds) + 1
+    ranges = ranges_of(chosen, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def bucket(ids: pa.Array) -> np.ndarray:
-        known = np.asarray(ids.fill_null(0))
-        return np.where(np.asarray(ids.is_null()), last, len(bounds) - np.searchsorted(bounds, known))
+    def head(key: int | None, content: str) -> tuple[int, ...]:
+        """The first of these comes first in a range. An id's text only counts where it has several."""
+        return (*((1, 0) if key is None else (0, -key)), *(text_place(content) if key in ranges.inner else (0, 0)))
 
-    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, int | None] = {}
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple] = {}
         for batch in batches:
-            for number, value in zip(bucket(batch.column(0)).tolist(), batch.column(0).to_pylist(), strict=True):
-                if value is None or found.get(number) is None or value > found[number]:
-                    found[number] = value
-        yield pa.RecordBatch.from_pydict(
-            {"bucket": pa.array(list(found), pa.int64()), "doc_id": pa.array(list(found.values()), pa.int64())}
-        )
-
-    heads = chosen.select("doc_id").mapInArrow(largest, "bucket long, doc_id long")
-    heads = sorted((r[0], r[1]) for r in heads.groupBy("bucket").agg(F.max("doc_id")).collect())
+            buckets = ranges.of(batch.column(0), batch.column(1)).tolist()
+            for i, (number, key) in enumerate(zip(buckets, batch.column(0).to_pylist(), strict=True)):
+                place = head(key, batch.column(1)[i].as_py() if key in ranges.inner else "")
+                if number not in found or place < found[number]:
+                    found[number] = place
+        columns = [list(found), *zip(*found.values())] if found else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["bucket", "none", "id", "place", "hash"])
+
+    # Texts are only read here where an id has several ranges.
+    read_for = chosen if ranges.inner else chosen.select("doc_id", F.lit("").alias("text"))
+    heads = map_texts(read_for, first, "bucket long, none long, id long, place long, hash long")
+    least = F.min(F.struct("none", "id", "place", "hash"))
+    known = sorted((r[0], tuple(r[1])) for r in heads.groupBy("bucket").agg(least).collect())
     # The range before a head's own, and the last range for the first head.
-    host = {head: heads[i - 1][0] for i, (_, head) in enumerate(heads)}
+    host = {place: known[i - 1][0] for i, (_, place) in enumerate(known)}
+    head_ids = {None if place[0] else -place[1] for _, place in known}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "guest", "doc_id", "text"]
+        names = ["bucket", "guest", "doc_id", "text", "place", "hash"]
+        sent: set[tuple] = set()
         for batch in batches:
-            own = pa.array(bucket(batch.column(0)), pa.int64())
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            places = [text_place(t) for t in texts.to_pylist()]
+            order = [pa.array([p[i] for p in places], pa.int64()) for i in (0, 1)]
+            own = pa.array(ranges.of(batch.column(0), texts))
             guest = pa.array(np.zeros(batch.num_rows, bool))
-            yield pa.RecordBatch.from_arrays([own, guest, *batch.columns], names)
-            hosts = [host.get(i) for i in batch.column(0).to_pylist()]
-            rows = [i for i, h in enumerate(hosts) if h is not None]
+            yield pa.RecordBatch.from_arrays([own, guest, *batch.columns, *order], names)
+            rows, to = [], []
+            for i, key in enumerate(keys):
+                if key in head_ids:
+                    place = head(key, texts[i].as_py() if key in ranges.inner else "")
+                    if place in host and place not in sent:
+                        rows.append(i)
+                        to.append(host[place])
+                        # Equal texts follow each other in any order, so one of a task will do.
+                        if key in ranges.inner:
+                            sent.add(place)
             if rows:
-                to = pa.array([hosts[i] for i in rows], pa.int64())
-                yield pa.RecordBatch.from_arrays([to, pa.array([True] * len(rows)), *batch.take(rows).columns], names)
+                taken = pa.RecordBatch.from_arrays([*batch.columns, *order], names[2:]).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([True] * len(rows)), *taken.columns], names)
 
-    dealt = chosen.mapInArrow(deal, "bucket long, guest boolean, doc_id long, text string")
-    order = ["bucket", "guest", F.col("doc_id").desc_nulls_last(), "text"]
-    placed = dealt.repartitionById(last + 1, F.col("bucket").cast("int"))
-    return placed.sortWithinPartitions(*order)
+    dealt = map_texts(chosen, deal, "bucket long, guest boolean, doc_id long, text string, place long, hash long")
+    order = ["bucket", "guest", F.col("doc_id").desc_nulls_last(), "place", "hash", "text"]
+    placed = dealt.repartitionById(ranges.count, F.col("bucket").cast("int"))
+    return placed.sortWithinPartitions(*order).drop("place", "hash")
 
 
 RESULT = (
@@ -191,10 +269,7 @@ RESULT = (
 
 
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The fingerprint of every document and of its edited text, and how near they are.
-
-    Ids identify documents: rows of one id come to one task.
-    """
+    """The fingerprint of every document and of its edited text, and how near they are."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None

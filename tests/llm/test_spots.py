@@ -32,7 +32,7 @@ def plain_likeness(a, b):
 
 def plain_rows(documents):
     """Text, edited text and next text of each document, in descending order of ids."""
-    ordered = sorted(documents, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
+    ordered = sorted(documents, key=lambda d: (d[0] is None, -(d[0] or 0), spots.text_place(d[1] or "")))
     texts = [t or "" for _, t in ordered]
     for i, (doc_id, _) in enumerate(ordered):
         text, following = texts[i], texts[(i + 1) % len(texts)]
@@ -77,6 +77,32 @@ def test_neighbours_across_any_number_of_ranges(spark, partitions):
     check(got, [r[:2] for r in rows])
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_an_id_with_very_many_rows_has_several_ranges(spark, key):
+    """A third of the rows have one id, or none; among them some are equal."""
+    rng = random.Random(8)
+    rows = [(key if i % 3 == 0 else i, prose(rng, rng.randint(1, 12)), "en", "s", 1) for i in range(240)]
+    rows += rows[:30]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        dealt = spots.by_neighbours(df, "doc_id", "text").filter("NOT guest").rdd.glom().map(len).collect()
+        got = fingerprints(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    check(got, [r[:2] for r in rows])
+    assert sum(dealt) == len(rows) and max(dealt) <= 4 * len(rows) / 24
+
+
+def test_places_follow_the_order_of_texts():
+    rng = random.Random(9)
+    texts = ["", "a", "a\0", "é", "日本語", "🎉x", "zzzzzzzzz", *(prose(rng, 2) for _ in range(50))]
+    by_place = sorted(texts, key=lambda t: spots.text_place(t)[0])
+    cut = [t.encode()[:8].ljust(8, b"\0") for t in by_place]
+    assert cut == sorted(cut)
+
+
 def test_edge_cases(spark):
     short = [d for d in edge_documents() if len(d[1] or "") < 10_000]
     table = edge_table(spark).filter("text IS NULL OR length(text) < 10000")
