@@ -5,9 +5,11 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import pandas
 import pytest
 from pyspark.sql import functions as F
 
+from skymeter.operators import regression
 from skymeter.operators.regression import LABEL, fit_features, fit_models, predict
 from skymeter.plans import prediction
 
@@ -61,7 +63,7 @@ def fitted(spark):
         "decision_tree": [Node(models["decision_tree"]._call_java("rootNode"), index.columns)],
         "random_forest": [Node(t._call_java("rootNode"), index.columns) for t in models["random_forest"].trees],
     }
-    yield duck, index, models, trees, test
+    yield duck, index, models, trees, train, test
     train.unpersist()
     test.unpersist()
 
@@ -90,7 +92,7 @@ def best_gain(duck, index, path):
 
 
 def test_every_split_of_the_tree_is_the_best_one(fitted):
-    duck, index, _, trees, _ = fitted
+    duck, index, _, trees, _, _ = fitted
     inner = 0
     for node, path in trees["decision_tree"][0].walk():
         best, n, variance, mean = best_gain(duck, index, path)
@@ -107,23 +109,61 @@ def test_every_split_of_the_tree_is_the_best_one(fitted):
     assert inner >= 10
 
 
+@pytest.fixture(scope="module")
+def bagged(spark, fitted):
+    """The training rows in their layout, with how often each tree of the forest has drawn them."""
+    _, index, _, trees, train, _ = fitted
+    columns = [LABEL, *index.columns]
+    laid = regression.in_stable_layout(index.transform(train).select(*columns, "features"), columns).select(*columns)
+    parts = laid.rdd.glom().collect()
+    rows = []
+    for number, part in enumerate(parts):
+        # The library draws for every row in turn, for every tree, with a seed for each partition.
+        poisson = spark._jvm.org.apache.commons.math3.distribution.PoissonDistribution(1.0)
+        poisson.reseedRandomGenerator(regression.SEED + number + 1)
+        rows += [(*row, *(poisson.sample() for _ in trees["random_forest"])) for row in part]
+    names = [*columns, *(f"w{i}" for i in range(len(trees["random_forest"])))]
+    own = duckdb.connect()
+    own.register("bagged", pandas.DataFrame(rows, columns=names))
+    return own
+
+
+def test_every_split_of_the_forest_is_the_best_of_its_feature(fitted, bagged):
+    """On the rows that a tree has drawn. Which features a node may choose from is random, so only the chosen one counts."""
+    _, index, _, trees, _, _ = fitted
+    inner = 0
+    for i, tree in enumerate(trees["random_forest"]):
+        sums = f"sum(w{i}) AS n, sum(w{i} * {LABEL}) AS s, sum(w{i} * {LABEL} * {LABEL}) AS q"
+        for node, path in tree.walk():
+            n, total, squares = bagged.execute(f"SELECT {sums} FROM bagged WHERE {path}").fetchone()
+            assert node.stats[:3] == pytest.approx([n, total, squares], rel=1e-9)
+            assert node.prediction == pytest.approx(total / n, rel=1e-9)
+            if node.condition is None:
+                continue
+            inner += 1
+            order = "s / n" if node.feature.removesuffix("_index") in index.tables else "v"
+            best = bagged.execute(f"""
+                WITH bins AS (SELECT {node.feature} AS v, {sums} FROM bagged WHERE {path} AND w{i} > 0 GROUP BY 1),
+                lefts AS (SELECT sum(n) OVER w AS n, sum(s) OVER w AS s FROM bins WINDOW w AS (ORDER BY {order}, v))
+                SELECT max(({total} - s) * ({total} - s) / ({n} - n) + s * s / n - {total} * {total} / {n}) / {n}
+                FROM lefts WHERE n < {n}""").fetchone()[0]
+            assert node.gain == pytest.approx(best, rel=1e-6, abs=1e-6)
+    assert inner >= 200
+
+
 def test_trees_of_the_forest_add_up(fitted):
-    """Each node's bootstrap rows are those of its children, its value is their mean, and splits lower the variance."""
-    duck, _, _, trees, _ = fitted
+    """Each node's bootstrap rows are those of its children, and splits lower the variance."""
+    duck, _, _, trees, _, _ = fitted
     rows = duck.execute("SELECT count(*) FROM train").fetchone()[0]
     roots = [tree.stats[0] for tree in trees["random_forest"]]
     assert len(roots) == 20 and len(set(roots)) > 1
     assert sum(roots) / len(roots) == pytest.approx(rows, rel=0.05)
     for tree in trees["random_forest"]:
         for node, _ in tree.walk():
-            n, total, squares = node.stats[:3]
-            assert node.prediction == pytest.approx(total / n) and node.depth <= DEPTH
+            assert node.depth <= DEPTH
             if node.condition is not None:
-                sides = [side.stats for side in (node.left, node.right)]
-                assert [sum(v) for v in zip(*(s[:3] for s in sides))] == pytest.approx([n, total, squares])
-                spread = [s[2] - s[1] ** 2 / s[0] for s in sides]
-                fall = (squares - total**2 / n - sum(spread)) / n
-                assert fall > 0 and node.gain == pytest.approx(fall, rel=1e-6, abs=1e-6)
+                sides = [side.stats[:3] for side in (node.left, node.right)]
+                assert [sum(v) for v in zip(*sides)] == pytest.approx(node.stats[:3]) and node.gain > 0
 
 
 def predicted(trees):
@@ -131,7 +171,7 @@ def predicted(trees):
 
 
 def test_errors_and_examples_equal_sql(spark, fitted):
-    duck, index, models, trees, test = fitted
+    duck, index, models, trees, _, test = fitted
     errors = {}
     for name in ("decision_tree", "random_forest"):
         sql = f"SELECT sqrt(avg(pow({LABEL} - {predicted(trees[name])}, 2))) FROM test"
@@ -149,7 +189,7 @@ def test_errors_and_examples_equal_sql(spark, fitted):
 
 
 def test_each_prediction_equals_sql(fitted):
-    duck, index, models, trees, test = fitted
+    duck, index, models, trees, _, test = fitted
     rows = predict(test, index, models).select(KEY, *models).collect()
     sql = ", ".join(f"{predicted(trees[n])} AS {n}" for n in models)
     expected = {r[0]: r[1:] for r in duck.execute(f"SELECT {KEY}, {sql} FROM test").fetchall()}
