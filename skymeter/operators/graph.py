@@ -32,6 +32,9 @@ ROWS_PER_PARTITION = 4_000_000
 MIN_ROWS_PER_PARTITION = 50_000
 # Links of one vertex that are kept together.
 HOT_DEGREE = 1_000_000
+# The state of hubs passes through the driver in every round that broadcasts it, and there may
+# be more than a hundred rounds: each has this part of ``BROADCAST_BYTES``.
+HUB_BROADCASTS = 32
 
 
 def dense_ids(df: DataFrame, key: str | Sequence[str | Column], output: str = "id") -> DataFrame:
@@ -261,7 +264,7 @@ def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_wr
     cached = [stored.filter(~own & ~hub).select("node", "dst", "weight").repartition(partitions, "node").persist()]
     if seen["hubs"]:
         cached.append(stored.filter(~own & hub).drop("blocks").repartition(partitions, "node", "block").persist())
-    placed = _Links(cached[0], cached[1] if seen["hubs"] else None, seen["hub_bytes"] <= BROADCAST_BYTES)
+    placed = _Links(cached[0], cached[1] if seen["hubs"] else None, seen["hub_bytes"] <= BROADCAST_BYTES // HUB_BROADCASTS)
     start = F.lit(reset)
     state = stored.filter(own).select("node", start.alias("rank"), start.alias("delta"), "blocks")
     senders = F.count_if(F.col("delta") > F.lit(tolerance)).alias("senders")

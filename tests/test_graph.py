@@ -170,6 +170,23 @@ def test_a_round_with_hubs_has_one_exchange(spark, monkeypatch):
         assert own.count("Exchange hashpartitioning") == 1 and own.count("BroadcastExchange") <= 1
 
 
+def test_many_hubs_do_not_pass_through_the_driver(spark, monkeypatch):
+    """40,000 hubs, 1.28 MB by counted bytes, would be sent to the driver in every round."""
+    rounds, one, n = [], graph_operators._round, 40_000
+
+    def recorded(state, links, keep, tolerance):
+        out = one(state, links, keep, tolerance)
+        rounds.append((links, out._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]))
+        return out
+
+    monkeypatch.setattr(graph_operators, "_round", recorded)
+    nodes = spark.range(n).select(F.col("id").alias("station"))
+    steps = [nodes.select(F.col("station").alias("src"), ((F.col("station") + k) % n).alias("dst")) for k in (1, 7)]
+    got = pagerank(nodes, steps[0].union(steps[1]), hot_degree=1, tolerance=0.1)
+    assert all(links.of_hubs is not None and "BroadcastExchange" not in plan for links, plan in rounds)
+    assert got.filter("abs(rank - 1) < 1e-9").count() == n
+
+
 def test_joined_rows_fall_with_the_senders(spark, monkeypatch):
     """On a chain the first vertices stop sending round by round."""
     joined = []
