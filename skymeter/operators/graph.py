@@ -35,6 +35,8 @@ HOT_DEGREE = 1_000_000
 # The state of hubs passes through the driver in every round that broadcasts it, and there may
 # be more than a hundred rounds: each has this part of ``BROADCAST_BYTES``.
 HUB_BROADCASTS = 32
+# Receivers in one row of the links.
+LIST_LINKS = 1_000
 
 
 def dense_ids(df: DataFrame, key: str | Sequence[str | Column], output: str = "id") -> DataFrame:
@@ -128,29 +130,33 @@ def propagate(
 
 
 def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree: int) -> DataFrame:
-    """Links of the PageRank loop: ``node, block, dst, weight, blocks``.
+    """Links of the PageRank loop: ``node, block, slice, dst, weight, blocks``.
 
     Parallel edges are merged into one link whose weight is their share of the
     node's edges. Each node also has a row without a receiver, from which its state
     starts. The links of a node with more than ``hot_degree`` of them, a hub, are spread
-    over several blocks.
+    over several blocks, and those of a block over slices of about ``LIST_LINKS``.
     """
-    # Read four times from here on.
+    # Read three times from here on.
     pairs = materialize(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_copies")), "pairs")
+    receivers = F.count(F.lit(1))
+    blocks = F.ceil(receivers / F.lit(hot_degree)).cast("int")
     degrees = pairs.groupBy("src").agg(
         F.sum("_copies").alias("_degree"),
-        F.ceil(F.count(F.lit(1)) / F.lit(hot_degree)).cast("int").alias("blocks"),
+        blocks.alias("blocks"),
+        (blocks * F.ceil(receivers / (blocks * F.lit(LIST_LINKS)))).alias("_slices"),
     )
     degrees = stored_for_join(degrees, "degrees")
     nodes = (
         vertices.select(F.col(key).alias("node"))
-        .union(pairs.select("src"))
+        .union(degrees.select("src"))
         .union(pairs.select("dst"))
         .distinct()
     )
-    links = pairs.join(degrees, "src").select(
+    links = pairs.join(degrees, "src").withColumn("slice", F.pmod(F.xxhash64("dst"), F.col("_slices"))).select(
         F.col("src").alias("node"),
-        F.pmod(F.xxhash64("dst"), F.col("blocks")).cast("int").alias("block"),
+        F.pmod("slice", F.col("blocks")).cast("int").alias("block"),
+        "slice",
         "dst",
         (F.col("_copies") / F.col("_degree")).alias("weight"),
         "blocks",
@@ -158,6 +164,7 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
     own = nodes.join(degrees.withColumnRenamed("src", "node"), "node", "left").select(
         "node",
         F.lit(0).alias("block"),
+        F.lit(0).cast("long").alias("slice"),
         F.lit(None).cast(links.schema["dst"].dataType).alias("dst"),
         F.lit(None).cast("double").alias("weight"),
         F.coalesce("blocks", F.lit(1)).alias("blocks"),
@@ -167,7 +174,11 @@ def _weighted_links(vertices: DataFrame, edges: DataFrame, key: str, hot_degree:
 
 @dataclass
 class _Links:
-    """Links by sender, and those of hubs, dealt evenly by their blocks."""
+    """Links by sender, and those of hubs, dealt evenly by their blocks.
+
+    A row lists the receivers of a sender that get the same share, so that a round joins
+    a sender once, not once a link.
+    """
 
     ordinary: DataFrame
     of_hubs: DataFrame | None
@@ -175,6 +186,13 @@ class _Links:
     few_hubs: bool
 
 
+def _listed(links: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Links in rows ``*keys, weight, receivers``, partitioned by the keys."""
+    placed = links.repartition(partitions, *keys)
+    lists = placed.groupBy(*keys, "slice", "weight").agg(F.collect_list("dst").alias("receivers"))
+    return lists.drop("slice")
+
+
 def _round(state: DataFrame, links: _Links, keep: float, tolerance: float) -> DataFrame:
     """The state ``node, rank, delta, blocks`` after one round.
 
@@ -185,9 +203,9 @@ def _round(state: DataFrame, links: _Links, keep: float, tolerance: float) -> Da
     the blocks themselves; the state of other vertices still does not move.
     """
     senders = state.filter(F.col("delta") > F.lit(tolerance))
-    message = (F.col("delta") * F.col("weight")).alias("sent")
+    messages = F.explode("receivers").alias("dst"), (F.col("delta") * F.col("weight")).alias("sent")
     own = senders.filter("blocks = 1").select("node", "delta")
-    sent = links.ordinary.join(own.hint("shuffle_hash"), "node").select("dst", message)
+    sent = links.ordinary.join(own.hint("shuffle_hash"), "node").select(*messages)
     if links.of_hubs is not None:
         hubs = senders.filter("blocks > 1")
         if links.few_hubs:
@@ -195,7 +213,7 @@ def _round(state: DataFrame, links: _Links, keep: float, tolerance: float) -> Da
         else:
             block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
             told = links.of_hubs.join(hubs.select("node", "delta", block).hint("shuffle_hash"), ["node", "block"])
-        sent = sent.union(told.select("dst", message))
+        sent = sent.union(told.select(*messages))
     received = sent.groupBy(F.col("dst").alias("node")).agg((F.lit(keep) * F.sum("sent")).alias("received"))
     change = F.coalesce("received", F.lit(0.0))
     return state.join(received.hint("shuffle_hash"), "node", "left").select(
@@ -232,6 +250,12 @@ def pagerank(
     return ranks.select(F.col("node").alias(key), (F.col("rank") * scale).alias("rank"))
 
 
+def _partitions(rows: int, cores: int) -> int:
+    """Partitions of so many links: full waves of the cores, or one of fewer for few links."""
+    waves = max(-(-rows // (ROWS_PER_PARTITION * cores)), 1)
+    return max(min(waves * cores, -(-rows // MIN_ROWS_PER_PARTITION)), 1)
+
+
 def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_write, area) -> DataFrame:
     """Unscaled ranks in a stored table; all others are left to the scope."""
     spark = edges.sparkSession
@@ -248,8 +272,7 @@ def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_wr
     ]
     links_path = store(links, "links", links_seen, counts)
     seen = links_seen.get
-    spread_out = min(spark.sparkContext.defaultParallelism, -(-seen["rows"] // MIN_ROWS_PER_PARTITION))
-    partitions = max(-(-seen["rows"] // ROWS_PER_PARTITION), spread_out, 1)
+    partitions = _partitions(seen["rows"], spark.sparkContext.defaultParallelism)
 
     # The loop has a session of its own, where one partition count holds for every
     # shuffle: what lets the cached links be joined in place. The caller's settings
@@ -259,11 +282,13 @@ def _converged(vertices, edges, key, tolerance, reset, hot_degree, rounds_per_wr
     loop.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     loop.conf.set("spark.sql.shuffle.partitions", str(partitions))
     loop.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    # A task's messages have too many receivers for the small hash table before the large one.
+    loop.conf.set("spark.sql.codegen.aggregate.map.twolevel.enabled", "false")
 
     stored = load(loop, links_path, links.schema)
-    cached = [stored.filter(~own & ~hub).select("node", "dst", "weight").repartition(partitions, "node").persist()]
+    cached = [_listed(stored.filter(~own & ~hub), partitions, "node").persist()]
     if seen["hubs"]:
-        cached.append(stored.filter(~own & hub).drop("blocks").repartition(partitions, "node", "block").persist())
+        cached.append(_listed(stored.filter(~own & hub), partitions, "node", "block").persist())
     placed = _Links(cached[0], cached[1] if seen["hubs"] else None, seen["hub_bytes"] <= BROADCAST_BYTES // HUB_BROADCASTS)
     start = F.lit(reset)
     state = stored.filter(own).select("node", start.alias("rank"), start.alias("delta"), "blocks")

@@ -187,6 +187,33 @@ def test_many_hubs_do_not_pass_through_the_driver(spark, monkeypatch):
     assert got.filter("abs(rank - 1) < 1e-9").count() == n
 
 
+def test_a_round_joins_a_sender_once_not_once_a_link(spark, monkeypatch):
+    monkeypatch.setattr(graph_operators, "LIST_LINKS", 8)
+    rows, one = [], graph_operators._round
+
+    def counted(state, links, keep, tolerance):
+        if not rows:
+            rows.extend((r.node, len(r.receivers)) for r in links.ordinary.select("node", "receivers").collect())
+        return one(state, links, keep, tolerance)
+
+    monkeypatch.setattr(graph_operators, "_round", counted)
+    edges = [(n, (n + k) % 50) for n in range(50) for k in (1, 2, 3)] + [(0, 1), (99, 0)] + [(99, n) for n in range(40)]
+    assert ranks(spark, edges) == pytest.approx(plain_pagerank(edges, []), abs=1e-9)
+    # A sender has a row for each share, and for about LIST_LINKS links; node 0 has two links to 1, and 99 to 0.
+    assert sum(n for _, n in rows) == 190 and sorted(n for v, n in rows if v == 0) == [1, 2]
+    assert all([n for v, n in rows if v == k] == [3] for k in range(1, 50))
+    assert 1 < len([1 for v, _ in rows if v == 99]) <= 6
+
+
+@pytest.mark.parametrize(
+    "rows, cores, partitions",
+    [(0, 12, 1), (120_000, 12, 3), (9_900_000, 12, 12), (48_000_000, 12, 12), (59_000_000, 12, 24), (10**11, 1000, 25_000)],
+)
+def test_links_fill_the_waves_of_the_cores(rows, cores, partitions):
+    """15 partitions on 12 cores took as long as 24."""
+    assert graph_operators._partitions(rows, cores) == partitions
+
+
 def test_joined_rows_fall_with_the_senders(spark, monkeypatch):
     """On a chain the first vertices stop sending round by round."""
     joined = []
